@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mpeg_audio, packing, quality_classifier, quality_rules
+from . import bpe, mpeg_audio, packing, quality_classifier, quality_rules, substring_dedup
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), tokenizer_path(), digests=True)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
@@ -41,5 +45,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_bpe, op5_packing, op6_mpeg_audio, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_bpe, op4_substring_dedup, op5_packing, op6_mpeg_audio, op10_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}
