@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mpeg_audio, packing, quality_classifier, quality_rules, substring_dedup
+from . import bpe, license_scans, mpeg_audio, ngram_jaccard, packing, quality_classifier, quality_rules, secret_scans, substring_dedup, warc_revisits
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), tokenizer_path(), digests=True)
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scans.scan(documents(spark, sf_dir))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -41,9 +45,28 @@ def op6_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.from_media(mpeg_audio.to_media(documents(spark, sf_dir)))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secret_scans.train(secret_scans.labelled_findings(spark))
+    return secret_scans.scan(documents(spark, sf_dir).select("doc_id", "text"), forest)
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisits.resolve(warc_revisits.captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.join(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_bpe, op4_substring_dedup, op5_packing, op6_mpeg_audio, op10_quality_classifier)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_bpe, op3_license_scans, op4_substring_dedup, op5_packing, op6_mpeg_audio, op7_secret_scans,
+        op8_warc_revisits, op9_ngram_jaccard, op10_quality_classifier,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
