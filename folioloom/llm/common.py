@@ -37,17 +37,22 @@ def map_rows(df: DataFrame, columns: list[str], fn: Callable[..., Iterator[tuple
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder of spark.checkpoint.dir; a folder of its own only where none is set."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share; a folder of its own only where none is set."""
+    context = spark.sparkContext._jsc.sc()
+    if context.getCheckpointDir().isEmpty():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
             import tempfile
 
-            where = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(where)
+            where = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(where)
+    return context.getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -121,7 +121,7 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
             continue
         group = (s >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)  # ranges of hashes, so in order
         first = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1])
-        base = np.uint64(k) * C1
+        base = np.full(1, k, np.uint64) * C1
         out.append(mix(mix(np.add.reduceat(s, first) * C4) + mix(group[first] + base)))
         if m - len(first) > spare:
             empty = np.setdiff1d(np.arange(m, dtype=np.uint64), group[first])
@@ -196,8 +196,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
 
 
-def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs``; sets link at a Jaccard similarity of ``percent`` / 100."""
+def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n, cls, ...) of each row, and (cls, group) of each class; key is a hash of the text."""
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     count = docs.count()
@@ -277,11 +277,32 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     links = links.union(verified(rest, sets, percent))
     found = components(links).select(F.col("node").alias("cls"), "component")
 
-    # The smallest doc_id of each class, and of each component of classes.
-    lowest = seen.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(found, "cls", "left").withColumn("group", F.coalesce("component", "cls"))
+    return seen, found.withColumnRenamed("component", "group")
+
+
+def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of ``docs``; sets link at a Jaccard similarity of ``percent`` / 100."""
+    seen, groups = classes_and_groups(docs, words, percent)
+    # The smallest doc_id of each class, and of each group of classes.
+    lowest = seen.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(groups, "cls", "left").withColumn("group", F.coalesce("group", "cls"))
     heads = lowest.groupBy("group").agg(F.min("low").alias("head"))
     heads = lowest.join(heads, "group").select("cls", "head")
-    return seen.join(heads, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("head", "doc_id")).alias("component_id"))
+    out = seen.join(heads, "cls", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("head", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The row with the smallest doc_id of each group of linked documents, and all rows without words, with all columns."""
+    seen, groups = classes_and_groups(docs, words, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    lowest = seen.where("cls is not null").groupBy("cls").agg(first).join(groups, "cls", "left")
+    chosen = lowest.groupBy(F.coalesce("group", "cls")).agg(F.min("first").alias("first"))
+    names = ["_id", "_key"]
+    chosen = chosen.select(F.coalesce("first.doc_id", F.lit(-(2**63))).alias(names[0]), F.col("first.key").alias(names[1]))
+    keyed = docs.withColumns({names[0]: F.coalesce("doc_id", F.lit(-(2**63))), names[1]: F.xxhash64(F.coalesce("text", F.lit("")))})
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = keyed.where(worded).join(chosen, names, "left_semi").dropDuplicates(names)
+    return kept.unionByName(keyed.where(~worded)).select(*docs.columns)
 
 
 def _schema(ddl: str):

@@ -117,3 +117,16 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     """doc_id, held_out, score, predicted for each row of ``docs``."""
     features = cut(document_features(docs))
     return score(features, fit(features, labels), threshold)
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``threshold``, with all their columns."""
+    model = fit(cut(document_features(docs)), labels)
+    if model is None:
+        return docs
+
+    @F.pandas_udf("double")
+    def scores(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array([statistics(t)[1] for t in texts]))) if len(texts) else pd.Series([], dtype=float)
+
+    return docs.where(scores("text") >= threshold)
