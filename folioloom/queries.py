@@ -495,3 +495,46 @@ def shard_split(spark, sf_dir):
 def run_report(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("source", F.size(F.split("text", "\n")).alias("n"))
     return docs.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_paragraphs"))
+
+
+# --- Pages and models (no SQL form) --------------------------------------------------------------------------------
+
+
+@query()
+def html_extract(spark, sf_dir):
+    """Ordered nodes of each page."""
+    from .plans.html import web_documents
+
+    docs = web_documents(table(spark, sf_dir, "pages"))
+    return docs.select("page_id", "extract_error", F.posexplode("nodes").alias("pos", "node")).select("page_id", "pos", "node.text", "node.meta.src", "extract_error")
+
+
+@query()
+def dom_report(spark, sf_dir):
+    """Nodes by tag and level of the simplified trees."""
+    from .plans.html import dom_levels
+
+    return dom_levels(table(spark, sf_dir, "pages")).groupBy("tag", "level").agg(F.count("*").alias("n"))
+
+
+@query()
+def langid(spark, sf_dir):
+    from .plans.models import identify_languages, word_profiles
+
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, "doc_id", "text", word_profiles(docs, "text", "lang"))
+
+
+@query()
+def perplexity(spark, sf_dir):
+    from .plans.models import unigram_perplexity
+
+    return unigram_perplexity(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query()
+def nsfw_scores(spark, sf_dir):
+    """Offenders by a stand-in classifier over stand-in image bytes."""
+    store = table(spark, sf_dir, "part").select(F.col("p_name").alias("url"), F.encode("p_type", "utf-8").alias("image"))
+    scores = images.classify(store, lambda batch: [{"score": (sum(b) % 100) / 100} for b in batch], ["score"])
+    return images.offenders(scores, {"score": 0.9})
