@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.urls import is_banned
 
@@ -55,7 +56,7 @@ def header(data: bytes | None) -> tuple[str, int, int] | None:
     return None
 
 
-@F.pandas_udf("format string, width int, height int")
+@F.pandas_udf(StructType([StructField("format", StringType()), StructField("width", IntegerType()), StructField("height", IntegerType())]))
 def probe(images: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([header(x) or (None, None, None) for x in images], columns=["format", "width", "height"]).astype({"width": "Int32", "height": "Int32"})
 

@@ -13,6 +13,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class RangeReader(Protocol):
@@ -121,7 +122,7 @@ def html_of(data: bytes | None) -> tuple[str, str]:
         return "", str(e)
 
 
-@F.pandas_udf("html string, html_error string")
+@F.pandas_udf(StructType([StructField("html", StringType()), StructField("html_error", StringType())]))
 def _html(warcs: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([html_of(w) for w in warcs], columns=["html", "html_error"])
 
