@@ -61,5 +61,11 @@ def parts(rows: int, each: int, least: int = 1) -> int:
     return max(least, -(-rows // each))
 
 
-def text_or_empty(column: str = "text"):
-    return F.coalesce(F.col(column), F.lit(""))
+def packed(df: DataFrame) -> DataFrame:
+    """All columns as one, ``doc``: so names of the input can't clash with those that an operator adds for itself."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("doc"))
+
+
+def unpacked(columns: list[str], **changed) -> list:
+    """The columns of ``doc``, with the ``changed`` ones as given; a column that an operator adds replaces one of its name."""
+    return [changed.pop(c).alias(c) if c in changed else F.col("doc").getField(c).alias(c) for c in columns] + [v.alias(k) for k, v in changed.items() if v is not None]

@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 # Fixed values of this operator.
 CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}|(?<=[=])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}"
 KEY_WORDS = r"(?i)(password|passwd|pwd|token|secret|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private)\W{0,6}$"
@@ -147,7 +149,7 @@ def train(findings: DataFrame, trees: int = 21, depth: int = 6, bound: int = 10_
 
 def scan(docs: DataFrame, forest: list, threshold: float = 0.5, mask: str = "<SECRET>") -> DataFrame:
     """``docs`` with secrets in ``text`` masked; adds n_candidates, n_secrets and secrets (value, score, start)."""
-    found = candidates(docs)
+    found = candidates(packed(docs), "doc.text")
     score = "(" + " + ".join(as_sql(t) for t in forest) + f") / {len(forest)}D"
     found = found.withColumn("_scores", F.expr(f"transform(_features, x -> {score})"))
     between, scores, values = F.col("_between"), F.col("_scores"), F.col("_found")
@@ -155,7 +157,6 @@ def scan(docs: DataFrame, forest: list, threshold: float = 0.5, mask: str = "<SE
     lengths = F.transform(values, lambda v, k: F.length(v) + F.length(between[k]))
     starts = F.transform(values, lambda v, k: F.aggregate(F.slice(lengths, F.lit(1), k + 1), F.lit(0), lambda a, b: a + b) - F.length(v))
     secrets = F.transform(values, lambda v, k: F.struct(v.alias("value"), scores[k].alias("score"), starts[k].alias("start")))
-    masked = F.when(F.exists("_scores", lambda s: s >= threshold), F.concat(between[0], F.array_join(pieces, ""))).otherwise(F.col("text"))
+    masked = F.when(F.exists("_scores", lambda s: s >= threshold), F.concat(between[0], F.array_join(pieces, ""))).otherwise(F.col("doc.text"))
     kept = F.when(F.exists("_scores", lambda s: s >= threshold), F.filter(secrets, lambda s: s["score"] >= threshold)).otherwise(F.filter(secrets, lambda s: F.lit(False)))
-    columns = [masked.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return found.select(*columns, F.size("_found").cast("long").alias("n_candidates"), kept.alias("secrets")).withColumn("n_secrets", F.size("secrets").cast("long"))
+    return found.select(*unpacked(docs.columns, text=masked, n_candidates=F.size("_found").cast("long"), secrets=kept, n_secrets=F.size(kept).cast("long")))

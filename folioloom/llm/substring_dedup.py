@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import parts
+from .common import packed, parts, unpacked
 
 LEAST, MOST = 25, 24
 FLUSH = 1_000_000  # runs that a task holds at once
@@ -184,14 +184,11 @@ def without(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated sentences removed from ``text``; adds ``removed_sentences`` and ``removed_chars``."""
-    name = "_document_key"
-    while name in docs.columns:
-        name += "_"
     key = F.xxhash64("doc_id", "text")
     found = docs.select("doc_id", key.alias("key"), "text").mapInArrow(find_runs, ROWS_DDL)
     buckets = parts(docs.count(), 4000, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     late = found.repartition(buckets, "h").mapInArrow(find_late, "key long, first int, last int")
-    covered = late.groupBy(F.col("key").alias(name)).agg(F.collect_set(F.struct("first", "last")).alias("_covered"))
-    both = docs.withColumn(name, key).join(covered, name, "left").withColumn("_clean", without("text", "_covered"))
-    keep = [F.col("_clean.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return both.select(*keep, F.col("_clean.removed").alias("removed_sentences"), F.col("_clean.removed_chars").alias("removed_chars"))
+    covered = late.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("covered"))
+    both = packed(docs).withColumn("key", F.xxhash64("doc.doc_id", "doc.text")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
+    clean = F.col("clean")
+    return both.select(*unpacked(docs.columns, text=clean["text"], removed_sentences=clean["removed"], removed_chars=clean["removed_chars"]))

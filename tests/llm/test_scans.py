@@ -1,0 +1,148 @@
+"""Secret and licence scans, WARC revisits, the pipeline."""
+
+import re
+
+import pytest
+
+import corpus_pipeline
+from folioloom.llm import license_scans, queries, secret_scans, warc_revisits
+
+from .helpers import ROWS, as_set, clashing, documents
+
+DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secret_scans.train(secret_scans.labelled_findings(spark))
+
+
+def test_secrets_on_held_out_findings(spark, forest):
+    every = secret_scans.labelled_findings(spark, 8000)
+    got = secret_scans.scan(every, forest).selectExpr("label", "n_secrets > 0 as found").groupBy("label", "found").count().collect()
+    right = sum(r["count"] for r in got if r.found == (r.label == 1))
+    assert right / sum(r["count"] for r in got) > 0.97
+
+
+def test_secrets_in_documents(spark, forest):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    wanted = re.compile(r'AKIA[A-Z0-9]{16}|(?<=token = ")[0-9a-f]{40}|(?<=password=)[0-9a-f]+')
+    for r in secret_scans.scan(docs, forest).join(docs.selectExpr("doc_id", "text as whole"), "doc_id").collect():
+        assert [s.value for s in r.secrets] == wanted.findall(r.whole)
+        assert all(r.whole[s.start : s.start + len(s.value)] == s.value for s in r.secrets)
+        assert r.text == wanted.sub("<SECRET>", r.whole)
+
+
+def test_secrets_on_awkward_rows(spark, forest):
+    docs = documents(spark)
+    got = secret_scans.scan(docs, forest)
+    assert sorted(map(repr, got.select(docs.columns).collect())) == sorted(map(repr, docs.collect()))
+    assert secret_scans.scan(docs.limit(0), forest).count() == 0
+    wide = secret_scans.scan(clashing(docs).drop("_found", "_features"), forest)
+    assert wide.where("score = 'own score' and key = 'own key'").count() == len(ROWS)
+
+
+def test_licences(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    got = {(r.doc_id, r.paragraph) for r in license_scans.scan(docs).where("confirmed").collect()}
+    assert got == {(r.doc_id, k) for r in docs.collect() for k, x in enumerate(r.text.split("\n")) if "icense" in x}
+
+
+def test_licence_families_and_unknown(spark):
+    lines = [("mit", "Released under the MIT License."), ("gpl", "This is licensed under the GNU General Public License, version 3."), ("apache", "licensed under the APACHE license version 2.0"), ("creative_commons", "Licensed under CC BY-NC 4.0.")]
+    other = ["All rights reserved.", "You need a licensed driver.", "Apache helicopters flew by.", "mit der Zeit", ""]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate([x for _, x in lines] + other)], "doc_id long, text string")
+    got = {r.doc_id: (r.family, r.confirmed) for r in license_scans.scan(docs).collect()}
+    assert got == {k: (f, True) for k, (f, _) in enumerate(lines)}
+
+
+def test_licences_on_awkward_rows(spark):
+    docs = documents(spark, [*ROWS, (77, "x\nReleased under the MIT License.", "en", "a", 1), (77, "x\nReleased under the MIT License.", "en", "a", 1)])
+    got = license_scans.scan(docs)
+    assert [(r.doc_id, r.paragraph, r.family) for r in got.collect()] == [(77, 1, "mit")] * 2
+    assert as_set(license_scans.scan(clashing(docs))) == as_set(got)
+    assert license_scans.scan(docs.limit(0)).count() == 0
+
+
+RECORDS = "record_id long, url string, ts timestamp, type string, etag string, last_modified timestamp, digest string, headers map<string,string>"
+
+
+def brute_revisits(rows):
+    out = {}
+    for r in rows:
+        if r.type != "revisit":
+            continue
+        before = [x for x in rows if x.type == "response" and r.key is not None and r.ts is not None and x.key == r.key and x.ts is not None and x.ts <= r.ts]
+        base = max(before, key=lambda x: (x.ts, x.record_id), default=None)
+        if base is None:
+            out[r.record_id] = ("orphan", None)
+            continue
+        strong = [t if t and not t.startswith("W/") else None for t in (r.etag, base.etag)]
+        if all(strong):
+            same = strong[0] == strong[1]
+        elif r.last_modified and base.last_modified:
+            same = r.last_modified == base.last_modified
+        else:
+            same = r.digest is not None and r.digest == base.digest
+        out[r.record_id] = ("resolved", base.record_id) if same else ("mismatch", None)
+    return out
+
+
+def test_revisits_against_brute_force(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(6)
+    rows = []
+    for k in range(400):
+        at = dt.datetime(2020, 1, 1) + dt.timedelta(minutes=rng.randrange(0, 6000)) if rng.random() > 0.02 else None
+        url = rng.choice(["http://A.com/x/", "https://www.a.com/x#f", "a.com/x?utm_source=q", "http://a.com:80/y?b=1&a=2", "http://a.com/y?a=2&b=1", None])
+        rows.append((k, url, at, rng.choice(["response", "revisit", "request"]), rng.choice(['"1"', '"2"', 'W/"1"', None]), rng.choice([dt.datetime(2019, 1, 1), dt.datetime(2019, 1, 2), None]), rng.choice(["d", "e", None]), rng.choice([{"ETag": "n"}, {}, None])))
+    records = spark.createDataFrame(rows, RECORDS)
+    keyed = records.withColumn("key", warc_revisits.canonical(records.url)).collect()
+    got = {r.record_id: (r.status, r.response_id) for r in warc_revisits.resolve(records, bucket_seconds=3600).collect()}
+    assert got == brute_revisits(keyed)
+    wide = records.selectExpr("*", "'own' as base", "'own' as url_key", "'own' as bucket")
+    assert {r.record_id: (r.status, r.response_id) for r in warc_revisits.resolve(wide).collect()} == got
+    assert warc_revisits.resolve(records.limit(0)).count() == 0
+
+
+def test_revisit_headers_and_urls(spark):
+    import datetime as dt
+
+    day = dt.datetime(2020, 1, 1)
+    rows = [(1, "http://e.com/a", day, "response", '"x"', None, "d", {"Content-Type": "text/html", "Cache-Control": "a", "Content-Length": "5"}), (2, "http://e.com/a", day + dt.timedelta(days=9), "revisit", '"x"', None, "d", {"cache-control": "b", "content-length": "0", "X-New": "1"})]
+    row = warc_revisits.resolve(spark.createDataFrame(rows, RECORDS)).first()
+    assert row.matched_by == "etag" and row.headers == {"Content-Type": "text/html", "Content-Length": "5", "cache-control": "b", "X-New": "1"}
+
+
+def test_pipeline(spark, tmp_path):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    known = {r.doc_id: r.quality for r in spark.read.parquet(f"{DIR}/labels.parquet").collect()}
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, DIR)
+        assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{k}")
+        out = spark.read.parquet(f"{tmp_path}/{k}")
+        if k == 0:
+            ids = {r.doc_id for r in out.select("doc_id").collect()}
+            good = [i for i, q in known.items() if q == 1]
+            bad = [i for i, q in known.items() if q == 0]
+            assert sum(i in ids for i in good) / len(good) > 0.98 and sum(i in ids for i in bad) / len(bad) < 0.05
+        if k == 1:
+            assert out.select("text").distinct().count() == out.count() < docs.count()
+        if k == 3:
+            assert out.where("text rlike 'AKIA[A-Z0-9]{16}'").count() == 0 and out.where("n_chars <> length(text)").count() == 0
+        docs = out
+    assert docs.select("sequence_id").distinct().count() > 100
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    docs = documents(spark)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        stage(spark, docs, DIR).collect()
+        assert stage(spark, docs.limit(0), DIR).count() == 0
+
+
+def test_queries_are_complete():
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
