@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, license_scans, mpeg_audio, ngram_jaccard, packing, quality_classifier, quality_rules, secret_scans, substring_dedup, warc_revisits
+from . import bpe, license_scans, mpeg_audio, ngram_jaccard, oracles, packing, quality_classifier, quality_rules, secret_scans, substring_dedup, warc_revisits
 from .common import documents
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,7 +52,9 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc_revisits.resolve(warc_revisits.captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    found = warc_revisits.resolve(warc_revisits.captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    pairs = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumns({"ts": F.unix_timestamp("ts"), "response_ts": F.unix_timestamp("response_ts"), "headers": F.array_join(pairs, ";")})
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +72,4 @@ QUERIES = {
         op8_warc_revisits, op9_ngram_jaccard, op10_quality_classifier,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op8_warc_revisits": oracles.WARC_REVISITS, "op9_ngram_jaccard": oracles.NGRAM_JACCARD}
