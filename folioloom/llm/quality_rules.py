@@ -117,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 10_000, falling: set[st
     y = np.array([r.quality for r in rows], float)
     if len(rows) < 2 or y.min() == y.max():
         return None
-    return boost(np.array([r.x for r in rows]), y, [NAMES.index(n) for n in sorted(falling)], **how)
+    x = np.array([r.x for r in rows])
+    order = np.lexsort([*x.T, y])  # the same trees in whatever order the rows arrive
+    return boost(x[order], y[order], [NAMES.index(n) for n in sorted(falling)], **how)
 
 
 def apply(docs: DataFrame, forest: Forest | None, threshold: float = 0.5, least_words: int = 20, most_repeated: int = 30) -> DataFrame:
