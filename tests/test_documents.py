@@ -155,3 +155,46 @@ def test_streaming_matches_batch(spark, tmp_path):
     ingest.write_documents(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out").drop("batch")
     assert sorted(got.collect()) == sorted(H.web_documents(pages).collect())
+
+
+def test_node_and_document_filters(spark):
+    from folioloom.operators.filters import TextLimits
+
+    meta = lambda w, h, shown=None, kind="png": F.struct(F.lit(f"http://e.com/{w}x{h}").alias("src"), F.lit(w).alias("original_width"), F.lit(h).alias("original_height"), F.lit(shown).cast("string").alias("rendered_width"), F.lit(kind).alias("format"))
+    full = lambda m: F.struct(*(m.getField(n).alias(n) if n in ("src", "original_width", "original_height", "rendered_width", "format") else F.lit(None).cast(t).alias(n) for n, t in (x.split(":") for x in NODE.split("meta:struct<")[1].rstrip(">").split(","))))
+    text = "one two three four five\n\nno\n\n" + EOD
+    node = lambda t, m: F.struct(F.lit(t).cast("string").alias("text"), (full(m) if m is not None else F.lit(None)).alias("meta")).cast(NODE)
+    nodes = F.array(node(text, None), node(None, meta(200, 300)), node(None, meta(100, 300)), node(None, meta(400, 401, "50%")), node(None, meta(400, 401, "10%")), node(None, meta(300, 300, None, "gif")), node("x", None), node(None, None))
+    docs = spark.range(1).withColumn("nodes", nodes)
+    loose = TextLimits(stopwords=None, common=None, flagged=None)
+    row = pipeline.filter_documents(docs, loose, TextLimits(least_words=2, stopwords=None, common=None, flagged=None)).first()
+    assert [n.text or n.meta.src for n in row.nodes] == [f"one two three four five\n\n{EOD}", "http://e.com/200x300", "http://e.com/400x401"]
+    assert pipeline.filter_documents(docs, loose, TextLimits(least_words=50, stopwords=None, common=None, flagged=None)).count() == 0
+    before_after = {r.step: (r.n_docs, r.n_images) for r in pipeline.report(docs, pipeline.filter_documents(docs, loose, loose)).collect()}
+    assert before_after["before"] == (1, 5) and before_after["after"] == (1, 2)
+
+
+def test_crawl_to_documents(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>first</p><img src='/a.png'><p>last</p>"
+    (tmp_path / "w").write_bytes(gzip.compress(record("response", http)))
+    size = (tmp_path / "w").stat().st_size
+    pointers = spark.createDataFrame([("https://ex.com/p", "w", 0, size)], "url string, warc_filename string, warc_record_offset long, warc_record_length long")
+    root = str(tmp_path)
+    docs = pipeline.extract(pipeline.download(pointers, lambda: crawl.LocalReader(root)))
+    row = docs.first()
+    assert [n.text or n.meta.src for n in row.nodes] == ["first", "https://ex.com/a.png", "last"] and row.warc_filename == "w"
+    crawl.write_image_urls(docs, f"{tmp_path}/urls")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/urls").collect()] == ["https://ex.com/a.png"]
+    crawl.write_shards(stats.with_shards(docs.select("url"), ["url"], 1), f"{tmp_path}/shards")
+    assert spark.read.parquet(f"{tmp_path}/shards").first().split == "valid"
+
+
+def test_stream_keeps_first_of_a_url(spark, tmp_path):
+    from folioloom.streaming import ingest
+
+    rows = spark.createDataFrame([("u", 1), ("u", 2), ("v", 3)], "url string, n int").selectExpr("url", "timestamp_seconds(n) as fetched")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = ingest.first_per_url(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"))
+    query = stream.writeStream.format("memory").queryName("firsts").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.url for r in spark.table("firsts").collect()) == ["u", "v"]
