@@ -6,14 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import EOD, SPAM_SHARE
-from ..functions.text import spam_ratio
+from ..functions.text import let, spam_ratio
 from .filters import has_text_and_image, not_only_sentinels
 
 
 def images_once(nodes: Column) -> Column:
     """Without the repeats of an image source after its first place in the document."""
-    sources = F.transform(nodes, lambda n: n["meta"]["src"])
-    return F.filter(nodes, lambda n, k: n["meta"]["src"].isNull() | (F.array_position(sources, n["meta"]["src"]) == k + 1))
+
+    def of(bound: Column) -> Column:
+        sources = F.transform(bound, lambda n: n["meta"]["src"])
+        first = lambda listed: F.filter(bound, lambda n, k: n["meta"]["src"].isNull() | (F.array_position(listed, n["meta"]["src"]) == k + 1))
+        return let(sources, first)
+
+    return let(nodes, of)
 
 
 def without_spam_paragraphs(t: Column, separator: str = "\n\n", most: float = SPAM_SHARE) -> Column:
@@ -34,13 +39,13 @@ def merge_texts(nodes: Column, node_type: str, separator: str = "\n\n") -> Colum
 
 
 def collapse_sentinels(t: Column, separator: str = "\n\n") -> Column:
-    parts = F.split(t, separator)
-    return F.array_join(F.filter(parts, lambda p, k: (k == 0) | (F.trim(p) != EOD) | (F.trim(F.get(parts, k - 1)) != EOD)), separator)
+    keep = lambda parts: F.filter(parts, lambda p, k: (k == 0) | (F.trim(p) != EOD) | (F.trim(F.get(parts, k - 1)) != EOD))
+    return F.array_join(let(F.split(t, separator), keep), separator)
 
 
 def strip_last_sentinel(t: Column, separator: str = "\n\n") -> Column:
-    parts = F.split(t, separator)
-    return F.when(F.element_at(parts, -1) == EOD, F.array_join(F.slice(parts, 1, F.size(parts) - 1), separator)).otherwise(t)
+    cut = lambda parts: F.when(F.element_at(parts, -1) == EOD, F.array_join(F.slice(parts, 1, F.size(parts) - 1), separator)).otherwise(t)
+    return let(F.split(t, separator), cut)
 
 
 def final_nodes(nodes: Column, node_type: str) -> Column:
@@ -49,16 +54,18 @@ def final_nodes(nodes: Column, node_type: str) -> Column:
     def with_text(n: Column, t: Column) -> Column:
         return F.struct(F.when(n["text"].isNotNull(), t).alias("text"), n["meta"].alias("meta")).cast(node_type)
 
+    def without_end(out: Column) -> Column:
+        last = F.array_max(F.transform(out, lambda n, k: F.when(n["text"].isNotNull(), k)))
+        return let(last, lambda at: F.transform(out, lambda n, k: F.when(k == at, with_text(n, strip_last_sentinel(n["text"]))).otherwise(n.cast(node_type))))
+
     out = F.transform(images_once(nodes), lambda n: with_text(n, without_spam_paragraphs(n["text"])))
     out = F.transform(merge_texts(out, node_type), lambda n: with_text(n, collapse_sentinels(n["text"])))
-    texts_at = F.transform(out, lambda n, k: F.when(n["text"].isNotNull(), k))
-    last_text = F.array_max(texts_at)
-    out = F.transform(out, lambda n, k: F.when(k == last_text, with_text(n, strip_last_sentinel(n["text"]))).otherwise(n.cast(node_type)))
-    return merge_texts(out, node_type)
+    return merge_texts(let(out, without_end), node_type)
 
 
 def final_documents(docs: DataFrame, node_type: str) -> DataFrame:
     """``final_nodes`` and the document filters: a text besides sentinels, and both a text and an image."""
-    out = docs.withColumn("nodes", final_nodes(F.col("nodes"), node_type))
-    texts = F.transform("nodes", lambda n: n["text"])
-    return out.where(not_only_sentinels(texts) & has_text_and_image(texts))
+    texts = lambda nodes: F.transform(nodes, lambda n: n["text"])
+    fine = lambda nodes: let(texts(nodes), lambda t: not_only_sentinels(t) & has_text_and_image(t))
+    # One array of one document or none, exploded: so that the nodes are made once, and not again for a filter.
+    return docs.withColumn("nodes", F.explode(F.filter(F.array(final_nodes(F.col("nodes"), node_type)), fine)))
