@@ -11,10 +11,10 @@ document meets its own band and, as the larger one, the band below. Groups that
 nothing; spare groups make up for them, and only documents with still more empty groups meet on those.
 
 Sets that are equal count once ("class"). In each run every class is first tested against one class of it; linked
-classes then form components, and only runs that hold several components are searched again: a packed R-tree of the
-points (pages with the maxima of their coordinates) bounds the overlap, pairs within reach are verified on the sets.
+classes then form components, and only runs that hold several components are searched again, gathered into blocks: a packed R-tree of
+the points (pages with the maxima of their coordinates) bounds the overlap, pairs within reach are verified on the sets.
 So a large group of near copies costs about one test for each member and not one for each pair, and no link between
-different components is lost. Runs are searched in slices, each against the classes outside the run's main component.
+different components is lost. Blocks are searched in slices, each against the classes outside the block's main component.
 
 Defined results: null texts and texts without words have an empty set, link with nothing and are their own component;
 a row without doc_id gets no component, though its text may connect others; rows that share a doc_id are told apart by
@@ -33,11 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, parts
+from .common import cut, map_rows, packed, parts, unpacked
 from .components import components
 
-DIMENSIONS = 64
-SLICE = 2000  # classes of a run that one search takes
+DIMENSIONS, COARSE = 1024, 64  # coordinates of a point, and of its folded form in the tree's pages
+FULL = 65535  # a coordinate's limit; sets that could pass it are not bounded
+SLICE = 2000  # classes of a block that one search takes
 PAGE = 16
 BITS = 1 << 23
 C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
@@ -130,7 +131,7 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
 
 
 def point(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
+    return np.bincount((s & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).clip(max=FULL).astype(np.uint16)
 
 
 def set_hash(s: np.ndarray) -> int | None:
@@ -163,29 +164,49 @@ def needed(n: np.ndarray, m: np.ndarray | int, percent: int) -> np.ndarray:
 
 
 def search(frame: pd.DataFrame, percent: int) -> np.ndarray:
-    """Pairs of classes in different components whose points allow a link; queries are the rows with ``own``."""
+    """Pairs of classes in different components whose points allow a link; queries are the rows with ``own``.
+
+    The tree holds the minor classes by size, in pages with the maxima of their coarse coordinates. A query visits the
+    pages of sizes that can link, then their coarse points, then the full points of what is left.
+    """
     tree = frame[frame["minor"]].sort_values(["n", "cls"], ignore_index=True)
     if not len(tree):
         return np.empty((0, 2), np.int64)
-    at = np.stack([np.frombuffer(x, np.int32) for x in tree["vec"]])
-    n, cls, label = (tree[c].to_numpy() for c in ("n", "cls", "label"))
+    fine = np.stack([np.frombuffer(x, np.uint16) for x in tree["vec"]])
+    rough = coarse(fine)
+    n, cls, label, tested = (tree[c].to_numpy() for c in ("n", "cls", "label", "tested"))
     pages = np.arange(0, len(tree), PAGE)
-    top, least = np.maximum.reduceat(at, pages), np.minimum.reduceat(n, pages)
+    top, least = np.maximum.reduceat(rough, pages), n[pages]
+    last = n[np.minimum(pages + PAGE, len(tree)) - 1]
+    within = np.arange(PAGE)
     out = []
     for q in frame[frame["own"]].itertuples():
-        v = np.frombuffer(q.vec, np.int32)
-        hit = np.flatnonzero(np.minimum(top, v).sum(1) >= needed(least, q.n, percent))
+        v = np.frombuffer(q.vec, np.uint16)
+        r = coarse(v[None])[0]
+        lo, hi = np.searchsorted(last, -(-q.n * percent // 100)), np.searchsorted(least, q.n * 100 // percent, side="right")
+        hit = lo + np.flatnonzero(within_reach(top[lo:hi], r, least[lo:hi], q.n, percent))
         if not len(hit):
             continue
-        rows = (pages[hit][:, None] + np.arange(PAGE)).ravel()
+        rows = (pages[hit][:, None] + within).ravel()
         rows = rows[rows < len(tree)]
-        rows = rows[(label[rows] != q.label) & (cls[rows] != q.tested)]
-        rows = rows[np.minimum(at[rows], v).sum(1) >= needed(n[rows], q.n, percent)]
-        rows = rows[tree["tested"].to_numpy()[rows] != q.cls]
+        rows = rows[(label[rows] != q.label) & (cls[rows] != q.tested) & (tested[rows] != q.cls)]
+        if q.minor:  # the other one asks too
+            rows = rows[cls[rows] > q.cls]
+        rows = rows[within_reach(rough[rows], r, n[rows], q.n, percent)]
+        rows = rows[within_reach(fine[rows], v, n[rows], q.n, percent)]
         out.append(np.stack([np.minimum(cls[rows], q.cls), np.maximum(cls[rows], q.cls)], 1))
     return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
+def coarse(points: np.ndarray) -> np.ndarray:
+    return points.reshape(len(points), -1, COARSE).sum(1, dtype=np.int32)
+
+
+def within_reach(points: np.ndarray, v: np.ndarray, n: np.ndarray, m: int, percent: int) -> np.ndarray:
+    """Whether the sum of the coordinates' minima allows a link of sets of n and m shingles."""
+    return (np.minimum(points, v).sum(1, dtype=np.int64) >= needed(n, m, percent)) | (max(m, n.max(initial=0)) >= FULL)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link: point bound first, then the sets themselves."""
     left = sets.select(F.col("cls").alias("a"), F.col("members").alias("sa"), F.col("n").alias("na"))
@@ -250,30 +271,36 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     links = cut(verified(tested.select(F.col("cls").alias("a"), F.col("tested").alias("b")), sets, percent))
     found = components(links)
 
-    # Then, in runs that still hold several components, what is outside the main one against all.
-    named = runs.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").select("sig", "cls", "members", F.coalesce("component", "cls").alias("label"))
-    sizes = named.groupBy("sig", "label").agg(F.count("*").alias("size"))
-    mixed = sizes.groupBy("sig").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main")).where("labels > 1").select("sig", "main")
+    # Then all that still meets in a run with several components. Such runs are gathered into blocks, so that a pair
+    # that shares many runs is looked at once.
+    named = runs.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").select("sig", "cls", "pivot", F.coalesce("component", "cls").alias("label"))
+    mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+    meets = cut(named.join(mixed, "sig").select("cls", "pivot", "label").distinct())
+    blocks = components(meets.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+    members = meets.select("cls", "label").distinct().join(blocks.select(F.col("node").alias("cls"), F.col("component").alias("block")), "cls")
+    sizes = members.groupBy("block", "label").agg(F.count("*").alias("size")).groupBy("block").agg(F.sum("size").alias("members"), F.max_by("label", F.struct("size", "label")).alias("main"))
     slices = F.ceil(F.col("members") / SLICE).cast("int")
     rows = (
-        named.join(mixed, "sig")
+        members.join(sizes, "block")
         .withColumn("minor", F.col("label") != F.col("main"))
         .withColumn("home", F.pmod("cls", slices))
-        .withColumn("slice", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), slices - 1)).otherwise(F.array("home"))))
-        .select("sig", "slice", "cls", "label", "minor", (F.col("slice") == F.col("home")).alias("own"))
+        .withColumn("slice", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), slices - 1)).otherwise(F.array(F.col("home").cast("int")))))
+        .select("block", "slice", "cls", "label", "minor", (F.col("slice") == F.col("home")).alias("own"))
         .join(sets.select("cls", "n", "vec"), "cls")
         .join(tested, "cls", "left")
         .withColumn("tested", F.coalesce("tested", F.col("cls")))
     )
 
     def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        all_rows = pd.concat(list(frames), ignore_index=True)
-        if len(all_rows):
-            pairs = np.concatenate([search(f, percent) for _, f in all_rows.groupby(["sig", "slice"], sort=False)])
-            pairs = np.unique(pairs, axis=0)
+        held = [f for f in frames if len(f)]
+        if not held:
+            return
+        all_rows = pd.concat(held, ignore_index=True)
+        for _, f in all_rows.groupby(["block", "slice"], sort=False):
+            pairs = search(f, percent)
             yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    rest = rows.repartition(parts(count, 5000, least), "sig", "slice").mapInPandas(reach, "a long, b long").distinct()
+    rest = rows.repartition(parts(count, 5000, least), "block", "slice").mapInPandas(reach, "a long, b long").distinct()
     links = links.union(verified(rest, sets, percent))
     found = components(links).select(F.col("node").alias("cls"), "component")
 
@@ -297,12 +324,12 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
     lowest = seen.where("cls is not null").groupBy("cls").agg(first).join(groups, "cls", "left")
     chosen = lowest.groupBy(F.coalesce("group", "cls")).agg(F.min("first").alias("first"))
-    names = ["_id", "_key"]
-    chosen = chosen.select(F.coalesce("first.doc_id", F.lit(-(2**63))).alias(names[0]), F.col("first.key").alias(names[1]))
-    keyed = docs.withColumns({names[0]: F.coalesce("doc_id", F.lit(-(2**63))), names[1]: F.xxhash64(F.coalesce("text", F.lit("")))})
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = keyed.where(worded).join(chosen, names, "left_semi").dropDuplicates(names)
-    return kept.unionByName(keyed.where(~worded)).select(*docs.columns)
+    chosen = chosen.select(F.coalesce("first.doc_id", F.lit(-(2**63))).alias("id"), F.col("first.key").alias("key"))
+    text = F.coalesce("doc.text", F.lit(""))
+    keyed = packed(docs).withColumns({"id": F.coalesce("doc.doc_id", F.lit(-(2**63))), "key": F.xxhash64(text)})
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    kept = keyed.where(worded).join(chosen, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
+    return kept.unionByName(keyed.where(~worded), allowMissingColumns=False).select(*unpacked(docs.columns))
 
 
 def _schema(ddl: str):
