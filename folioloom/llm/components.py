@@ -9,40 +9,45 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, parts
+
+
+EDGES = 500_000  # edges that one task contracts
 
 
 def contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The same components as a batch's edges, with an edge from each node to its smallest node there."""
-    for frame in frames:
-        if not len(frame):
-            continue
-        nodes, ends = np.unique(frame[["a", "b"]].to_numpy(), return_inverse=True)
-        a, b = ends.reshape(-1, 2).T
-        label = np.arange(len(nodes))
-        while True:
-            low = np.minimum(label[a], label[b])
-            new = label.copy()
-            np.minimum.at(new, label[a], low)
-            np.minimum.at(new, label[b], low)
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
-        other = label != np.arange(len(nodes))
-        yield pd.DataFrame({"a": nodes[other], "b": nodes[label[other]]})
+    """The same components as a task's edges, with an edge from each node to its smallest node there."""
+    held = [f for f in frames if len(f)]
+    if not held:
+        return
+    nodes, ends = np.unique(pd.concat(held)[["a", "b"]].to_numpy(), return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    other = label != np.arange(len(nodes))
+    yield pd.DataFrame({"a": nodes[other], "b": nodes[label[other]]})
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b), for every node that has an edge.
 
-    Alternates large-star and small-star steps; no step gathers a node's neighbours, so a hub costs no more than its
-    edges. Each round is checkpointed. Stops when a round leaves the edges as they were.
+    Tasks of a bounded number of edges each contract theirs. Over what is left of more than one task, large-star and
+    small-star steps alternate; no step gathers a node's neighbours, so a hub costs no more than its edges. Each round
+    is checkpointed. Stops when a round leaves the edges as they were.
     """
-    edges = edges.where("a is not null and b is not null and a <> b")
-    now = cut(edges.mapInPandas(contract, "a long, b long").distinct())
+    edges = cut(edges.where("a is not null and b is not null and a <> b").select("a", "b"))
+    tasks = parts(edges.count(), EDGES)
+    now = cut(edges.repartition(tasks).mapInPandas(contract, "a long, b long").distinct())
     before = None
-    while True:
+    while tasks > 1:  # one task alone has found all there is
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break

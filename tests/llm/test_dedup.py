@@ -144,7 +144,9 @@ def test_join_on_awkward_rows(spark):
     assert set(CLASHING) <= set(kept.columns)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("edges_each", [500_000, 5])
+def test_components(spark, monkeypatch, edges_each):
+    monkeypatch.setattr(components, "EDGES", edges_each)
     edges = [(k, k + 1) for k in range(50)] + [(100, 200), (300, 200), (7, 7), (None, 3), (1000, 1001), (1001, 1000)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     assert got == {**{k: 0 for k in range(51)}, 100: 100, 200: 100, 300: 100, 1000: 1000, 1001: 1000}
