@@ -432,6 +432,7 @@ def image_count_filter(spark, sf_dir):
 
 # --- Addresses -----------------------------------------------------------------------------------------------------
 
+# Fixed value: as in functions/urls.py.
 VALID_SQL = "(?i)^(?:http|ftp)s?://(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\\.)+(?:[A-Z]{2,6}\\.?|[A-Z0-9-]{2,}\\.?))(?:/?|[/?]\\S+)$"
 NETLOC_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
 
