@@ -128,8 +128,9 @@ def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, late = mark_late([np.concatenate(c) for c in zip(*held, strict=True)])
         held.clear()
         count = 0
-        # Later occurrences within this task need nothing but their place; they keep their hash only to be dealt evenly.
-        cols = [*rows[:3], rows[3].astype(np.int32), rows[4].astype(np.int32), late]
+        # Later occurrences within this task need no comparing; they are dealt by their place, so that no hash draws them together.
+        place = (rows[2].view(np.uint64) + rows[3].view(np.uint64)) * np.uint64(_BASE)
+        cols = [np.where(late, place.view(np.int64), rows[0]), *rows[1:3], rows[3].astype(np.int32), rows[4].astype(np.int32), late]
         for lo in range(0, len(late), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 50_000]) for c in cols], schema=ROWS)
 
