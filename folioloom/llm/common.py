@@ -56,6 +56,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle and checkpoint files of data that nothing refers to any more.
+
+    Its cleaner acts when the driver collects garbage, which a driver with little to do may put off for half an hour.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts(rows: int, each: int, least: int = 1) -> int:
     """Number of groups of about ``each`` rows."""
     return max(least, -(-rows // each))

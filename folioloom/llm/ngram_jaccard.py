@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, packed, parts, unpacked
+from .common import cut, map_rows, packed, parts, release, unpacked
 from .components import components
 
 DIMENSIONS, COARSE = 1024, 64  # coordinates of a point, and of its folded form in the tree's pages
@@ -239,6 +239,9 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     seen = cut(map_rows(keyed, ["doc_id", "key", "text"], first_pass, _schema("doc_id long, key long, n long, cls long, sigs array<long>")))
     sigs = seen.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls")
     runs = cut(sigs.repartition(parts(count, 2500, least), "sig").mapInArrow(find_runs, "sig long, cls long, pivot long, members long"))
+    seen = cut(seen.drop("sigs"))  # the signatures and their shuffle are the bulk of the work's files
+    del sigs
+    release(spark)
 
     # The sets of the classes that are in a run, from one text of each class.
     classes = runs.select("cls").distinct()
@@ -263,12 +266,14 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
             s = shingles(t, words)
             yield set_hash(s), len(s), point(s).tobytes(), s.view(np.int64).tolist()
 
-    sets = cut(map_rows(texts, ["text"], sets_of, _schema("cls long, n long, vec binary, members array<long>")).dropDuplicates(["cls"]))
+    sets = cut(map_rows(texts, ["text"], sets_of, _schema("cls long, n long, vec binary, members array<long>")))
+    release(spark)
 
     # First each class against the pivot that it shares most runs with.
     stars = runs.where("cls <> pivot").groupBy("cls", "pivot").agg(F.count("*").alias("runs"))
     tested = cut(stars.groupBy("cls").agg(F.max_by("pivot", F.struct("runs", "pivot")).alias("tested")))
     links = cut(verified(tested.select(F.col("cls").alias("a"), F.col("tested").alias("b")), sets, percent))
+    release(spark)
     found = components(links)
 
     # Then all that still meets in a run with several components. Such runs are gathered into blocks, so that a pair
