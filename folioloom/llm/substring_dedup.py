@@ -1,11 +1,15 @@
 """Substring dedup over sliding spans of sentences.
 
-A text is cut, without loss, into sentences (at ``.``, ``!`` or ``?`` before white space and at line ends); sentences of
-more than ``MOST`` words are cut again at commas, or else after so many words, so that one never-ending sentence cannot
-hide a passage. From each sentence the shortest run of at least two sentences and ``LEAST`` words is hashed, forwards
-and backwards, so that every sentence of a repeated passage lies in a run that is inside it. Runs are joined globally by
-hash: the first (lowest doc_id, then place) stays, and a sentence that any later occurrence covers is removed. As a
-sentence has at most ``MOST`` words, any repeated passage of ``LEAST + MOST`` words that starts with a sentence is found.
+A text is cut, without loss, at sentence ends (``.``, ``!`` or ``?`` before white space, and line ends) and within every
+sentence before the word whose hash is the least of some ``WINDOW`` words in a row (the last of equal ones). Such a cut
+depends on fewer than ``WINDOW`` words to either side, neither on where the sentence starts nor on its length, and no piece
+has more than ``WINDOW`` words. From each piece the shortest run of at least two pieces and ``LEAST`` words is hashed,
+forwards and backwards, so that every piece of a repeated passage lies in a run that is inside it. Runs are joined
+globally by hash: the first (lowest doc_id, then place) stays, and a piece that any later occurrence covers is removed.
+Cuts at least ``WINDOW`` words inside a repeated passage are equal in all its copies, so any passage of
+``LEAST + 4 * WINDOW - 3`` words (50), with the same white space between them, has an equal run in all of them, wherever it
+starts; repeats of whole sentences are found from ``LEAST`` words on. Every piece but the first starts with its white space,
+so that what is left of a text never runs together.
 
 Skew: a task flags all but its own first occurrence of a run at once and sends on only that one, so a run that is in a
 third of all documents reaches the join as one row per task.
@@ -30,45 +34,45 @@ from pyspark.sql import types as T
 
 from .common import packed, parts, unpacked
 
-LEAST, MOST = 25, 24
+LEAST, MOST = 25, 24  # words of a run, and the most that a piece may have
+WINDOW = 7  # words of which one is cut before; no piece is longer
 FLUSH = 1_000_000  # runs that a task holds at once
-_ENDS = re.compile(r"(?<=[.!?])(?=\s)|(?<=\n)")
-_CLAUSES = re.compile(r"(?<=[,;:])(?=\s)")
+_WORDS = re.compile(r"\s*\S+")
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.full(1 << 12, _BASE, np.uint64))
 _INVERSES = np.cumprod(np.full(1 << 12, pow(_BASE, -1, 1 << 64), np.uint64))
 
 
+class Ranks(dict):
+    """The hash of each word, by which cuts are chosen."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        rank = self[word] = xxhash.xxh3_64_intdigest(word)
+        return rank
+
+
+_RANKS = Ranks()
+
+
 def sentences(text: str) -> tuple[list[str], list[int]]:
     """Pieces that join to ``text``, and how many words each has (none has zero, but for a text without words)."""
-    out: list[str] = []
-    sizes: list[int] = []
-
-    def add(piece: str, n: int) -> None:
-        if n or not out:
-            if out and not sizes[-1]:
-                out[-1] += piece
-                sizes[-1] = n
-            else:
-                out.append(piece)
-                sizes.append(n)
-        else:
-            out[-1] += piece
-
-    for sentence in _ENDS.split(text):
-        n = len(sentence.split())
-        if n <= MOST:
-            add(sentence, n)
-            continue
-        for clause in _CLAUSES.split(sentence):
-            n = len(clause.split())
-            if n <= MOST:
-                add(clause, n)
-                continue
-            starts = [m.start() for m in re.finditer(r"\S+", clause)][MOST::MOST]
-            for a, b in zip([0, *starts], [*starts, len(clause)], strict=True):
-                add(clause[a:b], len(clause[a:b].split()))
-    return out, sizes
+    words = _WORDS.findall(text)
+    n = len(words)
+    if not n:
+        return [text], [0]
+    starts = np.fromiter((k == 0 or words[k - 1][-1] in ".!?" or "\n" in words[k] for k in range(n)), bool, n)
+    if n >= WINDOW:
+        sentence = np.cumsum(starts)
+        whole = np.flatnonzero(sentence[: n - WINDOW + 1] == sentence[WINDOW - 1 :])  # windows inside one sentence
+        ranks = np.fromiter(map(_RANKS.__getitem__, text.split()), np.uint64, n)
+        windows = np.lib.stride_tricks.sliding_window_view(ranks, WINDOW)[whole, ::-1]
+        starts[whole + WINDOW - 1 - windows.argmin(1)] = True
+    at = [*np.flatnonzero(starts).tolist(), n]
+    out = ["".join(words[a:b]) for a, b in zip(at, at[1:])]  # noqa: B905
+    out[-1] += text[sum(map(len, words)) :]
+    return out, np.diff(at).tolist()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,13 +105,13 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (key ^ (key >> np.uint64(29))).view(np.int64), first, last
 
 
-COLUMNS = ["h", "doc_id", "key", "first", "last", "late"]
-ROWS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("late", pa.bool_())])
-ROWS_DDL = "h long, doc_id long, key long, first int, last int, late boolean"
+# A span is first << 8 | (last - first) << 1 | late: a run has at most LEAST pieces, and a row that holds less takes less disk.
+ROWS = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("span", pa.int64())])
+ROWS_DDL = "h long, key long, doc_id long, span long"
 
 
 def mark_late(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The rows (h, doc_id, key, first, last) in order, and which are not the first of their hash; equal rows once."""
+    """The rows (h, doc_id, key, span) in order, and which are not the first of their hash; equal rows once."""
     order = np.lexsort(rows[::-1])
     rows = [c[order] for c in rows]
     if not len(order):
@@ -130,7 +134,7 @@ def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = 0
         # Later occurrences within this task need no comparing; they are dealt by their place, so that no hash draws them together.
         place = (rows[2].view(np.uint64) + rows[3].view(np.uint64)) * np.uint64(_BASE)
-        cols = [np.where(late, place.view(np.int64), rows[0]), *rows[1:3], rows[3].astype(np.int32), rows[4].astype(np.int32), late]
+        cols = [np.where(late, place.view(np.int64), rows[0]), rows[2], rows[1], rows[3] | late]
         for lo in range(0, len(late), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 50_000]) for c in cols], schema=ROWS)
 
@@ -138,7 +142,7 @@ def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             h, first, last = runs(text) if text else (np.empty(0),) * 3
             if len(h):
-                held.append([h, np.full(len(h), -(2**63) if doc_id is None else doc_id), np.full(len(h), key), first, last])
+                held.append([h, np.full(len(h), -(2**63) if doc_id is None else doc_id), np.full(len(h), key), first << 8 | last - first << 1])
                 count += len(h)
             if count >= FLUSH:
                 yield from flush()
@@ -148,16 +152,16 @@ def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_late(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of all rows with a hash, those that are not its first."""
-    parts_, out = [], pa.schema([ROWS.field(c) for c in ("key", "first", "last")])
+    parts_, out = [], pa.schema([ROWS.field(c) for c in ("key", "span")])
     for b in frames:
         if b.num_rows:
-            parts_.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(6)])
+            parts_.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
     if not parts_:
         return
-    cols = [np.concatenate(c) for c in zip(*parts_, strict=True)]
-    sent = cols[5]
-    rows, late = mark_late([c[~sent] for c in cols[:5]])
-    for c in ([x[sent] for x in cols[2:5]], [x[late] for x in rows[2:5]]):
+    h, key, doc_id, span = (np.concatenate(c) for c in zip(*parts_, strict=True))
+    sent = span & 1 > 0
+    rows, late = mark_late([c[~sent] for c in (h, doc_id, key, span)])
+    for c in ([key[sent], span[sent]], [x[late] for x in rows[2:]]):
         for lo in range(0, len(c[0]), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 50_000]) for x in c], schema=out)
 
@@ -174,9 +178,10 @@ def without(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
             continue
         units, _ = sentences(text)
         gone = np.zeros(len(units) + 1, np.int64)
-        for r in ranges:
-            gone[r["first"]] += 1
-            gone[r["last"] + 1] -= 1
+        for span in ranges:
+            first = span >> 8
+            gone[first] += 1
+            gone[first + (span >> 1 & 127) + 1] -= 1
         gone = np.cumsum(gone)[:-1] > 0
         left = "".join(u for u, g in zip(units, gone, strict=True) if not g)
         rows.append((left if left.strip() else "", int(gone.sum()), len(text) - len(left)))
@@ -187,9 +192,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated sentences removed from ``text``; adds ``removed_sentences`` and ``removed_chars``."""
     key = F.xxhash64("doc_id", "text")
     found = docs.select("doc_id", key.alias("key"), "text").mapInArrow(find_runs, ROWS_DDL)
-    buckets = parts(docs.count(), 4000, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    late = found.repartition(buckets, "h").mapInArrow(find_late, "key long, first int, last int")
-    covered = late.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("covered"))
+    buckets = parts(docs.count(), 2000, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    late = found.repartition(buckets, "h").mapInArrow(find_late, "key long, span long")
+    covered = late.groupBy("key").agg(F.collect_set("span").alias("covered"))
     both = packed(docs).withColumn("key", F.xxhash64("doc.doc_id", "doc.text")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
     clean = F.col("clean")
     return both.select(*unpacked(docs.columns, text=clean["text"], removed_sentences=clean["removed"], removed_chars=clean["removed_chars"]))

@@ -78,6 +78,27 @@ def test_long_sentence_passage(spark):
     assert sum("part 5 of" in r.text for r in substring_dedup.dedup(docs).collect()) == 1
 
 
+def word_windows(text, size):
+    words = text.split()
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+
+
+def test_passage_at_any_offset(spark):
+    """A shared passage without punctuation is found wherever it starts, in long sentences and short ones."""
+    rng = np.random.default_rng(7)
+    passage = " ".join(f"p{x}" for x in rng.integers(0, 10**6, 60))
+    rows = [(k, " ".join([*(f"a{k}x{j}" for j in range(k)), passage, *(f"z{k}x{j}" for j in range(k % 7))])) for k in range(50)]
+    rows += [(50, f"Short. {passage}. End."), (51, f"One, two {passage}, three.\nfour"), (52, f"x\n{passage}\ny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(word_windows(rows[0][1], 51) & word_windows(t, 51) for _, t in rows)
+    got = {r.doc_id: r.text for r in substring_dedup.dedup(docs).collect()}
+    whole = {i: set(t.split()) - set(passage.split()) for i, t in rows}
+    assert got[0] == rows[0][1]
+    for a in got:
+        assert not any(word_windows(got[a], 51) & word_windows(got[b], 51) for b in got if b < a)
+        assert a >= 50 or whole[a] <= set(got[a].split())  # no own word goes, and none run together
+
+
 def brute_components(rows, words, percent):
     sets = []
     for _, t in rows:
