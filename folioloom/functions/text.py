@@ -120,23 +120,36 @@ def char_repetition_ratio(t: Column, n: int = 10) -> Column:
     return run(t)
 
 
+def _word_repetition(ws, n: int) -> float:
+    if len(ws) < n:
+        return 0.0
+    counts = pd.Series(list(zip(*(ws[k:] for k in range(n)), strict=False))).value_counts()
+    return float(counts[counts > 1].sum() / counts.sum())
+
+
 def word_repetition_ratio(found_words: Column, n: int = 5) -> Column:
     """Share of word n-grams that occur more than once."""
 
     @F.pandas_udf("double")
     def run(lists: pd.Series) -> pd.Series:
-        out = []
-        for ws in lists:
-            if ws is None or len(ws) < n:
-                out.append(None if ws is None else 0.0)
-                continue
-            counts = pd.Series(list(zip(*(ws[k:] for k in range(n)), strict=False))).value_counts()
-            out.append(float(counts[counts > 1].sum() / counts.sum()))
-        return pd.Series(out, dtype="float64")
+        return pd.Series([None if ws is None else _word_repetition(ws, n) for ws in lists], dtype="float64")
 
     return run(found_words)
 
 
+def repetitive(texts: Column, found_words: Column, most_char: float | None, char_n: int, most_word: float | None, word_n: int) -> Column:
+    """For each of an array of texts, whether either repetition ratio is above its limit; null for null texts."""
+
+    @F.pandas_udf("array<boolean>")
+    def run(arrays: pd.Series, words: pd.Series) -> pd.Series:
+        def one(t, ws):
+            return most_char is not None and _char_repetition(t, char_n) > most_char or most_word is not None and _word_repetition(ws, word_n) > most_word
+
+        return pd.Series([None if ts is None else [None if t is None else one(t, ws) for t, ws in zip(ts, wss, strict=True)] for ts, wss in zip(arrays, words, strict=True)], dtype=object)
+
+    return run.asNondeterministic()(texts, found_words)  # so that Spark doesn't move it into a lambda, where it can't run
+
+
 def paragraphs(t: Column, separator: str = "\n\n") -> Column:
     return F.split(t, separator)
 

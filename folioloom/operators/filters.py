@@ -78,15 +78,18 @@ def first_failing(checks: list[tuple[str, Column]]) -> Column:
 
 
 def scored_reason(t: Column, limits: TextLimits, language: Callable[[Column], Column] | None = None, perplexity: Callable[[Column], Column] | None = None) -> Column:
-    """The checks that need Python workers; apply them after ``text_reason`` has thinned the rows."""
+    """The checks that need Python workers; apply them after ``text_reason`` has thinned the rows. A limit without its model raises."""
+    for name, model in (("language", language), ("perplexity", perplexity)):
+        if getattr(limits, name) is not None and model is None:
+            raise ValueError(f"the limit of {name} is set, but no model for it is given")
     checks = []
     if limits.char_repetition is not None:
         checks.append(("char_repetition", T.char_repetition_ratio(t, limits.char_repetition_n) > limits.char_repetition))
     if limits.word_repetition is not None:
         checks.append(("word_repetition", T.word_repetition_ratio(T.words(t), limits.word_repetition_n) > limits.word_repetition))
-    if limits.language is not None and language is not None:
-        checks.append(("language", ~language(t)))
-    if limits.perplexity is not None and perplexity is not None:
+    if limits.language is not None:
+        checks.append(("language", ~F.coalesce(language(t), F.lit(False))))
+    if limits.perplexity is not None:
         checks.append(("perplexity", perplexity(t) > limits.perplexity))
     return first_failing(checks)
 
@@ -107,13 +110,23 @@ def filter_paragraphs(docs: DataFrame, limits: TextLimits, text: str = "text", s
 def filter_nodes(docs: DataFrame, limits: TextLimits, image_ok: Callable[[Column], Column], separator: str = "\n\n") -> DataFrame:
     """Node filter: images by ``image_ok(meta)``, texts by paragraphs; nodes without either go."""
 
-    def cleaned(n: Column) -> Column:
-        kept = F.filter(F.split(n["text"], separator), lambda p: (F.trim(p) == EOD) | text_reason(p, limits).isNull())
-        words = F.when(F.size(kept) > 0, F.array_join(kept, separator))
-        return F.struct(words.alias("text"), F.when(image_ok(n["meta"]), n["meta"]).alias("meta"))
+    if limits.language is not None or limits.perplexity is not None:
+        raise ValueError("language and perplexity of single paragraphs are not built; set their limits for whole documents")
+    kept = lambda n: F.filter(F.split(n["text"], separator), lambda p: (F.trim(p) == EOD) | text_reason(p, limits).isNull())
+    docs = docs.withColumn("_kept", F.transform("nodes", kept))
+    if limits.char_repetition is not None or limits.word_repetition is not None:
+        each = F.flatten(F.transform("_kept", lambda ps: F.coalesce(ps, F.array().cast("array<string>"))))
+        again = T.repetitive(each, F.transform(each, lambda p: T.words(p)), limits.char_repetition, limits.char_repetition_n, limits.word_repetition, limits.word_repetition_n)
+        bad = F.array_distinct(F.transform(F.filter(F.arrays_zip(each.alias("p"), again.alias("again")), lambda x: x["again"] & (F.trim(x["p"]) != EOD)), lambda x: x["p"]))
+        docs = docs.withColumn("_bad", bad)
+        docs = docs.withColumn("_kept", F.transform("_kept", lambda ps: F.filter(ps, lambda p: ~F.array_contains("_bad", p)))).drop("_bad")
+
+    def cleaned(n: Column, k: Column) -> Column:
+        words = F.get("_kept", k)
+        return F.struct(F.when(F.size(words) > 0, F.array_join(words, separator)).alias("text"), F.when(image_ok(n["meta"]), n["meta"]).alias("meta"))
 
     nodes = F.filter(F.transform("nodes", cleaned), lambda n: n["text"].isNotNull() | n["meta"].isNotNull())
-    return docs.withColumn("nodes", nodes)
+    return docs.withColumn("nodes", nodes).drop("_kept")
 
 
 def image_format_ok(meta: Column, formats: Sequence[str] = ("jpg", "jpeg", "png", "webp")) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
@@ -23,11 +23,14 @@ def extract(rows: DataFrame, options: ExtractOptions | None = None) -> DataFrame
     return web_documents(crawl.extract_html(rows), options=options)
 
 
-def filter_documents(docs: DataFrame, nodes: filters.TextLimits, whole: filters.TextLimits) -> DataFrame:
-    """Node filter, image count, then the document checks on the joined text."""
+def filter_documents(
+    docs: DataFrame, nodes: filters.TextLimits, whole: filters.TextLimits, language: Callable[[Column], Column] | None = None, perplexity: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Node filter, image count, then all document checks on the joined text; ``language`` says if a text is of the wanted one."""
     out = filters.filter_nodes(docs, nodes, filters.image_ok)
     text = F.array_join(F.filter(F.transform("nodes", lambda n: n["text"]), lambda t: t.isNotNull() & (t != "")), "\n\n")
-    return out.where(filters.image_count_ok(F.size(image_sources(F.col("nodes"))))).where(filters.text_reason(text, whole).isNull())
+    out = out.where(filters.image_count_ok(F.size(image_sources(F.col("nodes"))))).where(filters.text_reason(text, whole).isNull())
+    return out.where(filters.scored_reason(text, whole, language, perplexity).isNull())
 
 
 def remove_image_nodes(docs: DataFrame, key: str, listed: DataFrame) -> DataFrame:

@@ -198,9 +198,11 @@ def retained_discarded(spark, sf_dir):
 @query()
 def node_filter_full(spark, sf_dir):
     """All checks: the built-in ones first, then the ones that need Python workers on what is left."""
-    rows = paragraph_rows(spark, sf_dir).where(filters.text_reason(F.col("paragraph"), LIMITS).isNull())
-    rows = rows.withColumn("reason", filters.scored_reason(F.col("paragraph"), LIMITS)).where("reason is null")
-    return rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "paragraph"))), lambda p: p["paragraph"]), "\n").alias("text"))
+    p = F.col("paragraph")
+    rows = paragraph_rows(spark, sf_dir).where(T.is_sentinel(p) | filters.text_reason(p, LIMITS).isNull())
+    rows = rows.withColumn("reason", filters.scored_reason(p, LIMITS)).where(T.is_sentinel(p) | F.col("reason").isNull())
+    kept = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "paragraph"))), lambda p: p["paragraph"]), "\n").alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id").join(kept, "doc_id", "left")
 
 
 # --- Images: joins and deduplication -------------------------------------------------------------------------------

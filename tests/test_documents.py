@@ -174,6 +174,34 @@ def test_node_and_document_filters(spark):
     assert before_after["before"] == (1, 5) and before_after["after"] == (1, 2)
 
 
+def test_document_filter_applies_every_limit(spark):
+    from folioloom.operators.filters import TextLimits
+
+    image = f"named_struct({', '.join(f"'{n}', cast({dict(src="'s'", original_width='200', original_height='300', format="'png'").get(n, 'null')} as {t})" for n, t in (x.split(':') for x in NODE.split('meta:struct<')[1].rstrip('>').split(',')))})"
+    texts = ["once upon a time there lived some people of whom nobody knew much", "the same old words again " * 6, "falsch " + " ".join(f"w{chr(97 + k)}" for k in range(20)), "odd " + " ".join(f"v{chr(97 + k)}" for k in range(20))]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0] + "\n\n" + texts[1]])), "id int, t string").selectExpr("id", f"cast(array(named_struct('text', t, 'meta', null), named_struct('text', null, 'meta', {image})) as array<{NODE}>) as nodes")
+    off = dict(stopwords=None, common=None, flagged=None, punctuation=None, special=None)
+    none = TextLimits(char_repetition=None, word_repetition=None, **off)
+    ids = lambda nodes, whole, *models: [r.id for r in pipeline.filter_documents(docs, nodes, whole, *models).orderBy("id").collect()]
+    assert ids(none, none) == [0, 1, 2, 3, 4]
+    assert ids(none, TextLimits(**off)) == [0, 2, 3]
+    assert ids(TextLimits(**off), none) == [0, 2, 3, 4]  # of 4 the repetitive paragraph goes
+    whole = TextLimits.of_documents(**off)
+    assert ids(none, whole, lambda t: ~t.startswith("falsch"), lambda t: F.when(t.startswith("odd"), 2000.0).otherwise(10.0)) == [0]
+    for limits in (TextLimits(language=0.8, **off), TextLimits(perplexity=1500, **off)):
+        with pytest.raises(ValueError):
+            pipeline.filter_documents(docs, none, limits)
+        with pytest.raises(ValueError):
+            pipeline.filter_documents(docs, limits, none)
+
+
+def test_full_node_filter_keeps_sentinels_and_documents(spark, tmp_path):
+    from folioloom import queries
+
+    spark.createDataFrame([(1, f"x\n{EOD}\nx", "s"), (2, "x", "s")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in queries.node_filter_full(spark, str(tmp_path)).collect()) == [(1, EOD), (2, None)]
+
+
 def test_crawl_to_documents(spark, tmp_path):
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>first</p><img src='/a.png'><p>last</p>"
     (tmp_path / "w").write_bytes(gzip.compress(record("response", http)))
