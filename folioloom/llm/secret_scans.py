@@ -1,6 +1,7 @@
 """Secret scans: candidates found by one expression, false positives removed by a random forest. DataFrame functions only.
 
-A candidate is a run of at least 12 key characters with a digit. Its features are its length, character transitions,
+A candidate is a run of at least 12 key characters with a digit; where a known prefix begins it or a key word is set to it
+(``=`` or ``:``), no digit is needed, and after such a word 6 characters do; so is a private key in PEM form. Its features are its length, character transitions,
 shares of digits and capitals, distinct characters, dictionary coverage, whether it is part of a path, known prefixes,
 and the words beside it. The forest is trained on labelled findings: lines with one candidate and a label, either given
 as a table (``text``, ``label``) or made by a rule that imitates the common kinds of keys and look-alikes. Its trees
@@ -19,10 +20,17 @@ from pyspark.sql import functions as F
 from .common import packed, unpacked
 
 # Fixed values of this operator.
-CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}|(?<=[=])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}"
-KEY_WORDS = r"(?i)(password|passwd|pwd|token|secret|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private)\W{0,6}$"
+KEY_NAMES = "password|passwd|pwd|token|secret|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private"
+PREFIX = "AKIA|ASIA|ghp_|gho_|glpat-|sk_live|sk-|xox[bp]-|AIza|eyJ"
+CANDIDATE = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{40,})*)"
+    r"|(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}|(?<=[=])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}"
+    rf"|(?<![A-Za-z0-9_+/-])(?={PREFIX})[A-Za-z0-9_+/-]{{12,}}"
+    rf"|(?<=[=:][\"' ]{{0,3}})(?<![A-Za-z0-9_+/-])(?<=(?i:{KEY_NAMES})[\"' ]{{0,2}}[=:][\"' ]{{0,3}})[A-Za-z0-9_+/-]{{6,}}"
+)
+KEY_WORDS = rf"(?i)({KEY_NAMES})\W{{0,6}}$"
 OTHER_WORDS = r"(?i)(commit|sha1|sha256|sha512|md5|uuid|guid|hash|checksum|digest|revision|isbn|order|invoice|version|build|etag)\W{0,6}$"
-PREFIXES = r"^(AKIA|ASIA|ghp_|gho_|glpat-|sk_live|sk-|xox[bp]-|AIza|eyJ)"
+PREFIXES = rf"^({PREFIX}|-----BEGIN)"
 DICTIONARY = (
     "about access account admin article backup build cache class client code common config content core data date default dist "
     "document example error event factory file filter format from handler header helper image index input item library line link list "
@@ -74,6 +82,10 @@ def labelled_findings(spark: SparkSession, rows: int = 4200) -> DataFrame:
     caps = f"translate(upper(substr({key}, 1, 16)), '018', 'QWZ')"
     mixed = f"translate(base64(unhex(substr({key}, 1, 48))), '=', '')"
     word = "element_at(split('the of report in und le para with notes and page', ' '), cast(1 + id div 20 % 11 as int))"
+    pick = lambda of, at: f"element_at(split('{of}', ' '), cast(1 + conv(substr({key}, {at}, 3), 16, 10) % {len(of.split())} as int))"
+    nouns = "correct horse battery staple window river purple castle garden thunder monkey silver orange planet basket"
+    phrase = "concat_ws('-', " + ", ".join(pick(nouns, at) for at in (1, 5, 9, 13)) + ")"
+    plain = pick("required optional incorrect forgotten disabled protected invalid changed expired missing something everything nothing default", 1)
     kinds = [
         (1, f"concat('token = \"', substr({key}, 1, 40), '\"')"),
         (1, f"concat('AKIA', {caps})"),
@@ -95,6 +107,12 @@ def labelled_findings(spark: SparkSession, rows: int = 4200) -> DataFrame:
         (0, "concat('password=examplepassword', id % 100)"),
         (0, "concat('www.example.com/article-about-', element_at(split('data-model page-name user-list', ' '), cast(1 + id % 3 as int)), '-', id)"),
         (0, f"concat('etag \"', substr({key}, 1, 20), '\"')"),
+        (1, f"concat('AKIA', translate({caps}, '2345679', 'HIJKLMN'))"),
+        (1, f"concat('password=', translate(substr({key}, 1, 6), '0123456789', 'ghijkmnpqr'), 10 + id % 90)"),
+        (1, f"concat('secret: \"', translate({mixed}, '0123456789+/', 'abcdefghijkl'), '\"')"),
+        (1, f"concat('password=', {phrase})"),
+        (1, "concat('-----BEGIN ', element_at(split('RSA ,EC ,DSA ,OPENSSH ,', ','), cast(1 + id div 26 % 5 as int)), 'PRIVATE KEY-----')"),
+        (0, f"concat(element_at(split('password: ,token = ,secret: ,auth: ,password=', ','), cast(1 + id div 26 % 5 as int)), {plain})"),
     ]
     text = "CASE " + " ".join(f"WHEN id % {len(kinds)} = {k} THEN {e}" for k, (_, e) in enumerate(kinds)) + " END"
     label = f"CASE WHEN id % {len(kinds)} IN ({', '.join(str(k) for k, (y, _) in enumerate(kinds) if y)}) THEN 1 ELSE 0 END"
