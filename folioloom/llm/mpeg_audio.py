@@ -84,8 +84,8 @@ def write(payload: bytes, n_bytes: int) -> bytes:
     return b"ID3\x04\0\0" + synchsafe(len(tag)) + tag + (plain + table).ljust(size, b"\0") + body
 
 
-def read_tags(data: bytes) -> tuple[int, int, dict[str, str]]:
-    """Where frames can start and end, and the text frames of ID3v2."""
+def read_tags(data: bytes) -> tuple[int, dict[str, str]]:
+    """Where frames can start, and the text frames of ID3v2."""
     start, tags = 0, {}
     while data[start : start + 3] == b"ID3" and len(data) >= start + 10:
         size = sum((b & 0x7F) << s for b, s in zip(data[start + 6 : start + 10], (21, 14, 7, 0), strict=True))
@@ -99,21 +99,22 @@ def read_tags(data: bytes) -> tuple[int, int, dict[str, str]]:
                 tags[name] = rest
             at += 10 + n
         start = stop
-    end = len(data) - 128 if data[-128:-125] == b"TAG" and len(data) >= start + 128 else len(data)
-    return start, end, tags
+    return start, tags
 
 
 def read(data: bytes) -> dict:
     """Offsets, sizes, exact samples, checks, table and payload of a file."""
-    at, end, tags = read_tags(data)
-    first = at
+    at, tags = read_tags(data)
+    first, end = at, len(data)
+    tag = end - 128 if end - at >= 128 and data[-128:-125] == b"TAG" else -1  # of ID3v1, unless a frame spans that place
     offsets, samples, ok, failed, skipped, hertz, table, payload = [], 0, 0, 0, 0, 0, None, []
-    while at + 4 <= end:
+    while at + 4 <= end and at != tag:
         h = header(data[at : at + 4])
         after = at + h[0] if h else 0
-        if not h or after > end or after + 4 <= end and not header(data[after : after + 4]):
-            step = data.find(b"\xff", at + 1, end)
-            step = end if step < 0 else step
+        if not h or after > end or after + 4 <= end and after != tag and not header(data[after : after + 4]):
+            stop = tag if at < tag else end
+            step = data.find(b"\xff", at + 1, stop)
+            step = stop if step < 0 else step
             skipped, at = skipped + step - at, step
             continue
         size, n, rate, side, checked = h

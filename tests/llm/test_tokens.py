@@ -154,6 +154,16 @@ def test_audio_resynchronises_and_verifies():
     assert mpeg_audio.read(data + b"TAG" + bytes(125))["payload"] == clean["payload"]
 
 
+@pytest.mark.parametrize("units", [1, 3])
+def test_audio_keeps_texts_that_look_like_tags(units):
+    for at in range(190):
+        payload = bytearray(b"x" * 192 * units)
+        payload[192 * (units - 1) + at : 192 * (units - 1) + at + 3] = b"TAG"
+        data = mpeg_audio.write(bytes(payload), len(payload))
+        for found in (mpeg_audio.read(data), mpeg_audio.read(data + b"TAG" + b"\xff" * 125)):
+            assert found["payload"] == payload and len(found["offsets"]) == units and found["skipped"] == 0
+
+
 def test_audio_headers():
     assert mpeg_audio.header(bytes([0xFF, 0xFB, 0x90, 0x00]))[:3] == (417, 1152, 44100)
     assert mpeg_audio.header(bytes([0xFF, 0xFB, 0x92, 0x00]))[0] == 418
