@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,11 +39,16 @@ def map_rows(df: DataFrame, columns: list[str], fn: Callable[..., Iterator[tuple
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; a folder of its own only where none is set."""
+    """The folder of spark.checkpoint.dir, which driver and executors share.
+
+    Where none is set, a local session (one machine, as in tests) gets a temporary one; a cluster raises.
+    """
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             import tempfile
 
             where = "file://" + tempfile.mkdtemp(prefix="spark-")
@@ -56,15 +62,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle and checkpoint files of data that nothing refers to any more.
+class Scratch:
+    """Tables of one job, written to the shared folder and dropped by path as soon as their last reader is done.
 
-    Its cleaner acts when the driver collects garbage, which a driver with little to do may put off for half an hour.
+    A job that loses executors reads them again. The files of a write's own shuffles go when the write ends.
     """
-    import gc
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        before = self.spark.conf.get(self.CLEAN)
+        self.spark.conf.set(self.CLEAN, "true")
+        try:
+            df.write.parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(self.CLEAN, before)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        jvm, context = self.spark._jvm, self.spark.sparkContext._jsc
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
 def parts(rows: int, each: int, least: int = 1) -> int:

@@ -1,24 +1,31 @@
-"""N-gram Jaccard join with count vectors.
+"""N-gram Jaccard join with a count-vector R-tree.
 
 A document is the set of its distinct word shingles. Shingles are hashed into groups and the number in each group is a
-coordinate of the document's point: two sets share at most the sum of the coordinates' minima.
-
-Over a whole corpus a tree of such points alone would compare every document with all others of about its size, as
-unrelated long texts have much the same counts. So the groups also deal out the work, without loss: documents that link
-differ in at most r shingles (r follows from the sizes), so with more than r groups at least one group has the very
-same shingles in both. Documents meet where the hash of a group's content is equal (a "run"). Sizes are banded, and a
-document meets its own band and, as the larger one, the band below. Groups that are empty in both would match for
-nothing; spare groups make up for them, and only documents with still more empty groups meet on those.
-
-Sets that are equal count once ("class"). In each run every class is first tested against one class of it; linked
-classes then form components, and only runs that hold several components are searched again, gathered into blocks: a packed R-tree of
-the points (pages with the maxima of their coordinates) bounds the overlap, pairs within reach are verified on the sets.
-So a large group of near copies costs about one test for each member and not one for each pair, and no link between
-different components is lost. Blocks are searched in slices, each against the classes outside the block's main component.
+coordinate of the document's point: two sets share at most the sum of the coordinates' minima. No pair reaches the
+verification on the sets themselves but by this bound.
+
+One tree over the whole corpus would visit nearly every page for every query (README has figures), as unrelated texts of a
+size have much the same counts. So the tree's partitions are made, without loss, from the same grouping: sets that link
+differ in at most r shingles (r follows from their sizes), so with more than r groups at least one has the very same
+shingles in both. Documents meet where the hash of a group's content is equal (a "run"), and a run is a partition of the
+tree. Sizes are banded; a document meets its own band and, as the larger one, the band below if that may link. Two kinds
+of groups are spared: empty ones (spare groups make up for them; only documents with still more meet on those) and those of
+frequent passages: ``SPARE`` more groups than needed must be equal, so a document of which no more lie in runs of over
+``HOT`` classes leaves these.
+
+Sets that are equal count once ("class", a 64-bit hash; documents whose sets share it but differ in a second hash stay
+apart). First every class is bounded against, and then tested on, the class that it shares most runs with; what links forms
+components. Only runs that still hold several components are searched: a packed R-tree of the points of those outside the
+run's largest component (pages with the maxima of their coordinates), asked by all members. So a large group of near
+copies costs about one test for each member and not one for each pair, and no link between different components is lost.
+Large runs are searched in cells of at most ``SLICE`` queries and about as many points.
+
+Skew: a task sends one class of each run and settles its others by itself; a class that many are tested on is dealt to
+tasks of ``HUB`` tests.
 
 Defined results: null texts and texts without words have an empty set, link with nothing and are their own component;
 a row without doc_id gets no component, though its text may connect others; rows that share a doc_id are told apart by
-their texts. Equal texts link. Extra columns are ignored.
+their texts. Equal texts link. An empty table gives an empty result. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,17 +36,22 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, map_rows, packed, parts, release, unpacked
+from .common import Scratch, packed, parts, unpacked
 from .components import components
 
-DIMENSIONS, COARSE = 1024, 64  # coordinates of a point, and of its folded form in the tree's pages
-FULL = 65535  # a coordinate's limit; sets that could pass it are not bounded
-SLICE = 2000  # classes of a block that one search takes
+LEAST_DIMENSIONS, MOST_DIMENSIONS, COARSE = 64, 4096, 64  # of a stored point, of a point in a cell, of a page
+SLICE = 2000  # queries of a cell, and about its points
+HUB = 500  # tests on one class that a task does in a row
 PAGE = 16
+HOT, SPARE = 64, 4
+FLUSH = 2_000_000  # signatures that a task holds at once
 BITS = 1 << 23
 C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
@@ -76,14 +88,14 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 
 class Bands:
-    """Size bands for a threshold of ``percent``: sizes, differences allowed, groups."""
+    """Size bands for a threshold of ``percent``: sizes, differences allowed, groups. A linked pair is in one band or in two neighbours."""
 
     def __init__(self, percent: int):
-        self.percent, self.starts, self.groups = percent, [1], []
+        self.percent, self.starts = percent, [1]
 
     def start(self, k: int) -> int:
         while len(self.starts) <= k:
-            self.starts.append(self.starts[-1] * 100 // self.percent + 1)
+            self.starts.append(self.starts[-1] * 10_000 // self.percent**2 + 1)
         return self.starts[k]
 
     def of(self, n: int) -> int:
@@ -92,17 +104,17 @@ class Bands:
         return int(np.searchsorted(self.starts, n, side="right")) - 1
 
     @lru_cache(4096)  # noqa: B019
-    def plan(self, k: int) -> tuple[int, int, int]:
-        """(largest size that joins this band, groups, spare groups)."""
+    def plan(self, k: int) -> tuple[int, int, int, int]:
+        """(largest size that joins this band, groups, spare groups for empty ones, for frequent ones)."""
         low, high = self.start(k), self.start(k + 1) - 1
         most = high * 100 // self.percent
         differ = (100 - self.percent) * (high + most) // (100 + self.percent)
-        spare = 0
-        for _ in range(4):
-            m = differ + 1 + spare
+        frequent, empties = min(SPARE, differ // 8), 0
+        for _ in range(6):
+            m = differ + 1 + frequent + empties
             empty = m * np.exp(-low / m) if m > 1 else 0.0
-            spare = int(np.ceil(empty + 3.5 * np.sqrt(empty))) if empty > 0.002 else 0
-        return most, differ + 1 + spare, spare
+            empties = int(np.ceil(empty + np.sqrt(empty))) if empty > 0.002 else 0
+        return most, differ + 1 + frequent + empties, empties, frequent
 
 
 @lru_cache(8)
@@ -111,78 +123,176 @@ def bands(percent: int) -> Bands:
 
 
 def signatures(s: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes of the groups' contents; the lowest six bits are the band (sizes beyond 64 bands don't occur)."""
     b, n = bands(percent), len(s)
     own = b.of(n)
     out = []
     for k in (own, own - 1):
         if k < 0:
             continue
-        most, m, spare = b.plan(k)
+        most, m, empties, _ = b.plan(k)
         if n > most:
             continue
         group = (s >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)  # ranges of hashes, so in order
         first = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1])
         base = np.full(1, k, np.uint64) * C1
-        out.append(mix(mix(np.add.reduceat(s, first) * C4) + mix(group[first] + base)))
-        if m - len(first) > spare:
+        found = [mix(mix(np.add.reduceat(s, first) * C4) + mix(group[first] + base))]
+        if m - len(first) > empties:
             empty = np.setdiff1d(np.arange(m, dtype=np.uint64), group[first])
-            out.append(mix(mix(empty + base) ^ C2))
+            found.append(mix(mix(empty + base) ^ C2))
+        out += [x & ~np.uint64(63) | np.uint64(k) for x in found]
     return np.concatenate(out).view(np.int64)
 
 
-def point(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).clip(max=FULL).astype(np.uint16)
+def dimensions(n: int) -> int:
+    """Coordinates of the point of a set of n: about an eighth of n, so that counts of unrelated sets differ by more than links may."""
+    return max(LEAST_DIMENSIONS, 1 << max(0, n // 8 - 1).bit_length())
+
+
+def point(s: np.ndarray) -> bytes:
+    d = dimensions(len(s))
+    counts = np.bincount((s & np.uint64(d - 1)).astype(np.int64), minlength=d)
+    return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint16 if counts.max() < 1 << 16 else np.uint32).tobytes()
 
 
-def set_hash(s: np.ndarray) -> int | None:
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
+def read_point(vec: bytes, n: int, most: int = MOST_DIMENSIONS) -> np.ndarray:
+    """The point of a set of n, folded to at most ``most`` coordinates."""
+    d = dimensions(n)
+    counts = np.frombuffer(vec, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(vec) // d])
+    return fold(counts, most)
 
 
-def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, cls, pivot, members): the rows whose signature several classes have; pivot is the least class."""
-    held = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(2)] for b in batches if b.num_rows]
-    if not held:
-        return
-    sig, cls = (np.concatenate(c) for c in zip(*held, strict=True))
-    held.clear()
-    order = np.lexsort((cls, sig))
-    sig, cls = sig[order], cls[order]
-    fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])])
-    sig, cls = sig[fresh], cls[fresh]
-    first = np.concatenate([[0], np.flatnonzero(np.diff(sig)) + 1])
-    members = np.diff(np.concatenate([first, [len(sig)]]))
-    of = np.repeat(np.arange(len(first)), members)
-    shared = members[of] > 1
-    cols = [sig[shared], cls[shared], cls[first][of][shared], members[of][shared].astype(np.int64)]
-    for lo in range(0, len(cols[0]), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 50_000]) for c in cols], names=["sig", "cls", "pivot", "members"])
+def fold(points: np.ndarray, most: int) -> np.ndarray:
+    d = points.shape[-1]
+    return points.reshape(*points.shape[:-1], -1, min(d, most)).sum(-2, dtype=np.int32)
 
 
-def needed(n: np.ndarray, m: np.ndarray | int, percent: int) -> np.ndarray:
+def set_hash(s: np.ndarray, seed: int = 0) -> int | None:
+    return xxhash.xxh3_64_intdigest(s.tobytes(), seed) - (1 << 63) if len(s) else None
+
+
+def needed(n: np.ndarray | int, m: int, percent: int) -> np.ndarray | int:
     """Least overlap of sets of n and m shingles that link."""
     return -(-percent * (n + m) // (100 + percent))
 
 
+_ROW = [T.StructField(c, T.LongType()) for c in ("doc_id", "key", "n", "cls", "twin")] + [T.StructField("point", T.BinaryType())]
+FOUND = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("sigs", T.BinaryType()), T.StructField("settled", T.BinaryType()), *_ROW])
+MET = T.StructType([*_ROW, T.StructField("run", T.LongType()), T.StructField("pivot", T.LongType())])
+
+
+def batch_of(schema: T.StructType, size: int, **columns) -> pa.RecordBatch:
+    arrow = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in arrow], schema=arrow)
+
+
+def distinct_runs(run: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (run, cls) in order, the least class of each one's run, and whether it is that class."""
+    order = np.lexsort((cls, run))
+    run, cls = run[order], cls[order]
+    new = np.concatenate([[True], run[1:] != run[:-1]])
+    fresh = new | np.concatenate([[True], cls[1:] != cls[:-1]])
+    run, cls, new = run[fresh], cls[fresh], new[fresh]
+    return run, cls, cls[np.flatnonzero(new)][np.cumsum(new) - 1], new
+
+
+def sets_found(words: int, percent: int, buckets: int):
+    """For each row its class, and once in a while the task's signatures, dealt to buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # classes whose signatures this task has given
+        sigs: list[np.ndarray] = []
+        of: list[int] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            sig, cls = np.concatenate(sigs).view(np.uint64), np.repeat(np.array(of, np.int64), [len(s) for s in sigs])
+            sigs.clear()
+            of.clear()
+            bucket = ((sig >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            ids, cls, pivot, least = distinct_runs(bucket << 40 | (sig & np.uint64((1 << 40) - 1)).astype(np.int64), cls)
+            other = np.flatnonzero(~least)
+            for lo in range(0, len(other), 20_000):  # these need no meeting: any task may take them
+                at = other[lo : lo + 20_000]
+                yield batch_of(FOUND, 1, bucket=[int(cls[at[0]]) % buckets], settled=[np.stack([ids[at], cls[at], pivot[at]]).tobytes()])
+            ids, cls = ids[least], cls[least]
+            low = np.ascontiguousarray((ids & (1 << 40) - 1).view(np.uint8).reshape(-1, 8)[:, :5])
+            edges = np.flatnonzero(np.diff(ids >> 40, prepend=-1))
+            for a, b in zip(edges, [*edges[1:], len(ids)], strict=True):
+                yield batch_of(FOUND, 1, bucket=[int(ids[a] >> 40)], sigs=[cls[a:b].tobytes() + low[a:b].tobytes()])
+
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                batch = whole.slice(lo, 512)
+                rows = []
+                for i, key, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                    s = shingles(text, words)
+                    cls, vec = set_hash(s), None
+                    if cls is not None and cls not in sent:
+                        if len(sent) > 1_000_000:
+                            sent.clear()
+                        sent.add(cls)
+                        vec = point(s)
+                        sigs.append(signatures(s, percent))
+                        of.append(cls)
+                    rows.append((key % buckets, i, key, len(s), cls, set_hash(s, 1), vec))
+                yield batch_of(FOUND, len(rows), **dict(zip(("bucket", "doc_id", "key", "n", "cls", "twin", "point"), zip(*rows, strict=True), strict=True)))
+                if sum(map(len, sigs)) > FLUSH:
+                    yield from flush()
+        if sigs:
+            yield from flush()
+
+    return run
+
+
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of documents as they are, and (run, cls, pivot) for every class that is not the least of its run."""
+
+    def rows(run, cls, pivot):
+        for lo in range(0, len(run), 50_000):
+            at = slice(lo, lo + 50_000)
+            yield batch_of(MET, len(run[at]), run=run[at], cls=cls[at], pivot=pivot[at])
+
+    runs, classes = [], []
+    for batch in batches:
+        here = batch.filter(pa.compute.is_valid(batch["key"]))
+        if here.num_rows:
+            yield batch_of(MET, here.num_rows, **{c: here[c] for c in ("doc_id", "key", "n", "cls", "twin", "point")})
+        for bucket, sigs, settled, key in zip(*(batch[c].to_pylist() for c in ("bucket", "sigs", "settled", "key")), strict=True):
+            if settled is not None:
+                yield from rows(*np.frombuffer(settled, np.int64).reshape(3, -1))
+            elif sigs is not None:
+                n = len(sigs) // 13
+                low = np.zeros((n, 8), np.uint8)
+                low[:, :5] = np.frombuffer(sigs, np.uint8, offset=8 * n).reshape(n, 5)
+                runs.append(low.view(np.int64).ravel() | bucket << 40)
+                classes.append(np.frombuffer(sigs, np.int64, n))
+    if runs:
+        run, cls, pivot, least = distinct_runs(np.concatenate(runs), np.concatenate(classes))
+        yield from rows(run[~least], cls[~least], pivot[~least])
+
+
 def search(frame: pd.DataFrame, percent: int) -> np.ndarray:
-    """Pairs of classes in different components whose points allow a link; queries are the rows with ``own``.
+    """Pairs of classes in different components whose points allow a link; queries are the rows with ``asks``.
 
-    The tree holds the minor classes by size, in pages with the maxima of their coarse coordinates. A query visits the
-    pages of sizes that can link, then their coarse points, then the full points of what is left.
+    The tree holds the rows with ``held`` by size, in pages with the maxima of their coarse coordinates. A query visits
+    the pages of sizes that can link, then their coarse points, then the full points of what is left.
     """
-    tree = frame[frame["minor"]].sort_values(["n", "cls"], ignore_index=True)
-    if not len(tree):
+    tree = frame[frame["held"]].sort_values(["n", "cls"], ignore_index=True)
+    queries = frame[frame["asks"]]
+    if not len(tree) or not len(queries):
         return np.empty((0, 2), np.int64)
-    fine = np.stack([np.frombuffer(x, np.uint16) for x in tree["vec"]])
-    rough = coarse(fine)
+    d = min(MOST_DIMENSIONS, dimensions(int(frame["n"].min())))
+    fine = np.stack([read_point(v, k, d) for v, k in zip(tree["vec"], tree["n"], strict=True)])
+    rough = fold(fine, COARSE)
     n, cls, label, tested = (tree[c].to_numpy() for c in ("n", "cls", "label", "tested"))
     pages = np.arange(0, len(tree), PAGE)
     top, least = np.maximum.reduceat(rough, pages), n[pages]
     last = n[np.minimum(pages + PAGE, len(tree)) - 1]
     within = np.arange(PAGE)
     out = []
-    for q in frame[frame["own"]].itertuples():
-        v = np.frombuffer(q.vec, np.uint16)
-        r = coarse(v[None])[0]
+    for q in queries.itertuples():
+        v = read_point(q.vec, q.n, d)
+        r = fold(v, COARSE)
         lo, hi = np.searchsorted(last, -(-q.n * percent // 100)), np.searchsorted(least, q.n * 100 // percent, side="right")
         hit = lo + np.flatnonzero(within_reach(top[lo:hi], r, least[lo:hi], q.n, percent))
         if not len(hit):
@@ -198,146 +308,221 @@ def search(frame: pd.DataFrame, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
-def coarse(points: np.ndarray) -> np.ndarray:
-    return points.reshape(len(points), -1, COARSE).sum(1, dtype=np.int32)
+def within_reach(points: np.ndarray, v: np.ndarray, n: np.ndarray | int, m: int, percent: int) -> np.ndarray:
+    """Whether the sum of the coordinates' minima allows a link of sets of n and m shingles."""
+    return np.minimum(points, v).sum(-1, dtype=np.int64) >= needed(n, m, percent)
 
 
-def within_reach(points: np.ndarray, v: np.ndarray, n: np.ndarray, m: int, percent: int) -> np.ndarray:
-    """Whether the sum of the coordinates' minima allows a link of sets of n and m shingles."""
-    return (np.minimum(points, v).sum(1, dtype=np.int64) >= needed(n, m, percent)) | (max(m, n.max(initial=0)) >= FULL)
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and points allow a link."""
 
+    @F.pandas_udf("boolean")
+    def reach(na: pd.Series, va: pd.Series, nb: pd.Series, vb: pd.Series) -> pd.Series:
+        out = []
+        for n, v, m, w in zip(na, va, nb, vb, strict=True):
+            d = min(dimensions(n), dimensions(m))
+            out.append(bool(within_reach(read_point(v, n, d), read_point(w, m, d), n, m, percent)))
+        return pd.Series(out, dtype=bool)
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: point bound first, then the sets themselves."""
-    left = sets.select(F.col("cls").alias("a"), F.col("members").alias("sa"), F.col("n").alias("na"))
-    right = sets.select(F.col("cls").alias("b"), F.col("members").alias("sb"), F.col("n").alias("nb"))
-    both = pairs.join(left, "a").where(F.col("na") > 0).join(right, "b")
-    both = both.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.col("vec").alias(f"v{side}")), side)
+    pairs = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return pairs.where(reach("na", "va", "nb", "vb")).select("a", "b")
 
 
-def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, key, n, cls, ...) of each row, and (cls, group) of each class; key is a hash of the text."""
-    spark = docs.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = docs.count()
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, words: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) whose sets link, written as the table ``name``.
 
-    sent: set[int] = set()  # each task has its own: classes whose signatures it has given
-
-    def first_pass(ids, keys, texts):
-        if len(sent) > 1_000_000:
-            sent.clear()
-        for i, key, t in zip(ids, keys, texts, strict=True):
-            s = shingles(t, words)
-            cls = set_hash(s)
-            fresh = cls is not None and cls not in sent
-            sent.add(cls)
-            yield i, key, len(s), cls, signatures(s, percent).tolist() if fresh else None
-
-    seen = cut(map_rows(keyed, ["doc_id", "key", "text"], first_pass, _schema("doc_id long, key long, n long, cls long, sigs array<long>")))
-    sigs = seen.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls")
-    runs = cut(sigs.repartition(parts(count, 2500, least), "sig").mapInArrow(find_runs, "sig long, cls long, pivot long, members long"))
-    seen = cut(seen.drop("sigs"))  # the signatures and their shuffle are the bulk of the work's files
-    del sigs
-    release(spark)
-
-    # The sets of the classes that are in a run, from one text of each class.
-    classes = runs.select("cls").distinct()
-    chosen = seen.where("cls is not null").groupBy("cls").agg(F.min("key").alias("key")).join(classes, "cls").select("key")
-    words_of_bits = chosen.select(F.pmod("key", F.lit(BITS)).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")
+    Texts, not sets, are shuffled: those of all ``a`` go where the text of their ``b`` goes, at most about ``HUB`` to a
+    place, and each task makes the sets again and compares in passing.
+    """
+    spark = keyed.sparkSession
+    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("slices"))
+    dealt = pairs.join(sizes, "b").withColumn("part", F.pmod(F.xxhash64("a"), "slices").cast("int"))
+    wanted = dealt.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "part", F.lit(1).alias("place")).union(
+        dealt.select(F.col("b").alias("cls"), F.col("b").alias("hub"), "part", F.lit(0).alias("place")).distinct()
     )
-    bits = np.zeros(BITS // 64, np.int64)  # a filter of fixed size: 1 MB, whatever the input
-    for r in words_of_bits.toLocalIterator():
-        bits[r.w] = r.bits
-    shared_bits = spark.sparkContext.broadcast(bits)
+    wanted = scratch.keep(wanted.join(classes.select("cls", "key"), "cls"), f"{name}-wanted")
+    tests = wanted.count()
 
-    @F.pandas_udf("boolean")
-    def maybe(key: pd.Series) -> pd.Series:
-        p = key.to_numpy() % BITS
-        return pd.Series((shared_bits.value[p // 64] >> (p % 64)) & 1 == 1)
-
-    texts = keyed.where(maybe("key")).select("key", "text").dropDuplicates(["key"]).join(chosen, "key", "left_semi")
-
-    def sets_of(texts_):
-        for t in texts_:
-            s = shingles(t, words)
-            yield set_hash(s), len(s), point(s).tobytes(), s.view(np.int64).tolist()
-
-    sets = cut(map_rows(texts, ["text"], sets_of, _schema("cls long, n long, vec binary, members array<long>")))
-    release(spark)
-
-    # First each class against the pivot that it shares most runs with.
-    stars = runs.where("cls <> pivot").groupBy("cls", "pivot").agg(F.count("*").alias("runs"))
-    tested = cut(stars.groupBy("cls").agg(F.max_by("pivot", F.struct("runs", "pivot")).alias("tested")))
-    links = cut(verified(tested.select(F.col("cls").alias("a"), F.col("tested").alias("b")), sets, percent))
-    release(spark)
-    found = components(links)
-
-    # Then all that still meets in a run with several components. Such runs are gathered into blocks, so that a pair
-    # that shares many runs is looked at once.
-    named = runs.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").select("sig", "cls", "pivot", F.coalesce("component", "cls").alias("label"))
-    mixed = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    meets = cut(named.join(mixed, "sig").select("cls", "pivot", "label").distinct())
-    blocks = components(meets.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
-    members = meets.select("cls", "label").distinct().join(blocks.select(F.col("node").alias("cls"), F.col("component").alias("block")), "cls")
-    sizes = members.groupBy("block", "label").agg(F.count("*").alias("size")).groupBy("block").agg(F.sum("size").alias("members"), F.max_by("label", F.struct("size", "label")).alias("main"))
-    slices = F.ceil(F.col("members") / SLICE).cast("int")
-    rows = (
-        members.join(sizes, "block")
-        .withColumn("minor", F.col("label") != F.col("main"))
-        .withColumn("home", F.pmod("cls", slices))
-        .withColumn("slice", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), slices - 1)).otherwise(F.array(F.col("home").cast("int")))))
-        .select("block", "slice", "cls", "label", "minor", (F.col("slice") == F.col("home")).alias("own"))
-        .join(sets.select("cls", "n", "vec"), "cls")
-        .join(tested, "cls", "left")
-        .withColumn("tested", F.coalesce("tested", F.col("cls")))
+    of_bits = wanted.select(F.pmod("key", F.lit(BITS)).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")
     )
+    bits = np.zeros(BITS // 64, np.int64)  # a filter of fixed size, 1 MB: it saves shuffling texts, and no result depends on it
+    for r in of_bits.toLocalIterator():
+        bits[r.w] = r.bits
+    shared = spark.sparkContext.broadcast(bits)
+
+    def asked_for(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            keys = batch["key"].to_numpy()
+            p = keys % BITS
+            take = []
+            for at in np.flatnonzero((shared.value[p // 64] >> (p % 64)) & 1):
+                if keys[at] not in sent:
+                    if len(sent) > 1_000_000:
+                        sent.clear()
+                    sent.add(keys[at])
+                    take.append(at)
+            if take:
+                yield batch.take(pa.array(take))
+
+    texts = keyed.select("key", "text").mapInArrow(asked_for, "key long, text string").dropDuplicates(["key"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, base = None, None
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                found = []
+                for h, place, cls, text in zip(*(c.to_pylist() for c in whole.slice(lo, 512).columns), strict=True):
+                    if h != hub:
+                        hub, base = h, None
+                    s = shingles(text, words)
+                    if place == 0:
+                        base = s
+                    elif base is not None and len(np.intersect1d(base, s, assume_unique=True)) >= needed(len(base), len(s), percent):
+                        found.append((cls, hub))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    rows = texts.join(wanted, "key").select("hub", "part", "place", "cls", "text")
+    rows = rows.repartition(parts(tests, 2500, int(spark.conf.get("spark.sql.shuffle.partitions"))), "hub", "part").sortWithinPartitions("hub", "part", "place")
+    links = scratch.keep(rows.select("hub", "place", "cls", "text").mapInArrow(compare, "a long, b long"), name)
+    scratch.drop(f"{name}-wanted")
+    return links
+
+
+def mixed_runs(stars: DataFrame, runs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(run, cls, label) of the members of runs that hold several components, without those that may leave a frequent run."""
+    pairs = stars.select("cls", "pivot")
+    for c in ("cls", "pivot"):
+        pairs = pairs.join(found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c, "left")
+    pairs = pairs.where(F.coalesce("of_cls", "cls") != F.coalesce("of_pivot", "pivot")).select("cls", "pivot")
+    mixed = runs.join(pairs, ["cls", "pivot"], "left_semi").select("run").distinct()
+    rows = runs.join(mixed, "run", "left_semi")
+    rows = rows.select("run", "cls").union(rows.select("run", F.col("pivot").alias("cls"))).distinct()
+    rows = rows.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").select("run", "cls", F.coalesce("component", "cls").alias("label"))
+    return rows
+
+
+def without_frequent(rows: DataFrame, percent: int) -> DataFrame:
+    """Without the members of runs of over ``HOT`` classes that are in no more such runs of a band than groups were added for these.
+
+    Linked sets have one equal group more than that, so they meet in another run as well.
+    """
+    allowed = F.array(*(F.lit(bands(percent).plan(k)[3]) for k in range(64)))
+    band = F.col("run").bitwiseAND(63).cast("int")
+    hot = rows.groupBy("run").agg(F.count("*").alias("members")).where(F.col("members") > HOT).select("run", F.lit(True).alias("hot"))
+    rows = rows.join(hot, "run", "left")
+    spared = rows.where("hot").groupBy("cls", band.alias("band")).agg(F.count("*").alias("times"))
+    spared = spared.where(F.col("times") <= F.element_at(allowed, F.col("band") + 1)).select("cls", "band", F.lit(True).alias("spared"))
+    rows = rows.withColumn("band", band).join(spared, ["cls", "band"], "left")
+    return rows.where("hot is null or spared is null").select("run", "cls", "label")
+
+
+def cells(rows: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
+    """The rows that each cell of a run's search needs; runs with the same members are searched once."""
+    runs = rows.groupBy("run").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("y"))
+    once = runs.where("members > 1").groupBy("members", "x", "y").agg(F.min("run").alias("run")).select("run")
+    rows = rows.join(once, "run", "left_semi")
+    sizes = rows.groupBy("run", "label").agg(F.count("*").alias("size")).groupBy("run").agg(F.sum("size").alias("members"), F.max(F.struct("size", "label")).alias("main"))
+    sizes = sizes.select("run", F.col("main.label").alias("main"), F.ceil(F.col("members") / SLICE).cast("int").alias("across"), F.greatest(F.ceil((F.col("members") - F.col("main.size")) / SLICE), F.lit(1)).cast("int").alias("down"))
+    rows = rows.join(sizes, "run").withColumns({"minor": F.col("label") != F.col("main"), "i": F.pmod(F.xxhash64("cls"), "across").cast("int"), "j": F.pmod(F.xxhash64("label", "cls"), "down").cast("int")})
+    asked = F.transform(F.sequence(F.lit(0), F.col("down") - 1), lambda j: F.struct(F.col("i").alias("i"), j.alias("j")))
+    held = F.transform(F.sequence(F.lit(0), F.col("across") - 1), lambda i: F.struct(i.alias("i"), F.col("j").alias("j")))
+    places = F.when(F.col("minor"), F.array_union(asked, held)).otherwise(asked)
+    rows = rows.select("run", "cls", "label", "minor", "i", "j", F.explode(places).alias("at"))
+    rows = rows.select("run", "at", "cls", "label", "minor", (F.col("at.i") == F.col("i")).alias("asks"), (F.col("minor") & (F.col("at.j") == F.col("j"))).alias("held"))
+    return rows.join(classes.select("cls", "n", "vec"), "cls").join(tested.select("cls", F.col("pivot").alias("tested")), "cls", "left").withColumn("tested", F.coalesce("tested", "cls"))
+
+
+def searched(percent: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def pairs(frame):
+            for _, cell in frame.groupby(["run", "i", "j"], sort=False):
+                found = search(cell, percent)
+                yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+        for frame in frames:  # sorted by cell; the last cell may go on in the next frame
+            if len(frame):
+                frame = pd.concat([*held, frame], ignore_index=True)
+                last = (frame[["run", "i", "j"]] == frame[["run", "i", "j"]].iloc[-1]).all(axis=1)
+                held = [frame[last]]
+                yield from pairs(frame[~last])
+        if held:
+            yield from pairs(held[0])
+
+    return run
 
-    def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [f for f in frames if len(f)]
-        if not held:
-            return
-        all_rows = pd.concat(held, ignore_index=True)
-        for _, f in all_rows.groupby(["block", "slice"], sort=False):
-            pairs = search(f, percent)
-            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    rest = rows.repartition(parts(count, 5000, least), "block", "slice").mapInPandas(reach, "a long, b long").distinct()
-    links = links.union(verified(rest, sets, percent))
-    found = components(links).select(F.col("node").alias("cls"), "component")
+def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n, cls, twin) of each row, and (cls, group) of each class that links; key is a hash of the text."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = docs.count()
+    places = parts(count, 5000, least)
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
 
-    return seen, found.withColumnRenamed("component", "group")
+    # Every text once: its row, its class and point, its signatures; then runs, where the signatures meet.
+    met = keyed.select("doc_id", "key", "text").mapInArrow(sets_found(words, percent, min(4 * places, 1 << 23)), FOUND)
+    met = scratch.keep(met.repartition(places, "bucket").mapInArrow(meet, MET), "met")
+    runs = met.where("run is not null").select("run", "cls", "pivot")
+    seen = scratch.keep(met.where("run is null").select("doc_id", "key", "n", "cls", "twin"), "seen")
+
+    # Each class against the one that it shares most runs with: bound first, then the sets.
+    stars = scratch.keep(runs.groupBy("cls", "pivot").agg(F.count("*").alias("runs")), "stars")
+    ids = stars.select("cls").union(stars.select("pivot")).distinct()
+    classes = met.where("run is null and cls is not null").groupBy("cls").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("point").alias("vec"))
+    classes = scratch.keep(classes.join(ids, "cls", "left_semi"), "classes")
+    tested = scratch.keep(stars.groupBy("cls").agg(F.max_by("pivot", F.struct("runs", "pivot")).alias("pivot")), "tested")
+    links = verified(bounded(tested.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), classes, percent), classes, keyed, words, percent, scratch, "links")
+    found = scratch.keep(components(links), "found")
+
+    # Then the runs that still hold several components, through the tree.
+    rows = scratch.keep(mixed_runs(stars, runs, found, percent), "mixed")
+    rows = scratch.keep(without_frequent(rows, percent), "rows")
+    scratch.drop("met", "stars", "mixed")
+    rows = cells(rows, classes, tested).select("run", "at.i", "at.j", "cls", "label", "minor", "asks", "held", "n", "vec", "tested")
+    rows = rows.repartition(parts(count, 5000, least), "run", "i", "j").sortWithinPartitions("run", "i", "j")
+    rest = scratch.keep(rows.mapInPandas(searched(percent), "a long, b long").distinct(), "rest")
+    more = verified(rest, classes, keyed, words, percent, scratch, "more")
+    groups = scratch.keep(components(links.union(more)).select(F.col("node").alias("cls"), F.col("component").alias("group")), "groups")
+    scratch.drop("rows", "classes", "tested", "links", "found", "rest", "more")
+    return seen, groups
+
+
+def grouped(seen: DataFrame, groups: DataFrame, lowest) -> DataFrame:
+    """(cls, twin, group, low): ``lowest`` over the rows of each class; a class that only its hash shares with another keeps to itself."""
+    classes = seen.where("cls is not null").groupBy("cls", "twin").agg(lowest.alias("low"))
+    owners = classes.groupBy("cls").agg(F.min("twin").alias("owner"))
+    classes = classes.join(owners, "cls").join(groups, "cls", "left")
+    own = F.xxhash64("cls", "twin")
+    return classes.select("cls", "twin", "low", F.when(F.col("twin") == F.col("owner"), F.coalesce("group", "cls")).otherwise(own).alias("group"))
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs``; sets link at a Jaccard similarity of ``percent`` / 100."""
     seen, groups = classes_and_groups(docs, words, percent)
     # The smallest doc_id of each class, and of each group of classes.
-    lowest = seen.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(groups, "cls", "left").withColumn("group", F.coalesce("group", "cls"))
-    heads = lowest.groupBy("group").agg(F.min("low").alias("head"))
-    heads = lowest.join(heads, "group").select("cls", "head")
-    out = seen.join(heads, "cls", "left")
+    classes = grouped(seen, groups, F.min("doc_id"))
+    heads = classes.groupBy("group").agg(F.min("low").alias("head"))
+    heads = classes.join(heads, "group").select("cls", "twin", "head")
+    out = seen.join(heads, ["cls", "twin"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("head", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The row with the smallest doc_id of each group of linked documents, and all rows without words, with all columns."""
     seen, groups = classes_and_groups(docs, words, percent)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
-    lowest = seen.where("cls is not null").groupBy("cls").agg(first).join(groups, "cls", "left")
-    chosen = lowest.groupBy(F.coalesce("group", "cls")).agg(F.min("first").alias("first"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
+    chosen = grouped(seen, groups, first).groupBy("group").agg(F.min("low").alias("first"))
     chosen = chosen.select(F.coalesce("first.doc_id", F.lit(-(2**63))).alias("id"), F.col("first.key").alias("key"))
     text = F.coalesce("doc.text", F.lit(""))
     keyed = packed(docs).withColumns({"id": F.coalesce("doc.doc_id", F.lit(-(2**63))), "key": F.xxhash64(text)})
     worded = text.rlike(r"[^\x20\x09-\x0D]")
     kept = keyed.where(worded).join(chosen, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
     return kept.unionByName(keyed.where(~worded), allowMissingColumns=False).select(*unpacked(docs.columns))
-
-
-def _schema(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
