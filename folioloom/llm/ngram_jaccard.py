@@ -271,41 +271,53 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(run[~least], cls[~least], pivot[~least])
 
 
-def search(frame: pd.DataFrame, percent: int) -> np.ndarray:
+def search(cell: dict[str, np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Pairs of classes in different components whose points allow a link; queries are the rows with ``asks``.
 
     The tree holds the rows with ``held`` by size, in pages with the maxima of their coarse coordinates. A query visits
-    the pages of sizes that can link, then their coarse points, then the full points of what is left.
+    the pages of sizes that can link, then their coarse points, then the full points of what is left; a tree of one page
+    begins with the points.
     """
-    tree = frame[frame["held"]].sort_values(["n", "cls"], ignore_index=True)
-    queries = frame[frame["asks"]]
-    if not len(tree) or not len(queries):
-        return np.empty((0, 2), np.int64)
-    d = min(MOST_DIMENSIONS, dimensions(int(frame["n"].min())))
-    fine = np.stack([read_point(v, k, d) for v, k in zip(tree["vec"], tree["n"], strict=True)])
-    rough = fold(fine, COARSE)
-    n, cls, label, tested = (tree[c].to_numpy() for c in ("n", "cls", "label", "tested"))
-    pages = np.arange(0, len(tree), PAGE)
-    top, least = np.maximum.reduceat(rough, pages), n[pages]
-    last = n[np.minimum(pages + PAGE, len(tree)) - 1]
-    within = np.arange(PAGE)
+    tree, asks = np.flatnonzero(cell["held"]), np.flatnonzero(cell["asks"])
+    if not len(tree) or not len(asks):
+        return []
+    tree = tree[np.argsort(cell["n"][tree], kind="stable")]
+    n, cls, label, tested = (cell[c][tree] for c in ("n", "cls", "label", "tested"))
+    d = min(MOST_DIMENSIONS, dimensions(int(cell["n"].min())))
+    fine = np.stack([read_point(v, k, d) for v, k in zip(cell["vec"][tree], n.tolist(), strict=True)])
+    paged = len(tree) > PAGE
+    if paged:
+        rough = fold(fine, COARSE)
+        pages = np.arange(0, len(tree), PAGE)
+        top, least = np.maximum.reduceat(rough, pages), n[pages]
+        last = n[np.minimum(pages + PAGE, len(tree)) - 1]
     out = []
-    for q in queries.itertuples():
-        v = read_point(q.vec, q.n, d)
-        r = fold(v, COARSE)
-        lo, hi = np.searchsorted(last, -(-q.n * percent // 100)), np.searchsorted(least, q.n * 100 // percent, side="right")
-        hit = lo + np.flatnonzero(within_reach(top[lo:hi], r, least[lo:hi], q.n, percent))
-        if not len(hit):
+    columns = (cell[c][asks].tolist() for c in ("cls", "label", "minor", "n", "tested", "vec"))
+    for q, q_label, minor, size, q_tested, vec in zip(*columns, strict=True):
+        v = None
+        if paged:
+            v = read_point(vec, size, d)
+            r = fold(v, COARSE)
+            lo, hi = np.searchsorted(last, -(-size * percent // 100)), np.searchsorted(least, size * 100 // percent, side="right")
+            hit = lo + np.flatnonzero(within_reach(top[lo:hi], r, least[lo:hi], size, percent))
+            if not len(hit):
+                continue
+            rows = (pages[hit][:, None] + np.arange(PAGE)).ravel()
+            rows = rows[rows < len(tree)]
+        else:
+            rows = np.arange(len(tree))
+        fits = (label[rows] != q_label) & (cls[rows] != q_tested) & (tested[rows] != q)
+        if minor:  # the other one asks too
+            fits &= cls[rows] > q
+        rows = rows[fits]
+        if paged:
+            rows = rows[within_reach(rough[rows], r, n[rows], size, percent)]
+        if not len(rows):
             continue
-        rows = (pages[hit][:, None] + within).ravel()
-        rows = rows[rows < len(tree)]
-        rows = rows[(label[rows] != q.label) & (cls[rows] != q.tested) & (tested[rows] != q.cls)]
-        if q.minor:  # the other one asks too
-            rows = rows[cls[rows] > q.cls]
-        rows = rows[within_reach(rough[rows], r, n[rows], q.n, percent)]
-        rows = rows[within_reach(fine[rows], v, n[rows], q.n, percent)]
-        out.append(np.stack([np.minimum(cls[rows], q.cls), np.maximum(cls[rows], q.cls)], 1))
-    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+        v = read_point(vec, size, d) if v is None else v
+        rows = rows[within_reach(fine[rows], v, n[rows], size, percent)]
+        out += [(min(q, c), max(q, c)) for c in cls[rows].tolist()]
+    return out
 
 
 def within_reach(points: np.ndarray, v: np.ndarray, n: np.ndarray | int, m: int, percent: int) -> np.ndarray:
@@ -393,8 +405,8 @@ def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, words: int,
     return links
 
 
-def mixed_runs(stars: DataFrame, runs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(run, cls, label) of the members of runs that hold several components, without those that may leave a frequent run."""
+def mixed_runs(stars: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame:
+    """(run, cls, label) of the members of runs that hold several components."""
     pairs = stars.select("cls", "pivot")
     for c in ("cls", "pivot"):
         pairs = pairs.join(found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c, "left")
@@ -438,22 +450,24 @@ def cells(rows: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
 
 
 def searched(percent: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-
-        def pairs(frame):
-            for _, cell in frame.groupby(["run", "i", "j"], sort=False):
-                found = search(cell, percent)
-                yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-        for frame in frames:  # sorted by cell; the last cell may go on in the next frame
-            if len(frame):
-                frame = pd.concat([*held, frame], ignore_index=True)
-                last = (frame[["run", "i", "j"]] == frame[["run", "i", "j"]].iloc[-1]).all(axis=1)
-                held = [frame[last]]
-                yield from pairs(frame[~last])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs of each cell; the rows come sorted by cell, and the last cell may go on in the next batch."""
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                held = yield from pairs(pa.Table.from_batches([*held, batch] if held else [batch]), False)
         if held:
-            yield from pairs(held[0])
+            yield from pairs(pa.Table.from_batches(held), True)
+
+    def pairs(rows: pa.Table, whole: bool):
+        cols = {c: rows[c].to_numpy() for c in rows.column_names}
+        edges = np.flatnonzero(np.any([cols[c][1:] != cols[c][:-1] for c in ("run", "i", "j")], axis=0)) + 1
+        edges = [0, *edges.tolist(), *([rows.num_rows] if whole else [])]
+        found = [p for a, b in zip(edges, edges[1:], strict=False) for p in search({c: v[a:b] for c, v in cols.items()}, percent)]
+        if found:
+            found = list(dict.fromkeys(found))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+        return rows.slice(edges[-1]).to_batches()
 
     return run
 
@@ -483,12 +497,12 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     found = scratch.keep(components(links), "found")
 
     # Then the runs that still hold several components, through the tree.
-    rows = scratch.keep(mixed_runs(stars, runs, found, percent), "mixed")
+    rows = scratch.keep(mixed_runs(stars, runs, found), "mixed")
     rows = scratch.keep(without_frequent(rows, percent), "rows")
     scratch.drop("met", "stars", "mixed")
     rows = cells(rows, classes, tested).select("run", "at.i", "at.j", "cls", "label", "minor", "asks", "held", "n", "vec", "tested")
     rows = rows.repartition(parts(count, 5000, least), "run", "i", "j").sortWithinPartitions("run", "i", "j")
-    rest = scratch.keep(rows.mapInPandas(searched(percent), "a long, b long").distinct(), "rest")
+    rest = scratch.keep(rows.mapInArrow(searched(percent), "a long, b long").distinct(), "rest")
     more = verified(rest, classes, keyed, words, percent, scratch, "more")
     groups = scratch.keep(components(links.union(more)).select(F.col("node").alias("cls"), F.col("component").alias("group")), "groups")
     scratch.drop("rows", "classes", "tested", "links", "found", "rest", "more")
