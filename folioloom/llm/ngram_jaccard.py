@@ -10,8 +10,8 @@ differ in at most r shingles (r follows from their sizes), so with more than r g
 shingles in both. Documents meet where the hash of a group's content is equal (a "run"), and a run is a partition of the
 tree. Sizes are banded; a document meets its own band and, as the larger one, the band below if that may link. Two kinds
 of groups are spared: empty ones (spare groups make up for them; only documents with still more meet on those) and those of
-frequent passages: ``SPARE`` more groups than needed must be equal, so a document of which no more lie in runs of over
-``HOT`` classes leaves these.
+frequent passages: s groups beyond the needed ones mean that linked sets meet in more than s runs, so every class leaves
+its s largest ones, and one that is in no more than s meets nobody.
 
 Sets that are equal count once ("class", a 64-bit hash; documents whose sets share it but differ in a second hash stay
 apart). First every class is bounded against, and then tested on, the class that it shares most runs with; what links forms
@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -47,11 +47,12 @@ from .common import Scratch, packed, parts, unpacked
 from .components import components
 
 LEAST_DIMENSIONS, MOST_DIMENSIONS, COARSE = 64, 4096, 64  # of a stored point, of a point in a cell, of a page
-SLICE = 2000  # queries of a cell, and about its points
+SLICE = 1000  # queries of a cell, and about its points
 HUB = 500  # tests on one class that a task does in a row
 PAGE = 16
-HOT, SPARE = 64, 4
+SPARE = 6  # of so many differences that linked sets may have, one more group must be equal
 FLUSH = 2_000_000  # signatures that a task holds at once
+ROUNDS = 3  # of the search; all but the last for nearest neighbours
 BITS = 1 << 23
 C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
@@ -105,11 +106,11 @@ class Bands:
 
     @lru_cache(4096)  # noqa: B019
     def plan(self, k: int) -> tuple[int, int, int, int]:
-        """(largest size that joins this band, groups, spare groups for empty ones, for frequent ones)."""
+        """(largest size that joins this band, groups, spare groups for empty ones, the number of runs that a class leaves)."""
         low, high = self.start(k), self.start(k + 1) - 1
         most = high * 100 // self.percent
         differ = (100 - self.percent) * (high + most) // (100 + self.percent)
-        frequent, empties = min(SPARE, differ // 8), 0
+        frequent, empties = differ // SPARE, 0
         for _ in range(6):
             m = differ + 1 + frequent + empties
             empty = m * np.exp(-low / m) if m > 1 else 0.0
@@ -145,8 +146,8 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
 
 
 def dimensions(n: int) -> int:
-    """Coordinates of the point of a set of n: about an eighth of n, so that counts of unrelated sets differ by more than links may."""
-    return max(LEAST_DIMENSIONS, 1 << max(0, n // 8 - 1).bit_length())
+    """Coordinates of the point of a set of n, over n of them: the bound is then close to the overlap, so few pairs pass that don't link."""
+    return max(LEAST_DIMENSIONS, 1 << n.bit_length())
 
 
 def point(s: np.ndarray) -> bytes:
@@ -163,8 +164,9 @@ def read_point(vec: bytes, n: int, most: int = MOST_DIMENSIONS) -> np.ndarray:
 
 
 def fold(points: np.ndarray, most: int) -> np.ndarray:
+    exact = points.dtype != np.float64 and points.dtype != np.uint32  # whole numbers below 2**24 stay so in 32 bits
     d = points.shape[-1]
-    return points.reshape(*points.shape[:-1], -1, min(d, most)).sum(-2, dtype=np.int32)
+    return points.reshape(*points.shape[:-1], -1, min(d, most)).sum(-2, dtype=np.float32 if exact else np.float64)
 
 
 def set_hash(s: np.ndarray, seed: int = 0) -> int | None:
@@ -271,8 +273,10 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(run[~least], cls[~least], pivot[~least])
 
 
-def search(cell: dict[str, np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Pairs of classes in different components whose points allow a link; queries are the rows with ``asks``.
+def search(cell: dict[str, np.ndarray], percent: int, nearest: bool = False) -> list[tuple[int, int, int]]:
+    """(a, b, bound beyond need) of classes in different components whose points allow a link; ``a`` are the rows with ``asks``.
+
+    With ``nearest`` only the one with the highest bound for each ``a``, otherwise every pair once.
 
     The tree holds the rows with ``held`` by size, in pages with the maxima of their coarse coordinates. A query visits
     the pages of sizes that can link, then their coarse points, then the full points of what is left; a tree of one page
@@ -307,7 +311,7 @@ def search(cell: dict[str, np.ndarray], percent: int) -> list[tuple[int, int]]:
         else:
             rows = np.arange(len(tree))
         fits = (label[rows] != q_label) & (cls[rows] != q_tested) & (tested[rows] != q)
-        if minor:  # the other one asks too
+        if minor and not nearest:  # the other one asks too
             fits &= cls[rows] > q
         rows = rows[fits]
         if paged:
@@ -315,14 +319,24 @@ def search(cell: dict[str, np.ndarray], percent: int) -> list[tuple[int, int]]:
         if not len(rows):
             continue
         v = read_point(vec, size, d) if v is None else v
-        rows = rows[within_reach(fine[rows], v, n[rows], size, percent)]
-        out += [(min(q, c), max(q, c)) for c in cls[rows].tolist()]
+        beyond = overlap(fine[rows], v) - needed(n[rows], size, percent)
+        if nearest:
+            best = int(beyond.argmax())
+            if beyond[best] >= 0:
+                out.append((q, int(cls[rows[best]]), int(beyond[best])))
+        else:
+            out += [(min(q, c), max(q, c), 0) for c in cls[rows[beyond >= 0]].tolist()]
     return out
 
 
+def overlap(points: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The sum of the coordinates' minima; the most that the sets share."""
+    return np.minimum(points, v) @ np.ones(v.shape[-1], v.dtype)
+
+
 def within_reach(points: np.ndarray, v: np.ndarray, n: np.ndarray | int, m: int, percent: int) -> np.ndarray:
     """Whether the sum of the coordinates' minima allows a link of sets of n and m shingles."""
-    return np.minimum(points, v).sum(-1, dtype=np.int64) >= needed(n, m, percent)
+    return overlap(points, v) >= needed(n, m, percent)
 
 
 def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -418,19 +432,18 @@ def mixed_runs(stars: DataFrame, runs: DataFrame, found: DataFrame) -> DataFrame
     return rows
 
 
-def without_frequent(rows: DataFrame, percent: int) -> DataFrame:
-    """Without the members of runs of over ``HOT`` classes that are in no more such runs of a band than groups were added for these.
+def without_largest(rows: DataFrame, percent: int) -> DataFrame:
+    """Without each class's largest runs of a band, as many as groups were added for these: linked sets meet in one run more, so in another as well.
 
-    Linked sets have one equal group more than that, so they meet in another run as well.
+    Runs are ordered alike for all classes, by size, and what two of them share at the end of the order, both leave.
     """
-    allowed = F.array(*(F.lit(bands(percent).plan(k)[3]) for k in range(64)))
     band = F.col("run").bitwiseAND(63).cast("int")
-    hot = rows.groupBy("run").agg(F.count("*").alias("members")).where(F.col("members") > HOT).select("run", F.lit(True).alias("hot"))
-    rows = rows.join(hot, "run", "left")
-    spared = rows.where("hot").groupBy("cls", band.alias("band")).agg(F.count("*").alias("times"))
-    spared = spared.where(F.col("times") <= F.element_at(allowed, F.col("band") + 1)).select("cls", "band", F.lit(True).alias("spared"))
-    rows = rows.withColumn("band", band).join(spared, ["cls", "band"], "left")
-    return rows.where("hot is null or spared is null").select("run", "cls", "label")
+    left = F.element_at(F.array(*(F.lit(bands(percent).plan(k)[3]) for k in range(64))), band + 1)
+    of_class = Window.partitionBy("cls", "band")
+    rows = rows.withColumns({"band": band, "left": left}).withColumn("meets", F.count("*").over(of_class)).where("meets > left")
+    runs = rows.groupBy("run").agg(F.count("*").alias("members")).where("members > 1")
+    rows = rows.join(runs, "run").withColumn("place", F.row_number().over(of_class.orderBy(F.desc("members"), "run")))
+    return rows.where("place > left").select("run", "cls", "label")
 
 
 def cells(rows: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
@@ -449,24 +462,27 @@ def cells(rows: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
     return rows.join(classes.select("cls", "n", "vec"), "cls").join(tested.select("cls", F.col("pivot").alias("tested")), "cls", "left").withColumn("tested", F.coalesce("tested", "cls"))
 
 
-def searched(percent: int):
+def searched(percent: int, nearest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The pairs of each cell; the rows come sorted by cell, and the last cell may go on in the next batch."""
-        held = None
+        held, seen = None, set()
         for batch in batches:
             if batch.num_rows:
-                held = yield from pairs(pa.Table.from_batches([*held, batch] if held else [batch]), False)
+                held = yield from pairs(pa.Table.from_batches([*held, batch] if held else [batch]), False, seen)
         if held:
-            yield from pairs(pa.Table.from_batches(held), True)
+            yield from pairs(pa.Table.from_batches(held), True, seen)
 
-    def pairs(rows: pa.Table, whole: bool):
+    def pairs(rows: pa.Table, whole: bool, seen: set):
         cols = {c: rows[c].to_numpy() for c in rows.column_names}
         edges = np.flatnonzero(np.any([cols[c][1:] != cols[c][:-1] for c in ("run", "i", "j")], axis=0)) + 1
         edges = [0, *edges.tolist(), *([rows.num_rows] if whole else [])]
-        found = [p for a, b in zip(edges, edges[1:], strict=False) for p in search({c: v[a:b] for c, v in cols.items()}, percent)]
+        found = [p for a, b in zip(edges, edges[1:], strict=False) for p in search({c: v[a:b] for c, v in cols.items()}, percent, nearest)]
+        found = list(set(found) - seen)  # a pair may share many of the task's runs
         if found:
-            found = list(dict.fromkeys(found))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+            if len(seen) > 1_000_000:
+                seen.clear()
+            seen.update(found)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b", "beyond"])
         return rows.slice(edges[-1]).to_batches()
 
     return run
@@ -496,16 +512,32 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     links = verified(bounded(tested.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), classes, percent), classes, keyed, words, percent, scratch, "links")
     found = scratch.keep(components(links), "found")
 
-    # Then the runs that still hold several components, through the tree.
+    # Then the runs that still hold several components, through the tree: first only each class's nearest neighbour in
+    # another component, which leaves few components of what is linked at all, then every pair that the bound allows.
     rows = scratch.keep(mixed_runs(stars, runs, found), "mixed")
-    rows = scratch.keep(without_frequent(rows, percent), "rows")
-    scratch.drop("met", "stars", "mixed")
-    rows = cells(rows, classes, tested).select("run", "at.i", "at.j", "cls", "label", "minor", "asks", "held", "n", "vec", "tested")
-    rows = rows.repartition(parts(count, 5000, least), "run", "i", "j").sortWithinPartitions("run", "i", "j")
-    rest = scratch.keep(rows.mapInArrow(searched(percent), "a long, b long").distinct(), "rest")
-    more = verified(rest, classes, keyed, words, percent, scratch, "more")
+    rows = scratch.keep(without_largest(rows, percent), "rows-0")
+    scratch.drop("met", "stars", "mixed", "found")
+    for k in range(1, ROUNDS + 1):
+        nearest = k < ROUNDS
+        places_of = cells(rows, classes, tested).select("run", "at.i", "at.j", "cls", "label", "minor", "asks", "held", "n", "vec", "tested")
+        places_of = places_of.repartition(parts(count, 5000, least), "run", "i", "j").sortWithinPartitions("run", "i", "j")
+        pairs = places_of.mapInArrow(searched(percent, nearest), "a long, b long, beyond long")
+        if nearest:
+            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("beyond", "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = scratch.keep(pairs.select("a", "b").distinct(), f"pairs-{k}")
+        more = verified(pairs, classes, keyed, words, percent, scratch, f"links-{k}")
+        if more.isEmpty():
+            if nearest:
+                continue
+            break
+        links = links.union(more)
+        if nearest:
+            found = components(links).select(F.col("node").alias("cls"), "component")
+            named = rows.join(found, "cls", "left").select("run", "cls", F.coalesce("component", "cls").alias("label"))
+            mixed = named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("run")
+            rows = scratch.keep(named.join(mixed, "run", "left_semi"), f"rows-{k}")
     groups = scratch.keep(components(links.union(more)).select(F.col("node").alias("cls"), F.col("component").alias("group")), "groups")
-    scratch.drop("rows", "classes", "tested", "links", "found", "rest", "more")
+    scratch.drop("classes", "tested", "links", *(f"{t}-{k}" for t in ("rows", "pairs", "links") for k in range(ROUNDS + 1)))
     return seen, groups
 
 
