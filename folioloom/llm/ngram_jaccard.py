@@ -52,7 +52,7 @@ HUB = 500  # tests on one class that a task does in a row
 PAGE = 16
 SPARE = 6  # of so many differences that linked sets may have, one more group must be equal
 FLUSH = 2_000_000  # signatures that a task holds at once
-ROUNDS = 3  # of the search; all but the last for nearest neighbours
+ROUNDS, NEAR = 3, 4  # searches, all but the last for nearest neighbours in that many runs of each class
 BITS = 1 << 23
 C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
@@ -443,7 +443,7 @@ def without_largest(rows: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumns({"band": band, "left": left}).withColumn("meets", F.count("*").over(of_class)).where("meets > left")
     runs = rows.groupBy("run").agg(F.count("*").alias("members")).where("members > 1")
     rows = rows.join(runs, "run").withColumn("place", F.row_number().over(of_class.orderBy(F.desc("members"), "run")))
-    return rows.where("place > left").select("run", "cls", "label")
+    return rows.where("place > left").select("run", "cls", "label", (F.col("place") - F.col("left")).alias("place"))
 
 
 def cells(rows: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
@@ -513,13 +513,14 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     found = scratch.keep(components(links), "found")
 
     # Then the runs that still hold several components, through the tree: first only each class's nearest neighbour in
-    # another component, which leaves few components of what is linked at all, then every pair that the bound allows.
+    # another component, in a few runs, which leaves few components of what is linked at all; then every pair that the
+    # bound allows.
     rows = scratch.keep(mixed_runs(stars, runs, found), "mixed")
     rows = scratch.keep(without_largest(rows, percent), "rows-0")
     scratch.drop("met", "stars", "mixed", "found")
     for k in range(1, ROUNDS + 1):
         nearest = k < ROUNDS
-        places_of = cells(rows, classes, tested).select("run", "at.i", "at.j", "cls", "label", "minor", "asks", "held", "n", "vec", "tested")
+        places_of = cells(rows.where(F.col("place") <= NEAR) if nearest else rows, classes, tested).select("run", "at.i", "at.j", "cls", "label", "minor", "asks", "held", "n", "vec", "tested")
         places_of = places_of.repartition(parts(count, 5000, least), "run", "i", "j").sortWithinPartitions("run", "i", "j")
         pairs = places_of.mapInArrow(searched(percent, nearest), "a long, b long, beyond long")
         if nearest:
@@ -533,7 +534,7 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
         links = links.union(more)
         if nearest:
             found = components(links).select(F.col("node").alias("cls"), "component")
-            named = rows.join(found, "cls", "left").select("run", "cls", F.coalesce("component", "cls").alias("label"))
+            named = rows.join(found, "cls", "left").select("run", "cls", F.coalesce("component", "cls").alias("label"), "place")
             mixed = named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("run")
             rows = scratch.keep(named.join(mixed, "run", "left_semi"), f"rows-{k}")
     groups = scratch.keep(components(links.union(more)).select(F.col("node").alias("cls"), F.col("component").alias("group")), "groups")
