@@ -82,6 +82,39 @@ def test_classifier_on_whole_table(spark):
     assert (test.predicted == test.quality).mean() > 0.95
 
 
+def test_classifier_against_dense_fit(spark):
+    """The same scores from whole matrices: features, ridge solution, isotonic steps."""
+    docs, known = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_classifier.fit(quality_classifier.document_features(docs), known)
+    got = {r.doc_id: r.score for r in quality_classifier.classify(docs, known).collect()}
+    quality = {r.doc_id: r.quality for r in known.collect()}
+    rows = [(r.doc_id, docstats.statistics(r.text)[1]) for r in docs.collect()]
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 for i, _ in rows])
+    x, y = np.array([f for _, f in rows]), np.array([quality.get(i, -1) for i, _ in rows])
+    first, last = (y >= 0) & (fold > 0) & (fold < 4), (y >= 0) & (fold == 4)
+    rng = np.random.default_rng(7)
+    waves, phases = rng.normal(size=(x.shape[1], 192)) / 4, rng.uniform(0, 2 * np.pi, 192)
+    z = np.clip((x - x[first].mean(0)) / np.maximum(x[first].std(0), 1e-6), -8, 8)
+    z = np.hstack([np.cos(z @ waves + phases) * np.sqrt(2 / 192), np.full((len(x), 1), 0.125)])
+    w = np.linalg.solve(z[first].T @ z[first] + 1e-3 * first.sum() / 192 * np.eye(193), z[first].T @ y[first])
+    raw = model.raw(x)
+    assert np.abs(raw - np.clip(z @ w, 0, 1)).max() < 2e-3
+    cell = np.rint(raw * quality_classifier.GRID)
+    blocks = [[c / quality_classifier.GRID, (cell[last] == c).sum(), y[last][cell[last] == c].mean()] for c in np.unique(cell[last])]
+    while any(a[2] >= b[2] for a, b in zip(blocks, blocks[1:])):  # noqa: B905
+        k = next(k for k in range(len(blocks) - 1) if blocks[k][2] >= blocks[k + 1][2])
+        a, b = blocks[k], blocks[k + 1]
+        blocks[k : k + 2] = [[(a[0] * a[1] + b[0] * b[1]) / (a[1] + b[1]), a[1] + b[1], (a[2] * a[1] + b[2] * b[1]) / (a[1] + b[1])]]
+    wanted = np.interp(raw, [b[0] for b in blocks], [b[2] for b in blocks])
+    assert [got[i] for i, _ in rows] == pytest.approx(wanted.tolist(), abs=1e-9)
+
+
+def test_classifier_is_reproducible(spark):
+    docs, known = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
+    scores = [as_set(quality_classifier.classify(d, known.repartition(n))) for d, n in ((docs, 1), (docs.repartition(7), 3), (docs.orderBy("text").repartition(2), 5))]
+    assert scores[0] == scores[1] == scores[2]
+
+
 def test_classifier_on_awkward_rows(spark):
     docs = documents(spark)
     got = quality_classifier.classify(docs, labels(spark))
