@@ -7,7 +7,7 @@ before it. So one pass stores a token for each prefix and back-pointers give the
 Two tokens are compatible when BPE would not merge across their border: undo their merges from the latest to the
 earliest and look, at each step, for a merge across the border that would have come first.
 
-Defined results: a null text is encoded as an empty one (no tokens); the added tokens' strings in a text become
+Defined results: an empty table gives an empty result; a null text is encoded as an empty one (no tokens); the added tokens' strings in a text become
 their own ids; whole texts of any length are encoded; repeated rows each give a row; other columns are ignored.
 """
 
@@ -51,11 +51,26 @@ class Remembered(dict):
         return out
 
 
+def check(spec: dict) -> None:
+    """Raise for what this encoder doesn't do, instead of giving other ids."""
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    wrong += ["model.type"] if model.get("type", "BPE") != "BPE" else []
+    wrong += ["normalizer"] if spec.get("normalizer") else []
+    wrong += ["pre_tokenizer"] if {k: before.get(k, True) for k in plain} != plain else []
+    wrong += ["decoder"] if (spec.get("decoder") or {}).get("type") != "ByteLevel" else []
+    wrong += [f"added token {t['content']!r}" for t in spec.get("added_tokens", []) if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized")]
+    if wrong:
+        raise ValueError(f"not a plain byte-level BPE: {', '.join(wrong)}")
+
+
 class Bpe:
     """A byte-level BPE vocabulary in the JSON format of the tokenizers library."""
 
     def __init__(self, source: str):
         spec = json.loads(source)
+        check(spec)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         self.letters = byte_letters()
         to_byte = {c: bytes([b]) for b, c in enumerate(self.letters)}
@@ -85,8 +100,6 @@ class Bpe:
         self.split_added = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.words = regex.compile(PATTERN).findall
         self.run_of_space = regex.compile(r"\s (?!\S)").search
-        # Where BPE makes each token of its own text, a pre-token that is a token needs no search.
-        self.by_text = {t.decode("latin-1"): i.to_bytes(4, "little") for i, t in self.text.items()} if all(map(self.alone, range(len(self.halves)))) else {}
         self.text |= {i: t.encode() for t, i in self.added.items()}
 
     def compatible(self, a: int, b: int) -> bool:
@@ -130,9 +143,6 @@ class Bpe:
     def encode_word(self, word: str) -> bytes:
         """The ids of a pre-token as little-endian unsigned 32-bit integers."""
         s = word if word.isascii() else word.encode("utf-8").decode("latin-1")
-        known = self.by_text.get(s)
-        if known is not None:
-            return known
         last: list[int] = [-1] * (len(s) + 1)
         pairs = self.pairs
         for end, (token, size) in self.automaton.iter(s):

@@ -11,6 +11,7 @@ of any length are kept; an empty table gives an empty result; columns other than
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import cache
 
@@ -21,9 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bpe import PATTERN, byte_letters
+from .bpe import PATTERN, byte_letters, check, load
 from .common import map_rows, parts
 
+ENDLESS = re.compile(r"\s{50000}").search
 PIECES = T.StructType([
     T.StructField("grp", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
     T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType()),
@@ -33,16 +35,23 @@ PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 @cache
 def encoder(source: str):
-    """Text to ids, equal to those of the tokenizers library for a byte-level BPE in its JSON format."""
+    """Text to ids, equal to those of the tokenizers library for a byte-level BPE in its JSON format.
+
+    The faster library's pattern matcher overflows on about a million white-space characters in a row; texts with such
+    runs go to the encoder of ``bpe``.
+    """
     import json
 
     spec = json.loads(source)
+    check(spec)
     to_byte = {c: b for b, c in enumerate(byte_letters())}
     added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(to_byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     made = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(text: str) -> list[int]:
+        if ENDLESS(text):
+            return np.frombuffer(load(source).encode(text), "<u4").tolist()
         if any(t in text for t in added):
             return made.encode(text, allowed_special="all")
         return made.encode_ordinary(text)
