@@ -3,11 +3,15 @@
 A payload travels as the ancillary bytes of silent MPEG-1 Layer III frames (48 kHz, mono, 80 kbit/s: 240 bytes each,
 of which 192 carry payload), behind an ID3v2 tag with the unpadded size and a frame with a variable-bitrate table
 (frame count, byte count, 100 seek entries). Reading trusts nothing of this: it skips tags, resynchronises on frame
-headers (a header counts when the next frame, or the end, follows where it says), checks each frame's CRC-16, and
-gives the exact duration in samples and each frame's byte offset.
-
-Defined results: a null text is stored as an empty one (192 spaces); bytes without frames give zero frames; damaged
-frames are counted in ``crc_failed`` or skipped by the resynchronisation; repeated rows give equal rows.
+headers (a header counts when a frame of the same version, layer and rate, or the end, follows where it says), checks
+each frame's CRC-16, and gives the exact duration in samples, without an encoder's delay and padding where its table tells
+them, and each frame's byte offset. Tags read: ID3v2.2 to 2.4 with extended headers, unsynchronisation and footers, ID3v1,
+APEv2; tables: Xing, Info and VBRI.
+
+Defined results: a null text is stored as an empty one (192 spaces); null bytes and bytes without frames give zero
+frames; an empty table gives an empty result; damaged frames are counted in ``crc_failed`` or skipped by the
+resynchronisation; checksums of Layer II, which cover a part of variable length, are not tested; repeated rows give equal
+rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -73,7 +77,7 @@ def write(payload: bytes, n_bytes: int) -> bytes:
     """A file with ``payload`` (a multiple of 192 bytes), of which the first ``n_bytes`` are content."""
     size, _, _, side, _ = header(HEADER)
     text = b"\x03payload_bytes\0" + str(n_bytes).encode()
-    tag = b"TXXX" + struct.pack(">I", len(text)) + b"\0\0" + text
+    tag = b"TXXX" + synchsafe(len(text)) + b"\0\0" + text
     lead = HEADER + struct.pack(">H", crc16(HEADER[2:] + bytes(side))) + bytes(side)
     rest = bytes(size - len(lead) - UNIT)
     frames = len(payload) // UNIT
@@ -84,61 +88,116 @@ def write(payload: bytes, n_bytes: int) -> bytes:
     return b"ID3\x04\0\0" + synchsafe(len(tag)) + tag + (plain + table).ljust(size, b"\0") + body
 
 
+def from_synchsafe(data: bytes) -> int:
+    return sum((b & 0x7F) << 7 * k for k, b in enumerate(reversed(data)))
+
+
 def read_tags(data: bytes) -> tuple[int, dict[str, str]]:
-    """Where frames can start, and the text frames of ID3v2."""
+    """Where frames can start, and the text frames of ID3v2 (names of version 2.2 have three letters)."""
     start, tags = 0, {}
-    while data[start : start + 3] == b"ID3" and len(data) >= start + 10:
-        size = sum((b & 0x7F) << s for b, s in zip(data[start + 6 : start + 10], (21, 14, 7, 0), strict=True))
-        at, stop = start + 10, min(len(data), start + 10 + size)
-        while at + 10 <= stop and data[at] > 0:
-            kind, n = data[at : at + 4].decode("latin-1"), struct.unpack(">I", data[at + 4 : at + 8])[0]
-            value = data[at + 10 : min(stop, at + 10 + n)]
+    while len(data) >= start + 10 and data[start : start + 3] == b"ID3":
+        version, flags, size = data[start + 3], data[start + 5], from_synchsafe(data[start + 6 : start + 10])
+        body = data[start + 10 : start + 10 + size]
+        if flags & 0x80 and version < 4:
+            body = body.replace(b"\xff\0", b"\xff")
+        at, name_size = 0, 3 if version == 2 else 4
+        if flags & 0x40 and version == 3 and len(body) >= 4:
+            at = 4 + int.from_bytes(body[:4], "big")
+        elif flags & 0x40 and version == 4:
+            at = from_synchsafe(body[:4])
+        lead = 6 if version == 2 else 10
+        while at + lead <= len(body) and body[at] > 0:
+            kind, sized = body[at : at + name_size].decode("latin-1"), body[at + name_size : at + 2 * name_size]
+            n = from_synchsafe(sized) if version == 4 else int.from_bytes(sized, "big")
+            value = body[at + lead : at + lead + n]
+            if version == 4:
+                if body[at + 9] & 1:  # a length of the data goes before them
+                    value = value[4:]
+                if (flags & 0x80) or body[at + 9] & 2:
+                    value = value.replace(b"\xff\0", b"\xff")
             if kind.startswith("T") and value:
-                text = value[1:].decode("utf-16" if value[0] in (1, 2) else "utf-8" if value[0] == 3 else "latin-1", "replace")
-                name, _, rest = text.partition("\0") if kind == "TXXX" else (kind, "", text)
-                tags[name] = rest
-            at += 10 + n
-        start = stop
+                text = value[1:].decode({1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(value[0], "latin-1"), "replace")
+                name, _, rest = text.partition("\0") if kind in ("TXXX", "TXX") else (kind, "", text)
+                tags[name] = rest.rstrip("\0")
+            at += lead + n
+        start = min(len(data), start + 10 + size + 10 * (version == 4 and flags >> 4 & 1))
     return start, tags
 
 
+def ape_tag(data: bytes, at: int, end: int) -> int:
+    """Where an APE tag that ends at ``end`` begins; ``end`` if none does."""
+    foot = data[end - 32 : end] if end - at >= 32 else b""
+    if foot[:8] != b"APETAGEX":
+        return end
+    size, flags = struct.unpack("<I", foot[12:16])[0], struct.unpack("<I", foot[20:24])[0]
+    start = end - size - 32 * (flags >> 31)
+    return start if size >= 32 and start >= at else end
+
+
+def read_table(data: bytes, at: int, lead: int) -> tuple[int | None, int | None, bytes, int] | None:
+    """(frames, bytes, seek entries, samples of delay and padding) of a frame's variable-bitrate table."""
+    if data[at + 36 : at + 40] == b"VBRI" and len(data) >= at + 62:
+        total, frames, entries, _, width = struct.unpack(">IIHHH", data[at + 46 : at + 60])
+        return frames, total, data[at + 62 : at + 62 + entries * width], 0
+    p = at + lead
+    if data[p : p + 4] not in (b"Xing", b"Info") or len(data) < p + 8:
+        return None
+    flags = struct.unpack(">I", data[p + 4 : p + 8])[0]
+    p += 8
+    numbers = []
+    for bit in (1, 2):
+        numbers.append(int.from_bytes(data[p : p + 4], "big") if flags & bit else None)
+        p += 4 * bool(flags & bit)
+    seek = data[p : p + 100] if flags & 4 else b""
+    p += 100 * bool(flags & 4) + 4 * bool(flags & 8)
+    spare = int.from_bytes(data[p + 21 : p + 24], "big") if data[p : p + 4] in (b"LAME", b"Lavf", b"Lavc") else 0
+    return *numbers, seek, (spare >> 12) + (spare & 0xFFF)
+
+
+def checked_bytes(h: bytes, side: int) -> int:
+    """Bytes behind the checksum that it covers: side information of Layer III, bit allocation of Layer I; 0 if not known."""
+    layer, mode = 4 - (h[1] >> 1 & 3), h[3] >> 6
+    if layer == 1:
+        return 16 if mode == 3 else 32 if mode != 1 else (4 * ((h[3] >> 4 & 3) + 1) + 32) // 2
+    return side
+
+
 def read(data: bytes) -> dict:
     """Offsets, sizes, exact samples, checks, table and payload of a file."""
     at, tags = read_tags(data)
     first, end = at, len(data)
-    tag = end - 128 if end - at >= 128 and data[-128:-125] == b"TAG" else -1  # of ID3v1, unless a frame spans that place
+    # Of a closing tag, unless a frame spans its place: frames are taken as long as one follows.
+    closing = end - 128 if end - at >= 128 and data[end - 128 : end - 125] == b"TAG" else end
+    ends = {closing, ape_tag(data, at, closing), ape_tag(data, at, end)} - {end}
     offsets, samples, ok, failed, skipped, hertz, table, payload = [], 0, 0, 0, 0, 0, None, []
-    while at + 4 <= end and at != tag:
+    while at + 4 <= end and at not in ends:
         h = header(data[at : at + 4])
         after = at + h[0] if h else 0
-        if not h or after > end or after + 4 <= end and after != tag and not header(data[after : after + 4]):
-            stop = tag if at < tag else end
+        follows = after not in ends and after + 4 <= end
+        like = follows and header(data[after : after + 4]) and not (data[after + 1] ^ data[at + 1]) & 0xFE and not (data[after + 2] ^ data[at + 2]) & 0x0C
+        if not h or after > end or follows and not like:
+            stop = min([x for x in ends if x > at], default=end)
             step = data.find(b"\xff", at + 1, stop)
             step = stop if step < 0 else step
             skipped, at = skipped + step - at, step
             continue
         size, n, rate, side, checked = h
         lead = 4 + 2 * checked + side
-        mark = data[at + lead : at + lead + 4]
-        if table is None and not offsets and mark in (b"Xing", b"Info"):
-            flags = struct.unpack(">I", data[at + lead + 4 : at + lead + 8])[0]
-            p = at + lead + 8
-            numbers = []
-            for bit in (1, 2):
-                numbers.append(struct.unpack(">I", data[p : p + 4])[0] if flags & bit else None)
-                p += 4 * bool(flags & bit)
-            table = (*numbers, data[p : p + 100] if flags & 4 else b"")
+        found = read_table(data, at, lead) if table is None and not offsets else None
+        if found:
+            table = found
         else:
-            if checked and side:
-                good = crc16(data[at + 2 : at + 4] + data[at + 6 : at + lead]) == int.from_bytes(data[at + 4 : at + 6], "big")
+            covered = checked_bytes(data[at : at + 4], side) if checked else 0
+            if covered:
+                good = crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + covered]) == int.from_bytes(data[at + 4 : at + 6], "big")
                 ok, failed = ok + good, failed + (not good)
             offsets.append(at)
-            samples, hertz = samples + n, rate
+            samples, hertz = samples + n, hertz or rate
             payload.append(data[at + lead : at + min(size, lead + UNIT)])
         at = after
     return {
-        "tags": tags, "first": first, "offsets": offsets, "samples": samples, "hertz": hertz, "crc_ok": ok, "crc_failed": failed,
-        "skipped": skipped, "table": table, "payload": b"".join(payload),
+        "tags": tags, "first": first, "offsets": offsets, "samples": max(0, samples - (table[3] if table else 0)), "hertz": hertz, "crc_ok": ok,
+        "crc_failed": failed, "skipped": skipped, "table": table, "payload": b"".join(payload),
     }
 
 

@@ -169,3 +169,77 @@ def test_audio_headers():
     assert mpeg_audio.header(bytes([0xFF, 0xFB, 0x92, 0x00]))[0] == 418
     assert mpeg_audio.header(bytes([0xFF, 0xF3, 0x80, 0xC0]))[:3] == (208, 576, 22050)
     assert mpeg_audio.header(bytes([0xFF, 0xFB, 0xF0, 0x00])) is None
+
+
+def frames(lead: bytes, count: int) -> bytes:
+    size = mpeg_audio.header(lead)[0]
+    return lead.ljust(size, b"\0") * count
+
+
+def test_audio_tags():
+    body = frames(mpeg_audio.HEADER[:1] + b"\xfb" + mpeg_audio.HEADER[2:], 3)
+    long = "x" * 300  # a size over 127: synchsafe in 2.4, plain in 2.3
+    size = mpeg_audio.synchsafe
+    v4 = b"TIT2" + size(301) + b"\0\0\x03" + long.encode()
+    v3 = b"TIT2" + (301).to_bytes(4, "big") + b"\0\0\0" + long.encode()
+    v2 = b"TT2" + (301).to_bytes(3, "big") + b"\0" + long.encode()
+    files = {
+        "TIT2": [b"ID3\4\0\0" + size(len(v4)) + v4, b"ID3\3\0\0" + size(len(v3)) + v3, b"ID3\4\0\x10" + size(len(v4)) + v4 + b"3DI" + bytes(7)]
+        + [b"ID3\4\0\x40" + size(len(v4) + 6) + size(6) + b"\1\0" + v4, b"ID3\3\0\x40" + size(len(v3) + 10) + (6).to_bytes(4, "big") + bytes(6) + v3],
+        "TT2": [b"ID3\2\0\0" + size(len(v2)) + v2],
+    }
+    for name, tags in files.items():
+        for tag in tags:
+            found = mpeg_audio.read(tag + body)
+            assert found["tags"] == {name: long} and found["first"] == len(tag) and len(found["offsets"]) == 3 and found["skipped"] == 0
+    swung = b"TXXX" + (8).to_bytes(4, "big") + b"\0\0\0a\0b\xffcd\xe0"
+    safe = swung.replace(b"\xff", b"\xff\0")
+    assert mpeg_audio.read(b"ID3\3\0\x80" + size(len(safe)) + safe + body)["tags"] == {"a": "b\xffcd\xe0"}
+    ape = b"APETAGEX" + (2000).to_bytes(4, "little") + (32 + 40).to_bytes(4, "little") + bytes(16)
+    closed = body + bytes(40) + ape
+    for file in (closed, closed + b"TAG" + bytes(125)):
+        found = mpeg_audio.read(file)
+        assert len(found["offsets"]) == 3 and found["skipped"] == 0
+
+
+def test_audio_tables_and_layers():
+    plain = bytes([0xFF, 0xFB, 0x90, 0x00])  # 128 kbit/s, 44.1 kHz, stereo
+    body = frames(plain, 5)
+    lame = b"Info" + (15).to_bytes(4, "big") + (5).to_bytes(4, "big") + (417 * 6).to_bytes(4, "big") + bytes(100) + bytes(4) + b"LAME3.100" + bytes(12) + (576 << 12 | 1000).to_bytes(3, "big")
+    found = mpeg_audio.read((plain + bytes(32) + lame).ljust(417, b"\0") + body)
+    assert found["samples"] == 5 * 1152 - 1576 and found["table"][0] == 5 and len(found["offsets"]) == 5
+    vbri = b"VBRI" + bytes(6) + (417 * 6).to_bytes(4, "big") + (5).to_bytes(4, "big") + (2).to_bytes(2, "big") + (1).to_bytes(2, "big") + (2).to_bytes(2, "big") + (3).to_bytes(2, "big") + b"abcd"
+    found = mpeg_audio.read((plain + bytes(32) + vbri).ljust(417, b"\0") + body)
+    assert found["table"][:3] == (5, 417 * 6, b"abcd") and found["samples"] == 5 * 1152
+    other = frames(bytes([0xFF, 0xF3, 0x80, 0xC0]), 1)  # another version: no frame of this file
+    found = mpeg_audio.read(body + other[:50] + body)
+    assert found["hertz"] == 44100 and len(found["offsets"]) >= 9 and found["skipped"] > 0
+    one = bytes([0xFF, 0xFE, 0x50, 0xC0])  # Layer I with CRC, mono
+    sum_ = mpeg_audio.crc16(one[2:] + bytes(16)).to_bytes(2, "big")
+    size = mpeg_audio.header(one)[0]
+    found = mpeg_audio.read((one + sum_).ljust(size, b"\0") + (one + b"xx").ljust(size, b"\0"))
+    assert (found["crc_ok"], found["crc_failed"], found["samples"]) == (1, 1, 768)
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t"])
+def test_endless_white_space(library, own, space):
+    with open(tokenizer(), encoding="utf-8") as f:
+        encode = packing.encoder(f.read())
+    for text in (space * 2_000_000 + "x", "a " + space * 60_000, space * 1_500_000):
+        assert encode(text) == ids_of(own, text)
+    assert encode(space * 50_001 + "x") == library.encode(space * 50_001 + "x", add_special_tokens=False).ids
+
+
+def test_unsupported_vocabularies_raise():
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        source = f.read()
+    with pytest.raises(ValueError, match="end_of_word_suffix, normalizer, pre_tokenizer"):
+        bpe.Bpe(source)
+    with open(tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    with pytest.raises(ValueError, match="lstrip|added token"):
+        bpe.check(spec | {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]})
