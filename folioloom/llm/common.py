@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +91,31 @@ class Scratch:
             path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
+BITS = 1 << 23
+
+
+def passing(keys: DataFrame):
+    """A function of a long column: false only for values that are not among ``keys``.
+
+    A filter of fixed size (1 MB, broadcast) that spares shuffles; with many more keys than bits it lets all pass, and
+    no result depends on it.
+    """
+    words = keys.select(F.pmod(F.col(keys.columns[0]), F.lit(BITS)).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")
+    )
+    bits = np.zeros(BITS // 64, np.int64)
+    for r in words.toLocalIterator():
+        bits[r.w] = r.bits
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(values: pd.Series) -> pd.Series:
+        p = values.to_numpy() % BITS
+        return pd.Series((shared.value[p // 64] >> (p % 64)) & 1 == 1)
+
+    return maybe
+
+
 def parts(rows: int, each: int, least: int = 1) -> int:
     """Number of groups of about ``each`` rows."""
     return max(least, -(-rows // each))

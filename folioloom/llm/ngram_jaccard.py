@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch, packed, parts, unpacked
+from .common import Scratch, packed, parts, passing, unpacked
 from .components import components
 
 LEAST_DIMENSIONS, MOST_DIMENSIONS, COARSE = 64, 4096, 64  # of a stored point, of a point in a cell, of a page
@@ -53,7 +53,6 @@ PAGE = 16
 SPARE = 6  # of so many differences that linked sets may have, one more group must be equal
 FLUSH = 2_000_000  # signatures that a task holds at once
 ROUNDS, NEAR = 3, 4  # searches, all but the last for nearest neighbours in that many runs of each class
-BITS = 1 << 23
 C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
@@ -371,30 +370,21 @@ def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, words: int,
     wanted = scratch.keep(wanted.join(classes.select("cls", "key"), "cls"), f"{name}-wanted")
     tests = wanted.count()
 
-    of_bits = wanted.select(F.pmod("key", F.lit(BITS)).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")
-    )
-    bits = np.zeros(BITS // 64, np.int64)  # a filter of fixed size, 1 MB: it saves shuffling texts, and no result depends on it
-    for r in of_bits.toLocalIterator():
-        bits[r.w] = r.bits
-    shared = spark.sparkContext.broadcast(bits)
-
-    def asked_for(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # copies that a task has are sent once
         for batch in batches:
-            keys = batch["key"].to_numpy()
-            p = keys % BITS
             take = []
-            for at in np.flatnonzero((shared.value[p // 64] >> (p % 64)) & 1):
-                if keys[at] not in sent:
+            for at, key in enumerate(batch["key"].to_pylist()):
+                if key not in sent:
                     if len(sent) > 1_000_000:
                         sent.clear()
-                    sent.add(keys[at])
+                    sent.add(key)
                     take.append(at)
             if take:
                 yield batch.take(pa.array(take))
 
-    texts = keyed.select("key", "text").mapInArrow(asked_for, "key long, text string").dropDuplicates(["key"])
+    maybe = passing(wanted.select("key"))
+    texts = keyed.where(maybe("key")).select("key", "text").mapInArrow(once, "key long, text string").dropDuplicates(["key"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, base = None, None

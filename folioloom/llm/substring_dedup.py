@@ -3,12 +3,13 @@
 A text is cut, without loss, at sentence ends (``.``, ``!`` or ``?`` before white space, and line ends) and within every
 sentence before the word whose hash is the least of some ``WINDOW`` words in a row (the last of equal ones). Such a cut
 depends on fewer than ``WINDOW`` words to either side, neither on where the sentence starts nor on its length, and no piece
-has more than ``WINDOW`` words. From each piece the shortest run of at least two pieces and ``LEAST`` words is hashed,
-forwards and backwards, so that every piece of a repeated passage lies in a run that is inside it. Runs are joined
-globally by hash: the first (lowest doc_id, then place) stays, and a piece that any later occurrence covers is removed.
+has more than ``WINDOW`` words. From each piece the shortest run of at least two pieces and ``least`` words (a parameter;
+with 1 that is every pair of neighbours, which any longer run is made of) is hashed, forwards and backwards, so that every
+piece of a repeated passage lies in a run that is inside it. Runs are joined globally by 89 bits of two hashes: the first
+(lowest doc_id, then place) stays, and a piece that any later occurrence covers is removed.
 Cuts at least ``WINDOW`` words inside a repeated passage are equal in all its copies, so any passage of
-``LEAST + 4 * WINDOW - 3`` words (50), with the same white space between them, has an equal run in all of them, wherever it
-starts; repeats of whole sentences are found from ``LEAST`` words on. Every piece but the first starts with its white space,
+``least + 4 * WINDOW - 3`` words (50), with the same white space between them, has an equal run in all of them, wherever it
+starts; repeats of whole sentences are found from ``least`` words on. Every piece but the first starts with its white space,
 so that what is left of a text never runs together.
 
 Skew: a task flags all but its own first occurrence of a run at once and sends on only that one, so a run that is in a
@@ -16,13 +17,15 @@ third of all documents reaches the join as one row per task.
 
 Defined results: null texts stay null and empty ones empty; rows equal in doc_id and text are one document and are
 treated alike; rows that share a doc_id but not the text are separate documents, as are rows without a doc_id that
-differ in text; a document all of whose sentences are repeats keeps an empty text. All other columns stay as they are.
+differ in text; a document all of whose sentences are repeats keeps an empty text; a text of one sentence has no run. An empty table gives
+an empty result. All other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -32,15 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, parts, unpacked
+from .common import Scratch, packed, parts, passing, unpacked
 
-LEAST, MOST = 25, 24  # words of a run, and the most that a piece may have
+LEAST, MOST = 25, 24  # words of a run by default, and the most that a piece may have
 WINDOW = 7  # words of which one is cut before; no piece is longer
 FLUSH = 1_000_000  # runs that a task holds at once
 _WORDS = re.compile(r"\s*\S+")
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.full(1 << 12, _BASE, np.uint64))
 _INVERSES = np.cumprod(np.full(1 << 12, pow(_BASE, -1, 1 << 64), np.uint64))
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Ranks(dict):
@@ -81,49 +85,54 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(np.full(n, _BASE, np.uint64)), np.cumprod(np.full(n, pow(_BASE, -1, 1 << 64), np.uint64))
 
 
-def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first and last sentence of each run."""
+def runs(text: str, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each run, and its span: 25 bits of a second hash, 30 of its first sentence, 7 of how many follow, and one free."""
     units, sizes = sentences(text)
     n = len(units)
     if n < 2:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     words = np.concatenate([[0], np.cumsum(sizes)])
     at = np.arange(n)
-    ends = np.maximum(np.searchsorted(words, words[:-1] + LEAST, side="left") - 1, at + 1)  # last sentence of the forward run
-    starts = np.minimum(np.searchsorted(words, words[1:] - LEAST, side="right") - 1, at - 1)  # first of the backward run
+    ends = np.maximum(np.searchsorted(words, words[:-1] + least, side="left") - 1, at + 1)  # last sentence of the forward run
+    starts = np.minimum(np.searchsorted(words, words[1:] - least, side="right") - 1, at - 1)  # first of the backward run
     first = np.concatenate([at[ends < n], starts[starts >= 0]])
     last = np.concatenate([ends[ends < n], at[starts >= 0]])
-    enough = words[last + 1] - words[first] >= LEAST
+    enough = words[last + 1] - words[first] >= least
     place = np.unique(first[enough] * (n + 1) + last[enough])
     first, last = place // (n + 1), place % (n + 1)
     h = np.fromiter((xxhash.xxh3_64_intdigest(u.strip()) for u in units), np.uint64, n)
     up, down = powers(n)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up)])
-    key = (total[last + 1] - total[first]) * down[first]
-    key ^= key >> np.uint64(32)
-    key *= np.uint64(0xD6E8FEB86659FD93)
-    return (key ^ (key >> np.uint64(29))).view(np.int64), first, last
-
-
-# A span is first << 8 | (last - first) << 1 | late: a run has at most LEAST pieces, and a row that holds less takes less disk.
+    made = []
+    for x in (h, (h ^ (h >> np.uint64(32))) * _SECOND):  # the sum of hashes times powers, moved to the same power
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up)])
+        key = (total[last + 1] - total[first]) * down[first]
+        key ^= key >> np.uint64(32)
+        key *= _SECOND
+        made.append(key ^ (key >> np.uint64(29)))
+    key, second = made
+    return key.view(np.int64), (second >> np.uint64(39)).view(np.int64) << 38 | first << 8 | last - first << 1
+
+
+# The lowest bit of a span says that the run is not the first of its hash. A row that holds less takes less disk.
 ROWS = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("span", pa.int64())])
 ROWS_DDL = "h long, key long, doc_id long, span long"
 
 
 def mark_late(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The rows (h, doc_id, key, span) in order, and which are not the first of their hash; equal rows once."""
-    order = np.lexsort(rows[::-1])
-    rows = [c[order] for c in rows]
+    """The rows (h, doc_id, key, span) in order, and which are not the first of their hashes; equal rows once."""
+    second = rows[3] >> 38
+    order = np.lexsort([*rows[:0:-1], second, rows[0]])
+    rows, second = [c[order] for c in rows], second[order]
     if not len(order):
         return rows, np.empty(0, bool)
-    same = rows[0][1:] == rows[0][:-1]
+    same = (rows[0][1:] == rows[0][:-1]) & (second[1:] == second[:-1])
     again = same & np.all([c[1:] == c[:-1] for c in rows[1:]], axis=0)
     fresh = np.concatenate([[True], ~again])
     late = np.concatenate([[False], same])[fresh]
     return [c[fresh] for c in rows], late
 
 
-def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def find_runs(batches: Iterator[pa.RecordBatch], least: int = LEAST) -> Iterator[pa.RecordBatch]:
     held: list[list[np.ndarray]] = []
     count = 0
 
@@ -140,9 +149,9 @@ def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for doc_id, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            h, first, last = runs(text) if text else (np.empty(0),) * 3
+            h, span = runs(text, least) if text else (np.empty(0),) * 2
             if len(h):
-                held.append([h, np.full(len(h), -(2**63) if doc_id is None else doc_id), np.full(len(h), key), first << 8 | last - first << 1])
+                held.append([h, np.full(len(h), -(2**63) if doc_id is None else doc_id), np.full(len(h), key), span])
                 count += len(h)
             if count >= FLUSH:
                 yield from flush()
@@ -179,7 +188,7 @@ def without(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
         units, _ = sentences(text)
         gone = np.zeros(len(units) + 1, np.int64)
         for span in ranges:
-            first = span >> 8
+            first = span >> 8 & (1 << 30) - 1
             gone[first] += 1
             gone[first + (span >> 1 & 127) + 1] -= 1
         gone = np.cumsum(gone)[:-1] > 0
@@ -188,13 +197,25 @@ def without(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "removed", "removed_chars"])
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated sentences removed from ``text``; adds ``removed_sentences`` and ``removed_chars``."""
+def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``docs`` with repeated sentences removed from ``text``; adds ``removed_sentences`` and ``removed_chars``.
+
+    A run has at least ``least`` words. The spans to remove are written to the shared folder, which frees the shuffle of the
+    runs; only texts that may have some are then shuffled to meet theirs.
+    """
+    spark = docs.sparkSession
     key = F.xxhash64("doc_id", "text")
-    found = docs.select("doc_id", key.alias("key"), "text").mapInArrow(find_runs, ROWS_DDL)
-    buckets = parts(docs.count(), 2000, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = docs.select("doc_id", key.alias("key"), "text").mapInArrow(partial(find_runs, least=least), ROWS_DDL)
+    buckets = parts(docs.count(), 2000, int(spark.conf.get("spark.sql.shuffle.partitions")))
     late = found.repartition(buckets, "h").mapInArrow(find_late, "key long, span long")
-    covered = late.groupBy("key").agg(F.collect_set("span").alias("covered"))
-    both = packed(docs).withColumn("key", F.xxhash64("doc.doc_id", "doc.text")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
+    covered = Scratch(spark).keep(late.groupBy("key").agg(F.collect_set("span").alias("covered")), "covered")
+
+    doc_key = F.xxhash64("doc.doc_id", "doc.text")
+    maybe = passing(covered.select("key"))
+    keyed = packed(docs).withColumn("key", doc_key)
+    both = keyed.where(maybe("key")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
     clean = F.col("clean")
-    return both.select(*unpacked(docs.columns, text=clean["text"], removed_sentences=clean["removed"], removed_chars=clean["removed_chars"]))
+    changed = both.select(*unpacked(docs.columns, text=clean["text"], removed_sentences=clean["removed"], removed_chars=clean["removed_chars"]))
+    none = F.lit(0).cast("int")
+    same = keyed.where(~maybe("key")).select(*unpacked(docs.columns, removed_sentences=none, removed_chars=none))
+    return changed.union(same)
