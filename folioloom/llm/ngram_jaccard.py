@@ -51,7 +51,7 @@ SLICE = 1000  # queries of a cell, and about its points
 HUB = 500  # tests on one class that a task does in a row
 PAGE = 16
 SPARE = 6  # of so many differences that linked sets may have, one more group must be equal
-FLUSH = 2_000_000  # signatures that a task holds at once
+FLUSH = 500_000  # signatures that a task holds at once
 ROUNDS, NEAR = 3, 4  # searches, all but the last for nearest neighbours in that many runs of each class
 C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
@@ -62,24 +62,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-HASHES = WordHashes()
-
-
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; of the whole sequence if it is shorter."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # ASCII letters and ASCII white space only
     n = len(found)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(HASHES.__getitem__, found), np.uint64, n)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, n)
     size = min(words, n)
     out = np.full(n - size + 1, size, np.uint64) * C4
     for k in range(size):
@@ -229,7 +218,7 @@ def sets_found(words: int, percent: int, buckets: int):
                     s = shingles(text, words)
                     cls, vec = set_hash(s), None
                     if cls is not None and cls not in sent:
-                        if len(sent) > 1_000_000:
+                        if len(sent) > 200_000:
                             sent.clear()
                         sent.add(cls)
                         vec = point(s)
@@ -376,7 +365,7 @@ def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, words: int,
             take = []
             for at, key in enumerate(batch["key"].to_pylist()):
                 if key not in sent:
-                    if len(sent) > 1_000_000:
+                    if len(sent) > 200_000:
                         sent.clear()
                     sent.add(key)
                     take.append(at)
@@ -469,7 +458,7 @@ def searched(percent: int, nearest: bool):
         found = [p for a, b in zip(edges, edges[1:], strict=False) for p in search({c: v[a:b] for c, v in cols.items()}, percent, nearest)]
         found = list(set(found) - seen)  # a pair may share many of the task's runs
         if found:
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             seen.update(found)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b", "beyond"])
@@ -484,7 +473,7 @@ def classes_and_groups(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     scratch = Scratch(spark)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     count = docs.count()
-    places = parts(count, 5000, least)
+    places = parts(count, 2500, least)
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
 
     # Every text once: its row, its class and point, its signatures; then runs, where the signatures meet.

@@ -39,7 +39,7 @@ from .common import Scratch, packed, parts, passing, unpacked
 
 LEAST, MOST = 25, 24  # words of a run by default, and the most that a piece may have
 WINDOW = 7  # words of which one is cut before; no piece is longer
-FLUSH = 1_000_000  # runs that a task holds at once
+FLUSH = 300_000  # runs that a task holds at once
 _WORDS = re.compile(r"\s*\S+")
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.full(1 << 12, _BASE, np.uint64))
@@ -47,19 +47,6 @@ _INVERSES = np.cumprod(np.full(1 << 12, pow(_BASE, -1, 1 << 64), np.uint64))
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
-class Ranks(dict):
-    """The hash of each word, by which cuts are chosen."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        rank = self[word] = xxhash.xxh3_64_intdigest(word)
-        return rank
-
-
-_RANKS = Ranks()
-
-
 def sentences(text: str) -> tuple[list[str], list[int]]:
     """Pieces that join to ``text``, and how many words each has (none has zero, but for a text without words)."""
     words = _WORDS.findall(text)
@@ -70,7 +57,7 @@ def sentences(text: str) -> tuple[list[str], list[int]]:
     if n >= WINDOW:
         sentence = np.cumsum(starts)
         whole = np.flatnonzero(sentence[: n - WINDOW + 1] == sentence[WINDOW - 1 :])  # windows inside one sentence
-        ranks = np.fromiter(map(_RANKS.__getitem__, text.split()), np.uint64, n)
+        ranks = np.fromiter(map(xxhash.xxh3_64_intdigest, text.split()), np.uint64, n)
         windows = np.lib.stride_tricks.sliding_window_view(ranks, WINDOW)[whole, ::-1]
         starts[whole + WINDOW - 1 - windows.argmin(1)] = True
     at = [*np.flatnonzero(starts).tolist(), n]
