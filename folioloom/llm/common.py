@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,8 +93,8 @@ class Scratch:
 BITS = 1 << 23
 
 
-def passing(keys: DataFrame):
-    """A function of a long column: false only for values that are not among ``keys``.
+def passing(keys: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A function of an array of longs, for use in tasks: false only for values that are not among ``keys``.
 
     A filter of fixed size (1 MB, broadcast) that spares shuffles; with many more keys than bits it lets all pass, and
     no result depends on it.
@@ -108,10 +107,9 @@ def passing(keys: DataFrame):
         bits[r.w] = r.bits
     shared = keys.sparkSession.sparkContext.broadcast(bits)
 
-    @F.pandas_udf("boolean")
-    def maybe(values: pd.Series) -> pd.Series:
-        p = values.to_numpy() % BITS
-        return pd.Series((shared.value[p // 64] >> (p % 64)) & 1 == 1)
+    def maybe(values: np.ndarray) -> np.ndarray:
+        p = values % BITS
+        return (shared.value[p // 64] >> (p % 64)) & 1 == 1
 
     return maybe
 

@@ -359,21 +359,22 @@ def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, words: int,
     wanted = scratch.keep(wanted.join(classes.select("cls", "key"), "cls"), f"{name}-wanted")
     tests = wanted.count()
 
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    maybe = passing(wanted.select("key"))
+
+    def asked_for(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()  # copies that a task has are sent once
         for batch in batches:
-            take = []
-            for at, key in enumerate(batch["key"].to_pylist()):
-                if key not in sent:
+            keys, take = batch["key"].to_numpy(), []
+            for at in np.flatnonzero(maybe(keys)).tolist():
+                if keys[at] not in sent:
                     if len(sent) > 200_000:
                         sent.clear()
-                    sent.add(key)
+                    sent.add(keys[at])
                     take.append(at)
             if take:
                 yield batch.take(pa.array(take))
 
-    maybe = passing(wanted.select("key"))
-    texts = keyed.where(maybe("key")).select("key", "text").mapInArrow(once, "key long, text string").dropDuplicates(["key"])
+    texts = keyed.select("key", "text").mapInArrow(asked_for, "key long, text string").dropDuplicates(["key"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, base = None, None

@@ -198,7 +198,8 @@ def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     covered = Scratch(spark).keep(late.groupBy("key").agg(F.collect_set("span").alias("covered")), "covered")
 
     doc_key = F.xxhash64("doc.doc_id", "doc.text")
-    maybe = passing(covered.select("key"))
+    among = passing(covered.select("key"))
+    maybe = F.pandas_udf(lambda keys: pd.Series(among(keys.to_numpy())), "boolean", F.PandasUDFType.SCALAR)
     keyed = packed(docs).withColumn("key", doc_key)
     both = keyed.where(maybe("key")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
     clean = F.col("clean")
