@@ -199,7 +199,11 @@ def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     doc_key = F.xxhash64("doc.doc_id", "doc.text")
     among = passing(covered.select("key"))
-    maybe = F.pandas_udf(lambda keys: pd.Series(among(keys.to_numpy())), "boolean", F.PandasUDFType.SCALAR)
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(among(keys.to_numpy()))
+
     keyed = packed(docs).withColumn("key", doc_key)
     both = keyed.where(maybe("key")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
     clean = F.col("clean")

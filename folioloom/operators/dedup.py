@@ -63,11 +63,20 @@ def remove_paragraphs(rows: DataFrame, duplicated: DataFrame, domain: str, parag
 
 
 def line_dedup(docs: DataFrame, keys: list[str], domain: str, text: str = "text", separator: str = "\n\n", **how) -> DataFrame:
-    """keys and text without the paragraphs duplicated within their domain; a text may become empty."""
-    rows = docs.select(*keys, domain, F.posexplode(F.split(F.coalesce(text, F.lit("")), separator)).alias("pos", "paragraph"))
-    left = remove_paragraphs(rows, duplicated_paragraphs(rows, domain, "paragraph", **how), domain, "paragraph")
-    joined = left.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "paragraph"))), lambda p: p["paragraph"]), separator).alias("text"))
-    return docs.select(*keys).join(joined, keys, "left").withColumn("text", F.coalesce("text", F.lit("")))
+    """keys and text without the paragraphs duplicated within their domain; a text may become empty, a null text is one.
+
+    One row per row of ``docs``, whatever its keys: null keys and repeated rows stay as they are. What goes depends on the
+    domain and the text alone, so only places are regrouped, and a text is cut where it stands.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)), F.col(domain).alias("_domain"), F.md5(whole).alias("_same"), whole.alias("_text"))
+    pieces = F.split("_text", separator)
+    repeated = duplicated_paragraphs(rows.select("_domain", F.explode(pieces).alias("_paragraph")), "_domain", "_paragraph", **how)
+    each = rows.dropDuplicates(["_domain", "_same"]).select("_domain", "_same", F.posexplode(pieces).alias("_pos", "_paragraph"))
+    gone = each.join(repeated, ["_domain", "_paragraph"]).groupBy("_domain", "_same").agg(F.collect_set("_pos").alias("_gone"))
+    out = rows.join(gone, ["_domain", "_same"], "left")
+    left = F.array_join(F.filter(pieces, lambda _, k: ~F.array_contains("_gone", k)), separator)
+    return out.select(*(F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)), F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left).alias("text"))
 
 
 def set_signature(sources: Column, separator: str = "\u0001") -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,12 +40,41 @@ class TextLimits:
         return cls(**whole | changes)
 
     @classmethod
-    def from_yaml(cls, path: str, **lists) -> TextLimits:
+    def from_yaml(cls, path: str, level: str = "node", **lists) -> TextLimits:
+        """Limits from a file with this class's names, or with one switch and cutoffs per check and level ("node" or "doc").
+
+        A check that is switched off has no limit. A file with neither kind of names raises.
+        """
         import yaml
 
         with open(path) as f:
-            known = {x.name for x in fields(cls)}
-            return cls(**{k: v for k, v in (yaml.safe_load(f) or {}).items() if k in known}, **lists)
+            given = yaml.safe_load(f) or {}
+        plain = {x.name: given[x.name] for x in fields(cls) if x.name in given}
+        found = {}
+        for switch, keys in CUTOFFS.items():
+            for name, pattern in keys.items():
+                key = pattern.format(level=f"{level}_level")
+                if key in given:
+                    found[name] = given[key] if given.get(f"cond_check_{switch}_{level}_level", True) or name.endswith(("_n", "_tokens")) else None
+        if not plain and not found:
+            raise ValueError(f"{path} has no limits for {level}s")
+        start = cls.of_documents() if level == "doc" else cls()
+        return replace(start, **found, **plain, **lists)
+
+
+# The checks' switches in filter configurations, and the keys of their limits.
+CUTOFFS = {
+    "number_words": {"least_words": "number_words_{level}_min_cutoff", "most_words": "number_words_{level}_max_cutoff"},
+    "character_repetition_ratio": {"char_repetition": "character_repetition_{level}_max_cutoff", "char_repetition_n": "character_repetition_length_{level}"},
+    "word_repetition_ratio": {"word_repetition": "word_repetition_{level}_max_cutoff", "word_repetition_n": "word_repetition_length_{level}"},
+    "special_character_ratio": {"special": "special_character_ratio_{level}_max_cutoff"},
+    "stopword_ratio": {"stopwords": "stopword_ratio_{level}_min_cutoff"},
+    "flagged_word_ratio": {"flagged": "flagged_word_ratio_{level}_max_cutoff"},
+    "punctuation_ratio": {"punctuation": "punctuation_ratio_{level}_min_cutoff", "punctuation_tokens": "min_number_words_to_check_punctuation_ratio_{level}"},
+    "common_word_ratio": {"common": "common_word_ratio_{level}_min_cutoff"},
+    "lang_id": {"language": "lang_id_{level}_min_cutoff"},
+    "perplexity_score": {"perplexity": "perplexity_score_{level}_max_cutoff"},
+}
 
 
 def text_reason(t: Column, limits: TextLimits, words: Column | None = None) -> Column:

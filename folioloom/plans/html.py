@@ -103,30 +103,31 @@ def has_class(e: Element, name: str) -> bool:
     return name in e.attrs.get("class", "").split()
 
 
-def rewrite(e: Element, step: Callable[[Element, Element], list]) -> None:
-    """Replace each element, bottom up, by what ``step(parent, element)`` gives."""
-    done = []
-    for c in e.children:
-        if isinstance(c, Element):
-            rewrite(c, step)
-            done += step(e, c)
-        else:
-            done.append(c)
-    e.children = done
+def elements(root: Element) -> list[Element]:
+    """The root and all below it, each before what it holds; pages of any depth."""
+    found, at = [root], 0
+    while at < len(found):
+        found += [c for c in found[at].children if isinstance(c, Element)]
+        at += 1
+    return found
+
+
+def rewrite(root: Element, step: Callable[[Element, Element], list]) -> None:
+    """Replace each element, those inside it first, by what ``step(parent, element)`` gives."""
+    for e in reversed(elements(root)):
+        e.children = [x for c in e.children for x in (step(e, c) if isinstance(c, Element) else [c])]
 
 
-def joined(e: Element) -> None:
+def joined(root: Element) -> None:
     """Adjacent texts become one, as after writing and parsing the tree again."""
-    out: list = []
-    for c in e.children:
-        if isinstance(c, Element):
-            joined(c)
-            out.append(c)
-        elif out and isinstance(out[-1], str):
-            out[-1] += c
-        else:
-            out.append(c)
-    e.children = out
+    for e in elements(root):
+        out: list = []
+        for c in e.children:
+            if out and isinstance(out[-1], str) and isinstance(c, str):
+                out[-1] += c
+            else:
+                out.append(c)
+        e.children = out
 
 
 def source(e: Element) -> str | None:

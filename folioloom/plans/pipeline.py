@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..operators import clean, dedup, filters, stats
-from ..operators.documents import NODE, exploded, image_sources, regrouped
+from ..operators.documents import NODE, image_sources
 from ..sources import crawl
 from .html import ExtractOptions, web_documents
 
@@ -34,11 +34,15 @@ def filter_documents(
 
 
 def remove_image_nodes(docs: DataFrame, key: str, listed: DataFrame) -> DataFrame:
-    """Documents without the image nodes whose source is listed (src)."""
-    rows = exploded(docs, [key]).withColumn("src", F.col("node.meta.src"))
-    left = dedup.remove_listed(rows, "src", listed)
-    nodes = regrouped(left, [key], F.col("node"))
-    return docs.drop("nodes").join(nodes, key, "left").withColumn("nodes", F.coalesce("nodes", F.array().cast(f"array<{NODE}>")))
+    """Documents without the image nodes whose source is listed (src); any ``key``, null or repeated, keeps its rows.
+
+    Only sources are regrouped, by what the nodes hold; the nodes are filtered where they stand.
+    """
+    marked = docs.withColumn("_same", F.md5(F.to_json("nodes")))
+    rows = marked.select("_same", F.explode(F.array_distinct(image_sources(F.col("nodes")))).alias("src")).distinct()
+    gone = dedup.keep_listed(rows, "src", listed).groupBy("_same").agg(F.collect_set("src").alias("_gone"))
+    left = F.filter("nodes", lambda n: F.coalesce(~F.array_contains("_gone", n["meta"]["src"]), F.lit(True)))
+    return marked.join(gone, "_same", "left").withColumn("nodes", left).drop("_same", "_gone")
 
 
 def remove_frequent_images(docs: DataFrame, key: str, threshold: int = 10) -> DataFrame:
@@ -46,17 +50,28 @@ def remove_frequent_images(docs: DataFrame, key: str, threshold: int = 10) -> Da
     return remove_image_nodes(docs, key, dedup.too_frequent(rows, "src", threshold))
 
 
-def line_dedup(docs: DataFrame, key: str, url: str = "url", **how) -> DataFrame:
-    """Paragraphs repeated within a site go from all text nodes; emptied nodes stay as empty texts."""
-    rows = exploded(docs.withColumn("domain", U.netloc(F.col(url))), [key, "domain"])
-    parts = rows.where("node.text is not null").select(key, "domain", F.col("pos").alias("node_pos"), F.posexplode(F.split("node.text", "\n\n")).alias("pos", "paragraph"))
-    left = dedup.remove_paragraphs(parts, dedup.duplicated_paragraphs(parts, "domain", "paragraph", **how), "domain", "paragraph")
-    pairs = F.array_sort(F.collect_list(F.struct("pos", "paragraph")))
-    texts = left.groupBy(key, F.col("node_pos").alias("pos")).agg(F.array_join(F.transform(pairs, lambda p: p["paragraph"]), "\n\n").alias("_text"))
-    new = rows.join(texts, [key, "pos"], "left")
-    node = F.struct(F.when(F.col("node.text").isNotNull(), F.coalesce("_text", F.lit(""))).alias("text"), F.col("node.meta").alias("meta"))
-    nodes = regrouped(new, [key], node)
-    return docs.drop("nodes").join(nodes, key, "left").withColumn("nodes", F.coalesce("nodes", F.array().cast(f"array<{NODE}>")))
+def line_dedup(docs: DataFrame, key: str, url: str = "url", drop_emptied: bool = False, **how) -> DataFrame:
+    """Paragraphs repeated within a site go from all text nodes; a node that this empties stays as an empty text or goes, too.
+
+    Any ``key``, null or repeated, keeps its rows: what goes depends on the site and the nodes alone, so only places are
+    regrouped, and the nodes are cut where they stand.
+    """
+    marked = docs.withColumns({"_domain": U.netloc(F.col(url)), "_same": F.md5(F.to_json("nodes"))})
+    of_node = lambda rows: rows.select("_domain", "_same", F.posexplode("nodes").alias("_node", "node")).where("node.text is not null")
+    of_text = lambda rows: of_node(rows).select("_domain", "_same", "_node", F.posexplode(F.split("node.text", "\n\n")).alias("_pos", "paragraph"))
+    repeated = dedup.duplicated_paragraphs(of_text(marked), "_domain", "paragraph", **how)
+    once = of_text(marked.dropDuplicates(["_domain", "_same"]))
+    gone = once.join(repeated, ["_domain", "paragraph"]).groupBy("_domain", "_same").agg(F.collect_set(F.struct("_node", "_pos")).alias("_gone"))
+
+    def cut(n: Column, k: Column) -> Column:
+        left = F.filter(F.split(n["text"], "\n\n"), lambda _, j: ~F.array_contains("_gone", F.struct(k.alias("_node"), j.alias("_pos"))))
+        return F.struct(F.when(n["text"].isNotNull(), F.array_join(left, "\n\n")).alias("text"), n["meta"].alias("meta"))
+
+    nodes = F.transform("nodes", cut)
+    if drop_emptied:
+        nodes = F.filter(nodes, lambda n: n["text"].isNull() | (n["text"] != "") | n["meta"].isNotNull())
+    out = marked.join(gone, ["_domain", "_same"], "left")
+    return out.withColumn("nodes", F.when(F.col("_gone").isNull(), F.col("nodes")).otherwise(nodes)).drop("_domain", "_same", "_gone")
 
 
 def finish(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioloom.functions.constants import EOD
-from folioloom.operators import clean, dedup, images, stats
+from folioloom.operators import clean, dedup, filters, images, stats
 from folioloom.operators.documents import NODE, from_wire, to_wire
 from folioloom.plans import html as H
 from folioloom.plans import models, pipeline
@@ -226,3 +226,41 @@ def test_stream_keeps_first_of_a_url(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("firsts").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.url for r in spark.table("firsts").collect()) == ["u", "v"]
+
+
+def test_line_dedup_keeps_null_keys_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "s", "x\n\ny"), (1, "s", "x\n\ny"), (None, "s", "x\n\nz"), (2, "s", None), (None, None, "x"), (3, "s", "")], "id long, site string, text string")
+    got = sorted(map(repr, dedup.line_dedup(docs, ["id"], "site").select("id", "text").toLocalIterator()))
+    assert got == sorted(map(repr, spark.createDataFrame([(1, "y"), (1, "y"), (None, "z"), (2, ""), (None, "x"), (3, "")], "id long, text string").collect()))
+    assert dedup.line_dedup(docs.limit(0), ["id"], "site").count() == 0
+
+
+def test_node_line_dedup_keeps_null_keys_and_can_drop_emptied_nodes(spark):
+    rows = [(1, "http://s/1", "a"), (1, "http://s/1", "a"), (None, "http://s/2", "a"), (2, "http://t/1", "a")]  # "own" occurs thrice on s, too
+    nodes = F.transform(F.array("t", F.lit("own")), lambda t: F.struct(t.alias("text"), F.lit(None).alias("meta"))).cast(f"array<{NODE}>")
+    docs = spark.createDataFrame(rows, "id long, url string, t string").withColumn("nodes", nodes).drop("t")
+    kept = pipeline.line_dedup(docs, "id", min_count=3)
+    texts = sorted((r.id is None, r.id, [n.text for n in r.nodes]) for r in kept.collect() if r.id is not None)
+    assert kept.count() == 4 and texts == [(False, 1, ["", ""])] * 2 + [(False, 2, ["a", "own"])]
+    assert sorted(len(r.nodes) for r in pipeline.line_dedup(docs, "id", min_count=3, drop_emptied=True).collect()) == [0, 0, 0, 2]
+
+
+def test_pages_of_any_depth(spark):
+    page = "<html><body>" + "<div>" * 5000 + "<p>Deep text</p>" + "</div>" * 5000 + "</body></html>"
+    pages = spark.createDataFrame([(1, "http://e.com/a", page)], "id long, url string, html string")
+    assert H.dom_levels(pages).where("text = 'Deep text'").count() == 1
+    row = H.web_documents(pages).first()
+    assert not row.extract_error and [n.text for n in row.nodes] == ["Deep text"]
+
+
+def test_limits_from_yaml(tmp_path):
+    pytest.importorskip("yaml")
+    path = tmp_path / "limits.yaml"
+    path.write_text("cond_check_number_words_node_level: True\nnumber_words_node_level_min_cutoff: 7\ncond_check_lang_id_node_level: False\nlang_id_node_level_min_cutoff: 0.8\nnumber_words_doc_level_min_cutoff: 11\ncond_check_perplexity_score_doc_level: False\nperplexity_score_doc_level_max_cutoff: 9\n")
+    node, doc = (filters.TextLimits.from_yaml(str(path), level) for level in ("node", "doc"))
+    assert (node.least_words, node.language, doc.least_words, doc.perplexity, doc.language) == (7, None, 11, None, 0.8)
+    path.write_text("least_words: 3\n")
+    assert filters.TextLimits.from_yaml(str(path)).least_words == 3
+    path.write_text("other: 3\n")
+    with pytest.raises(ValueError):
+        filters.TextLimits.from_yaml(str(path))
