@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return the columns
 of ``documents``; a changed text gets its new n_chars.
+
+Null and empty texts: scored as empty by the classifier, which decides whether they go; those it keeps pass the other
+stages as they are and are packed as one end id each. Repeated rows: the join keeps one of them, ties going to the smallest
+doc_id. Rows without a doc_id are kept like others. Empty tables give empty results. Very long texts are worked on whole.
 """
 
 from __future__ import annotations
