@@ -13,7 +13,8 @@ from .constants import EMOJI_RANGES, EOD, PUNCTUATION_FROM, PUNCTUATION_LONGER,
 
 SPECIAL = special_class()
 SPECIAL_CHARACTERS = special_characters() + "".join(chr(p) for a, b in EMOJI_RANGES for p in range(a, b + 1))
-PLAIN = "^[A-Za-zÀ-ÖÙ-öù-ÿ]+$"  # no character of the special class
+# What is not special. Letters and ASCII come first, so that the long class is tested for other characters only.
+NOT_SPECIAL = rf"[A-Za-zÀ-ÖÙ-öù-ÿ\x00-\x08\x0e-\x1f\x7f[\x{{80}}-\x{{10ffff}}&&[^{SPECIAL}]]]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,13 +40,15 @@ def strip(t: Column, char_class: str = SPECIAL) -> Column:
 
 
 def words(t: Column, lower: bool = True, strip_class: str | None = SPECIAL) -> Column:
-    """White-space separated words, lower-cased and stripped of special characters at both ends; empty ones dropped."""
-    out = split_on_whitespace(F.lower(t) if lower else t)
-    if strip_class == SPECIAL:  # most words have nothing to strip; the test for that is cheap
-        out = F.filter(F.transform(out, lambda w: F.when(w.rlike(PLAIN), w).otherwise(strip(w))), lambda w: w != "")
-    elif strip_class:
-        out = F.filter(F.transform(out, lambda w: strip(w, strip_class)), lambda w: w != "")
-    return out
+    """White-space separated words, lower-cased and stripped of special characters at both ends; empty ones dropped.
+
+    One expression finds a word from its first to its last character that is not special.
+    """
+    t = F.lower(t) if lower else t
+    if strip_class is None:
+        return split_on_whitespace(t)
+    inner = NOT_SPECIAL if strip_class == SPECIAL else rf"[^ \n\t{strip_class}]"
+    return F.regexp_extract_all(t, F.lit(rf"{inner}(?:[^ \n\t]*{inner})?"), F.lit(0))
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -101,13 +104,27 @@ def repetition_of_counts(counts: np.ndarray, whole: int) -> float:
     return float(counts[:k].sum() / whole) if whole else 0.0
 
 
+def runs_of(ids: np.ndarray, n: int) -> np.ndarray:
+    """A number for each run of ``n`` of ``ids``, equal for equal runs: shorter runs are paired, and numbered anew when they grow large."""
+    width, kinds = 1, int(ids.max(initial=0)) + 1
+    while width < n:
+        step = min(width, n - width)
+        if kinds >= 2**31:
+            found, ids = np.unique(ids, return_inverse=True)
+            kinds = len(found)
+        ids = ids[:-step] * kinds + ids[step:]
+        width, kinds = width + step, kinds * kinds
+    return ids
+
+
 def _char_repetition(t: str, n: int) -> float:
-    m = len(t) - n + 1
-    if m <= 0:
+    if len(t) < n:
         return 0.0
     points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(points, n)).view(np.dtype((np.void, 4 * n))).ravel()
-    return repetition_of_counts(np.unique(windows, return_counts=True)[1], m)
+    kinds = np.zeros(int(points.max()) + 1, np.int64)
+    kinds[points] = 1
+    runs = runs_of((np.cumsum(kinds) - 1)[points], n)
+    return repetition_of_counts(np.unique(runs, return_counts=True)[1], len(runs))
 
 
 def char_repetition_ratio(t: Column, n: int = 10) -> Column:
@@ -123,8 +140,9 @@ def char_repetition_ratio(t: Column, n: int = 10) -> Column:
 def _word_repetition(ws, n: int) -> float:
     if len(ws) < n:
         return 0.0
-    counts = pd.Series(list(zip(*(ws[k:] for k in range(n)), strict=False))).value_counts()
-    return float(counts[counts > 1].sum() / counts.sum())
+    runs = runs_of(pd.factorize(np.asarray(ws, dtype=object))[0].astype(np.int64), n)
+    counts = np.unique(runs, return_counts=True)[1]
+    return float(counts[counts > 1].sum() / len(runs))
 
 
 def word_repetition_ratio(found_words: Column, n: int = 5) -> Column:

@@ -30,23 +30,42 @@ def absolute(page_url: Column, path: Column) -> Column:
     return F.when(path.startswith("//"), F.concat(F.lit("http:"), path)).otherwise(F.concat(F.lit("https://"), netloc(page_url), rooted))
 
 
+# What stands between the words of a file name, sizes that leave nothing, and leftover marks.
+GAP = "(?:[0-9]+x[0-9]+|[0-9]+|[ _-]|%20*)+"
+SIZE = "[0-9]+x[0-9]+"
+MARK = r"%B|[%+\n]"
+NAME_TOKEN = rf"{GAP}|{MARK}|[^0-9 _%+\n-]+"
+BLANK = r"[0-9 _%+\n-]"
+
+
 def readable_name(url: Column) -> Column:
-    """Words of an image address's file name; empty if it is a query or has at most one character."""
-    name = F.regexp_extract(F.regexp_extract(url, "([^/]*)$", 1), r"^([^.]*)", 1)
-    query = name.rlike(r"\?[A-Za-z0-9]+=")
-    for pattern, by in (("[_-]", " "), ("%2[0]*", " "), ("[0-9]+x[0-9]+", ""), ("[0-9]+", " "), (" {2,}", " "), (r"\n|\+|%B|%", " ")):
-        name = F.regexp_replace(name, pattern, by)
-    name = F.trim(name)
-    return F.when(query | (F.length(name) <= 1), "").otherwise(name)
+    """Words of an image address's file name; empty if it is a query or has at most one character.
+
+    A name is read as words, gaps and marks: a gap becomes one space (none if it is but a size), a mark one space.
+    """
+    name = F.regexp_extract(url, r"([^/.]*)(?:\.[^/]*)?$", 1)
+    shown = F.transform(
+        F.regexp_extract_all(name, F.lit(NAME_TOKEN), F.lit(0)),
+        lambda token: F.when(token.rlike(f"^{SIZE}$"), "").when(token.rlike(f"^{BLANK}"), " ").otherwise(token),
+    )
+    text = F.trim(F.array_join(shown, ""))
+    return F.when((F.length(text) > 1) & ~name.rlike(r"\?[A-Za-z0-9]+="), text).otherwise("")
+
+
+# Names that stand for the full width, and forms of a rendered size.
+FULL_WIDTH = ["full-width", "auto"]
+WHOLE, DECIMAL = r"^\s*([+-]?\d+)\s*$", r"^\s*[+-]?\d*\.\d*\s*$"
 
 
 def size_text(size: Column) -> Column:
     """A rendered size as digits or "NN%"; null when it is neither."""
-    s = F.regexp_replace(size, '[”"<>]', "")
-    return (
-        F.when(s.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(s).cast("int").cast("string"))
-        .when(s.contains("px"), F.nullif(F.regexp_extract(F.regexp_replace(s, "[px;]", ""), r"^\s*([+-]?\d+)\s*$", 1), F.lit("")))
-        .when(s.contains("%"), F.trim(s))
-        .when(s.rlike(r"^\s*[+-]?\d*\.\d*\s*$"), s.try_cast("double").cast("int").cast("string"))
-        .when(s.isin("full-width", "auto"), "100%")
+    bare = F.translate(size, '”"<>', "")
+    pixels, share = bare.contains("px"), bare.contains("%")
+    plain = ~pixels & ~share
+    readings = (
+        F.when(pixels, F.nullif(F.regexp_extract(F.translate(bare, "px;", ""), WHOLE, 1), F.lit(""))),
+        F.when(~pixels & share, F.trim(bare)),
+        F.when(plain & (bare.rlike(WHOLE) | bare.rlike(DECIMAL)), F.trim(bare).try_cast("double").cast("long").cast("string")),
+        F.when(bare.isin(FULL_WIDTH), "100%"),
     )
+    return F.coalesce(*readings)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from .filters import TextLimits
+
 
 def success_rate(rows: DataFrame, error: str) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.count_if(F.col(error) == "").alias("n_ok"), F.round(F.count_if(F.col(error) == "") / F.count("*"), 6).alias("rate"))
@@ -41,3 +44,30 @@ def with_shards(rows: DataFrame, order: list[str], shard_size: int = 20_000, val
     out = numbered(rows, order).withColumn("shard", shard_of(F.col("index"), F.lit(n), shard_size))
     return out.withColumn("split", F.when(F.col("shard") < valid_shards, "valid").otherwise("train"))
 
+
+
+def text_statistics(rows: DataFrame, keys: list[str], text: str, limits: TextLimits, places: int = 2) -> DataFrame:
+    """keys and what the text checks measure, for choosing their limits: one row per text, words split once; null for a null text.
+
+    Rounded half to even to ``places``. The two repetition ratios run in Arrow batches, the rest in the JVM.
+    """
+    t, words = F.col(text), F.col("_words")
+    measures = {
+        "n_words": F.size(words).cast("long"),
+        "special_ratio": T.special_ratio(t),
+        "stopword_ratio": T.lexicon_ratio(words, limits.stopword_list),
+        "flagged_ratio": T.lexicon_ratio(words, limits.flagged_list),
+        "common_ratio": T.lexicon_ratio(words, limits.common_list),
+        "punctuation_ratio": T.punctuation_ratio(t, least_tokens=limits.punctuation_tokens),
+        "char_repetition": T.char_repetition_ratio(t, limits.char_repetition_n),
+        "word_repetition": T.word_repetition_ratio(words, limits.word_repetition_n),
+    }
+    split = rows.select(*keys, text, T.words(t).alias("_words"))
+    return split.select(*keys, *(F.when(t.isNotNull(), m if n == "n_words" else F.bround(m, places)).alias(n) for n, m in measures.items()))
+
+
+def sampled(rows: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:
+    """The rows whose key's hash with ``seed`` is below ``share``: the same ones on every run and cluster, without a shuffle."""
+    if share >= 1:
+        return rows
+    return rows.where(F.substring(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}"))), 1, 8) < f"{int(max(share, 0) * 16**8):08x}")

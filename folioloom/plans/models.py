@@ -30,16 +30,29 @@ def language_ok(prediction: Column, target: str = "en", least: float = 0.8) -> C
     return (prediction["label"] == target) & (prediction["score"] >= least)
 
 
-def word_profiles(docs: DataFrame, text: str, language: str, least: int = 20) -> DataFrame:
-    """(word, language, weight): the share of a word's occurrences in each language, for words of at least ``least``."""
+def tokenized(pieces: Callable[[list[str]], list[list[str]]]) -> Callable[[Column], Column]:
+    """Texts as their subword pieces joined by spaces, by a tokenizer that takes a batch of texts; null for null texts."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        known = texts.notna()
+        out = pd.Series([None] * len(texts), dtype=object)
+        out[known.to_numpy()] = [" ".join(found) for found in pieces(list(texts[known]))]
+        return out
+
+    return lambda t: run(t)
+
+
+def word_profiles(docs: DataFrame, text: str, language: str, prior: float = 4.0) -> DataFrame:
+    """(word, language, weight): the share of a word's occurrences in each language, less for rare words by ``prior`` more of no language."""
     rows = docs.select(F.col(language).alias("language"), F.explode(T.words(F.col(text))).alias("word"))
     counts = rows.groupBy("word", "language").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("word").agg(F.sum("n").alias("total")).where(F.col("total") >= least)
-    return counts.join(totals, "word").select("word", "language", (F.col("n") / F.col("total")).alias("weight"))
+    totals = counts.groupBy("word").agg(F.sum("n").alias("total"))
+    return counts.join(totals, "word").select("word", "language", (F.col("n") / (F.col("total") + prior)).alias("weight"))
 
 
 def identify_languages(docs: DataFrame, key: str, text: str, profiles: DataFrame) -> DataFrame:
-    """(key, label, score): the language with the most weight over a text's words, and its share."""
+    """(key, label, score): the language with the most weight over a text's words, and its share; null and 0 without words."""
     rows = docs.select(key, F.explode(T.words(F.col(text))).alias("word")).groupBy(key, "word").agg(F.count("*").alias("times"))
     sums = rows.join(profiles, "word").groupBy(key, "language").agg(F.sum(F.col("times") * F.col("weight")).alias("weight"))
     best = sums.groupBy(key).agg(F.max(F.struct(F.round("weight", 9).alias("weight"), "language")).alias("best"), F.sum("weight").alias("all"))
@@ -47,13 +60,14 @@ def identify_languages(docs: DataFrame, key: str, text: str, profiles: DataFrame
 
 
 def unigram_perplexity(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, perplexity) under add-one unigram counts of the corpus: 10 ** -(mean log10 probability), one place."""
+    """(key, perplexity) under add-one unigram counts of the corpus: 10 ** -(mean log10 probability), one place; null without words."""
     rows = docs.select(key, F.explode(T.words(T.normalize(F.col(text)))).alias("word")).groupBy(key, "word").agg(F.count("*").alias("times"))
     counts = rows.groupBy("word").agg(F.sum("times").alias("n"))
     size = counts.agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     logs = counts.crossJoin(F.broadcast(size)).select("word", F.log10((F.col("n") + 1) / (F.col("total") + F.col("kinds"))).alias("lp"))  # one row
     sums = rows.join(logs, "word").groupBy(key).agg(F.sum(F.col("times") * F.col("lp")).alias("lp"), F.sum("times").alias("n"))
-    return sums.select(key, F.round(F.pow(F.lit(10.0), -F.col("lp") / (F.col("n") + 1)), 1).alias("perplexity"))
+    scores = sums.select(key, F.round(F.pow(F.lit(10.0), -F.col("lp") / (F.col("n") + 1)), 1).alias("perplexity"))
+    return docs.select(key).join(scores, key, "left")
 
 
 class OptOutClient(Protocol):

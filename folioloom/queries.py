@@ -80,6 +80,20 @@ def sql_reason(t: str, words: str, x: filters.TextLimits) -> str:
       WHEN {sql_share(words, x.common_list)} < {x.common} THEN 'common' END"""
 
 
+def sql_repetition(rows: str, keys: str, text: str, words: str) -> str:
+    """Tables cr and wr (keys, x): the two repetition ratios of the rows of a table, where they have an n-gram."""
+    gram = " || ".join(["ch", *(f"lead(ch, {k}) OVER o" for k in range(1, 10))])
+    return f"""cr1 AS (SELECT {keys}, unnest(string_split({text}, '')) AS ch, generate_subscripts(string_split({text}, ''), 1) AS k FROM {rows}),
+ cr2 AS (SELECT {keys}, {gram} AS gram FROM cr1 WINDOW o AS (PARTITION BY {keys} ORDER BY k)),
+ cr3 AS (SELECT {keys}, gram, count(*) AS n FROM cr2 WHERE gram IS NOT NULL GROUP BY ALL),
+ cr4 AS (SELECT {keys}, n, row_number() OVER (PARTITION BY {keys} ORDER BY n DESC) AS rank FROM cr3),
+ cr5 AS (SELECT {keys}, least(floor(sqrt(count(*))), count(*) FILTER (n > 1)) AS k, sum(n) AS total FROM cr3 GROUP BY {keys}),
+ cr AS (SELECT {keys}, sum(CASE WHEN rank <= k THEN n ELSE 0 END) / any_value(total) AS x FROM cr4 JOIN cr5 USING ({keys}) GROUP BY {keys}),
+ wr1 AS (SELECT {keys}, array_to_string(l[k:k + 4], ' ') AS gram FROM (SELECT {keys}, {words} AS l, unnest(range(1, len({words}) - 3)) AS k FROM {rows} WHERE len({words}) >= 5)),
+ wr2 AS (SELECT {keys}, gram, count(*) AS n FROM wr1 GROUP BY ALL),
+ wr AS (SELECT {keys}, sum(CASE WHEN n > 1 THEN n ELSE 0 END) / sum(n) AS x FROM wr2 GROUP BY {keys})"""
+
+
 PARAGRAPHS = """p AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS paragraph,
   generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"""
 LINES = """i AS (SELECT l_orderkey AS doc, l_partkey AS src, l_suppkey AS supp, row_number() OVER (PARTITION BY l_orderkey
@@ -195,7 +209,12 @@ def retained_discarded(spark, sf_dir):
     return kept.select("doc_id", F.lit(True).alias("retained")).unionByName(gone.select("doc_id", F.lit(False).alias("retained")))
 
 
-@query()
+@query(f"""WITH {PARAGRAPHS}, w AS (SELECT *, {sql_words('paragraph')} AS words FROM p),
+ f AS (SELECT doc_id, pos, paragraph, words FROM w WHERE trim(paragraph) = '{EOD}' OR ({sql_reason('paragraph', 'words', LIMITS)}) IS NULL),
+ {sql_repetition('f', 'doc_id, pos', 'paragraph', 'words')},
+ k AS (SELECT doc_id, string_agg(paragraph, chr(10) ORDER BY pos) AS text FROM f LEFT JOIN cr USING (doc_id, pos) LEFT JOIN wr USING (doc_id, pos)
+  WHERE trim(paragraph) = '{EOD}' OR (coalesce(cr.x, 0) <= {LIMITS.char_repetition} AND coalesce(wr.x, 0) <= {LIMITS.word_repetition}) GROUP BY doc_id)
+ SELECT doc_id, k.text FROM documents LEFT JOIN k USING (doc_id)""")
 def node_filter_full(spark, sf_dir):
     """All checks: the built-in ones first, then the ones that need Python workers on what is left."""
     p = F.col("paragraph")
@@ -445,11 +464,10 @@ def netloc(spark, sf_dir):
 
 
 def _name_sql(url: str) -> str:
-    base = f"regexp_extract(regexp_extract({url}, '([^/]*)$', 1), '^([^.]*)', 1)"
-    out = base
-    for a, b in (("[_-]", " "), ("%2[0]*", " "), ("[0-9]+x[0-9]+", ""), ("[0-9]+", " "), (" {2,}", " "), ("\\n|\\+|%B|%", " ")):
-        out = f"regexp_replace({out}, '{a}', '{b}', 'g')"
-    return f"CASE WHEN regexp_matches({base}, '\\?[A-Za-z0-9]+=') OR length(trim({out})) <= 1 THEN '' ELSE trim({out}) END"
+    base = f"regexp_extract({url}, '([^/.]*)(?:\\.[^/]*)?$', 1)"
+    shown = f"CASE WHEN regexp_matches(t, '^{U.SIZE}$') THEN '' WHEN regexp_matches(t, '^{U.BLANK}') THEN ' ' ELSE t END"
+    name = f"trim(array_to_string(list_transform(regexp_extract_all({base}, '{U.NAME_TOKEN}'), lambda t: {shown}), ''))"
+    return f"CASE WHEN length({name}) > 1 AND NOT regexp_matches({base}, '\\?[A-Za-z0-9]+=') THEN {name} ELSE '' END"
 
 
 IMAGE_PATH = "concat('../img/', replace(p_name, ' ', '_'), '-', p_size, 'x', p_size, '.jpg')"
@@ -500,7 +518,21 @@ def run_report(spark, sf_dir):
     return docs.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_paragraphs"))
 
 
-# --- Pages and models (no SQL form) --------------------------------------------------------------------------------
+@query(f"""WITH w AS (SELECT doc_id, text, {sql_words('text')} AS words FROM documents), {sql_repetition('w', 'doc_id', 'text', 'words')}
+ SELECT doc_id, len(words) AS n_words, round_even({sql_special('text')}, 2) AS special_ratio, round_even({sql_share('words', STOP)}, 2) AS stopword_ratio,
+ round_even({sql_share('words', FLAGGED)}, 2) AS flagged_ratio, round_even({sql_share('words', COMMON)}, 2) AS common_ratio, round_even({sql_punctuation('text')}, 2) AS punctuation_ratio,
+ CASE WHEN text IS NOT NULL THEN round_even(coalesce(cr.x, 0.0), 2) END AS char_repetition, CASE WHEN text IS NOT NULL THEN round_even(coalesce(wr.x, 0.0), 2) END AS word_repetition
+ FROM w LEFT JOIN cr USING (doc_id) LEFT JOIN wr USING (doc_id)""")
+def text_statistics(spark, sf_dir):
+    return stats.text_statistics(table(spark, sf_dir, "documents"), ["doc_id"], "text", DOC_LIMITS)
+
+
+@query("SELECT doc_id, source FROM documents WHERE substr(md5(concat(CAST(doc_id AS VARCHAR), ':42')), 1, 8) < '40000000'")
+def seeded_sample(spark, sf_dir):
+    return stats.sampled(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 0.25)
+
+
+# --- Pages and models ----------------------------------------------------------------------------------------------
 
 
 @query()
@@ -520,7 +552,12 @@ def dom_report(spark, sf_dir):
     return dom_levels(table(spark, sf_dir, "pages")).groupBy("tag", "level").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""WITH w AS (SELECT doc_id, lang, unnest({sql_words('text')}) AS word FROM documents), c AS (SELECT word, lang, count(*) AS n FROM w GROUP BY ALL),
+ p AS (SELECT word, lang, n / (sum(n) OVER (PARTITION BY word) + 4.0) AS weight FROM c), r AS (SELECT doc_id, word, count(*) AS times FROM w GROUP BY ALL),
+ s AS (SELECT doc_id, p.lang, sum(times * weight) AS weight FROM r JOIN p USING (word) GROUP BY ALL),
+ b AS (SELECT doc_id, lang AS label, round(weight / sum(weight) OVER (PARTITION BY doc_id), 6) AS score FROM s
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, lang DESC NULLS LAST) = 1)
+ SELECT doc_id, label, coalesce(score, 0.0) AS score FROM documents LEFT JOIN b USING (doc_id)""")
 def langid(spark, sf_dir):
     from .plans.models import identify_languages, word_profiles
 
@@ -528,14 +565,18 @@ def langid(spark, sf_dir):
     return identify_languages(docs, "doc_id", "text", word_profiles(docs, "text", "lang"))
 
 
-@query()
+@query(f"""WITH m AS (SELECT doc_id, {_sql_normal('text')} AS t FROM documents), w AS (SELECT doc_id, unnest({sql_words('t')}) AS word FROM m),
+ r AS (SELECT doc_id, word, count(*) AS times FROM w GROUP BY ALL), c AS (SELECT word, sum(times) AS n FROM r GROUP BY word), z AS (SELECT sum(n) AS total, count(*) AS kinds FROM c),
+ l AS (SELECT word, log10((n + 1) / (total + kinds)) AS lp FROM c, z), x AS (SELECT doc_id, sum(times * lp) AS lp, sum(times) AS n FROM r JOIN l USING (word) GROUP BY doc_id)
+ SELECT doc_id, round(pow(10.0, -lp / (n + 1)), 1) AS perplexity FROM documents LEFT JOIN x USING (doc_id)""")
 def perplexity(spark, sf_dir):
     from .plans.models import unigram_perplexity
 
     return unigram_perplexity(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query()
+@query("""WITH s AS (SELECT p_name AS url, CAST(list_sum(list_transform(string_split(p_type, ''), lambda c: ord(c))) AS BIGINT) % 100 / 100 AS score FROM part)
+ SELECT url, score FROM s WHERE score > 0.9""")
 def nsfw_scores(spark, sf_dir):
     """Offenders by a stand-in classifier over stand-in image bytes."""
     store = table(spark, sf_dir, "part").select(F.col("p_name").alias("url"), F.encode("p_type", "utf-8").alias("image"))

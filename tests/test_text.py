@@ -1,12 +1,15 @@
 """Golden cases of the text and address functions."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from folioloom.functions import text as T
 from folioloom.functions import urls as U
 from folioloom.functions.constants import EOD
-from folioloom.operators import clean, filters
+from folioloom.operators import clean, filters, stats
+from folioloom.operators.filters import TextLimits
+from folioloom.plans.models import tokenized
 
 
 def value(spark, column, **inputs):
@@ -82,3 +85,46 @@ def test_paragraph_filter_keeps_sentinels_and_nulls(spark):
     rows = spark.createDataFrame([(1, f"one two three four five\n\nx\n\n{EOD}"), (2, "x"), (3, None), (4, "")], "id long, text string")
     got = {r.id: r.text for r in filters.filter_paragraphs(rows, limits).collect()}
     assert got == {1: f"one two three four five\n\n{EOD}", 2: None, 3: None, 4: None}
+
+
+def test_words_keep_what_is_inside(spark):
+    text = "  (It's)\u00a0x  --- «été»-fin, a1b 3d4 \U0001f600ok\U0001f600 A\x00 ÷ø Øre x\u3000y"
+    plain = [w for w in (v.strip(T.SPECIAL_CHARACTERS) for v in text.lower().replace("\t", " ").replace("\n", " ").split(" ")) if w]
+    assert value(spark, T.words(F.col("t")), t=text) == plain
+    assert value(spark, T.words(F.col("t"), lower=False, strip_class="."), t="..A.b. . C") == ["A.b", "C"]
+
+
+def test_runs_are_equal_where_their_items_are():
+    rng = np.random.default_rng(3)
+    for kinds, n in ((2, 10), (90, 10), (5000, 5), (70_000, 7), (3, 1)):
+        ids = rng.integers(kinds, size=400)
+        ids[200:300] = ids[50:150]
+        runs = T.runs_of(ids, n)
+        plain = [tuple(ids[k : k + n]) for k in range(len(ids) - n + 1)]
+        assert len(runs) == len(plain)
+        assert len(set(zip(runs.tolist(), plain, strict=True))) == len(set(plain)) == len(set(runs.tolist()))
+
+
+@pytest.mark.parametrize(
+    "url,name",
+    [
+        ("https://a.b/c/blue_car-640x480.jpg", "blue car"), ("https://a.b/12x34x5__red%20%202fox.png", "x red fox"), ("https://a.b/pic?id=3", ""),
+        ("https://a.b/x.jpg", ""), ("https://a.b/a%Bb+c%.webp", "a b c"), ("https://a.b/cat5x5dog.tar.gz", "catdog"), ("https://a.b/", ""),
+    ],
+)
+def test_readable_names(spark, url, name):
+    assert value(spark, U.readable_name(F.col("t")), t=url) == name
+
+
+def test_tokenized_statistics_and_samples(spark):
+    rows = spark.createDataFrame([(1, "a b, a b"), (2, None), (3, ""), (4, "Hi...")], "id long, text string")
+    pieces = tokenized(lambda texts: [[t[k : k + 2] for k in range(0, len(t), 2)] for t in texts])
+    assert [r[0] for r in rows.orderBy("id").select(pieces(F.col("text"))).collect()] == ["a  b,  a  b", None, "", "Hi .. ."]
+    found = {r.id: r for r in stats.text_statistics(rows, ["id"], "text", TextLimits(stopword_list=["a"])).collect()}
+    assert (found[1].n_words, found[1].stopword_ratio, found[4].special_ratio, found[3].n_words) == (4, 0.5, 0.6, 0)
+    assert found[2].n_words is found[2].special_ratio is found[2].char_repetition is None
+    many = spark.range(4000)
+    assert stats.sampled(many, "id", 0).count() == 0 and stats.sampled(many, "id", 1).count() == 4000
+    part = {r.id for r in stats.sampled(many, "id", 0.25).collect()}
+    assert 850 < len(part) < 1150 and part == {r.id for r in stats.sampled(many.repartition(7), "id", 0.25).collect()}
+    assert part < {r.id for r in stats.sampled(many, "id", 0.5).collect()}
