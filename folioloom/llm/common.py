@@ -93,22 +93,27 @@ class Scratch:
 BITS = 1 << 23
 
 
-def passing(keys: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+def bits_for(keys: int) -> int:
+    """Bits of a filter that lets about one in 32 other values pass: a power of two, from 8 KB to 16 MB."""
+    return min(1 << 27, max(1 << 16, 1 << (32 * keys).bit_length()))
+
+
+def passing(keys: DataFrame, size: int = BITS) -> Callable[[np.ndarray], np.ndarray]:
     """A function of an array of longs, for use in tasks: false only for values that are not among ``keys``.
 
-    A filter of fixed size (1 MB, broadcast) that spares shuffles; with many more keys than bits it lets all pass, and
-    no result depends on it.
+    A filter of fixed size (``size`` bits, by default 1 MB, broadcast) that spares shuffles; with many more keys than bits
+    it lets all pass, and no result depends on it.
     """
-    words = keys.select(F.pmod(F.col(keys.columns[0]), F.lit(BITS)).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
+    words = keys.select(F.pmod(F.col(keys.columns[0]), F.lit(size)).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(
         F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")
     )
-    bits = np.zeros(BITS // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     for r in words.toLocalIterator():
         bits[r.w] = r.bits
     shared = keys.sparkSession.sparkContext.broadcast(bits)
 
     def maybe(values: np.ndarray) -> np.ndarray:
-        p = values % BITS
+        p = values % size
         return (shared.value[p // 64] >> (p % 64)) & 1 == 1
 
     return maybe

@@ -36,3 +36,42 @@ WARC_REVISITS = rf"""WITH b AS (SELECT page_id, concat({_HOST}, {_PATH}, CASE WH
  SELECT record_id, url_key, CAST(epoch(ts) AS BIGINT) AS ts, CASE WHEN f_id IS NULL THEN 'orphan' WHEN matched_by IS NOT NULL THEN 'resolved' ELSE 'mismatch' END AS status,
   CASE WHEN matched_by IS NOT NULL THEN f_id END AS response_id, CASE WHEN matched_by IS NOT NULL THEN CAST(epoch(f_ts) AS BIGINT) END AS response_ts, matched_by,
   CASE WHEN matched_by IS NOT NULL THEN concat('Content-Length=', size, ';Content-Type=text/html;cache-control=max-age=', visit * 600) END AS headers FROM x"""
+
+_DRAW = "CAST(concat('0x', substr(h, {}, 8)) AS BIGINT)"
+
+# Cuts by code points; nothing is scanned in chunks here.
+FILL_IN_MIDDLE = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS h FROM documents),
+ n AS (SELECT *, length(t) AS n, {_DRAW.format(1)} AS h1, {_DRAW.format(9)} AS h2, {_DRAW.format(17)} AS h3, {_DRAW.format(25)} AS h4 FROM d),
+ c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+ o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', left(t, a), '<S>', substr(t, b + 1), '<M>', substr(t, a + 1, b - a))
+  ELSE concat('<S>', substr(t, b + 1), '<P>', left(t, a), '<M>', substr(t, a + 1, b - a)) END AS out FROM c)
+ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars, sha256(out) AS output_sha256, sha256(t) AS restored_sha256 FROM o"""
+
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# All windows of all sizes that items have, joined as strings.
+DECONTAMINATION = rf"""WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS ws FROM benchmark), l AS (SELECT item, ws, least(len(ws), 10) AS n FROM i WHERE len(ws) > 0),
+ w AS (SELECT DISTINCT item, n, array_to_string(ws[k:k + n - 1], ' ') AS w FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM l)), z AS (SELECT DISTINCT n FROM w),
+ d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS ws FROM documents),
+ v AS (SELECT r, n, k, array_to_string(ws[k:k + n - 1], ' ') AS w FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM d, z WHERE len(ws) >= n)),
+ h AS (SELECT r, v.n, k, item FROM v JOIN w USING (w)),
+ c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM h) GROUP BY r),
+ s AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h WHERE item IS NOT NULL) GROUP BY r)
+ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+ FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)"""
+
+# Documents with equal failures count together; every order and step is summed by itself.
+FILTER_AUDIT = r"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents), w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM t),
+ g AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id), m AS (SELECT t, min(doc_id) AS low FROM t GROUP BY t),
+ b AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, concat(CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END,
+  CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 'C' ELSE '' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN doc_id > low THEN 'E' ELSE '' END) AS fails
+  FROM w JOIN m USING (t) LEFT JOIN g USING (doc_id)),
+ k AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM b GROUP BY ALL),
+ l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), o AS (SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+ s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, left(filter_order, step - 1) AS before, filter_order[step] AS f FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o)),
+ j AS (SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS hit, fails = f AS alone, before <> '' AND regexp_matches(fails, concat('[', before, '~]')) AS gone FROM k, s),
+ r AS (SELECT part, filter_order, step, f, CAST(sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant, CAST(sum(CASE WHEN alone THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM j GROUP BY ALL)
+ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
