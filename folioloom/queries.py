@@ -7,6 +7,8 @@ domain, order lines for the images of a document, parts for stored images, order
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,6 +18,7 @@ from .functions import urls as U
 from .functions.constants import EOD, PUNCTUATION_FROM, PUNCTUATION_LONGER, PUNCTUATION_TO, SPAM_WORDS, URL_BAN_WORDS, WHITESPACE
 from .operators import clean, dedup, filters, images, stats
 from .operators.documents import NODE, regrouped
+from .plans import languages, ngrams
 
 STOP = "the and of to in is it that for on was with this de la le que et und der die das en un el los y".split()
 FLAGGED = "idiot worthless pathetic clown".split()
@@ -575,6 +578,83 @@ def perplexity(spark, sf_dir):
     return unigram_perplexity(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+# The n-gram model: every run of three tokens with its count, what shorter runs and contexts get of it, and each text's runs.
+_BEGIN, _END = "chr(2)", "chr(3)"
+_KEPT_CASE = _sql_normal("text").replace("lower(trim(", "(trim(")
+
+
+def _sql_smoothed(name: str, counts: str, keys: list[str], context: list[str], on: list[str], shorter: str) -> str:
+    """Tables left_NAME (context, rest) and p_NAME (keys, p) of a table of counts (keys, n) and the shorter runs' p."""
+    k, c, o = ", ".join(f"n.{x}" for x in keys), ", ".join(context), ", ".join(on)
+    return f"""d_{name} AS (SELECT CASE WHEN count(*) FILTER (n = 1) > 0 THEN count(*) FILTER (n = 1) / (count(*) FILTER (n = 1) + 2 * count(*) FILTER (n = 2)) ELSE 0.0 END AS d FROM {counts}),
+ left_{name} AS (SELECT {c}, sum(n) AS total, any_value(d) AS d, any_value(d) * count(*) / sum(n) AS rest FROM {counts}, d_{name} GROUP BY {c}),
+ p_{name} AS (SELECT {k}, greatest(n.n - d, 0.0) / total + rest * s.p AS p FROM {counts} n JOIN left_{name} USING ({c}) JOIN {shorter} s USING ({o}))"""
+
+
+def sql_perplexity(trained_on: str) -> str:
+    """Tables up to ppl (doc_id, perplexity) of the documents under a model of those that a condition selects."""
+    return f"""nt AS (SELECT doc_id, {trained_on} AS train, list_concat([{_BEGIN}, {_BEGIN}], list_filter(string_split({_KEPT_CASE}, ' '), lambda x: x <> ''), [{_END}]) AS ts FROM documents WHERE text IS NOT NULL),
+ nr AS (SELECT doc_id, train, ts[k - 2] AS u, ts[k - 1] AS v, ts[k] AS w FROM (SELECT doc_id, train, ts, unnest(range(3, len(ts) + 1)) AS k FROM nt)),
+ n3 AS (SELECT u, v, w, count(*) AS n FROM nr WHERE train GROUP BY ALL), n2 AS (SELECT v, w, count(*) AS n FROM n3 GROUP BY ALL), n1 AS (SELECT w, count(*) AS n FROM n2 GROUP BY ALL),
+ d1 AS (SELECT CASE WHEN count(*) FILTER (n = 1) > 0 THEN count(*) FILTER (n = 1) / (count(*) FILTER (n = 1) + 2 * count(*) FILTER (n = 2)) ELSE 0.0 END AS d, sum(n) AS total, count(*) AS kinds FROM n1),
+ p0 AS (SELECT d, total, d * kinds / total / (kinds + 1) AS p FROM d1), p1 AS (SELECT w, greatest(n - d, 0.0) / total + p AS p FROM n1, p0),
+ {_sql_smoothed('2', 'n2', ['v', 'w'], ['v'], ['w'], 'p1')},
+ {_sql_smoothed('3', 'n3', ['u', 'v', 'w'], ['u', 'v'], ['v', 'w'], 'p_2')},
+ nk AS (SELECT DISTINCT u, v, w FROM nr),
+ nl AS (SELECT u, v, w, log10(coalesce(t.p, coalesce(left_3.rest, 1.0) * coalesce(p_2.p, coalesce(left_2.rest, 1.0) * coalesce(p1.p, p0.p)))) AS lp
+  FROM nk LEFT JOIN p_3 t USING (u, v, w) LEFT JOIN p_2 USING (v, w) LEFT JOIN p1 USING (w) LEFT JOIN left_3 USING (u, v) LEFT JOIN left_2 USING (v), p0),
+ ppl AS (SELECT doc_id, round(pow(10.0, -sum(lp) / count(*)), 1) AS perplexity FROM nr JOIN nl USING (u, v, w) GROUP BY doc_id)"""
+
+
+@query(f"WITH {sql_perplexity(chr(39) + 'en' + chr(39) + ' = lang')} SELECT doc_id, perplexity FROM documents LEFT JOIN ppl USING (doc_id)")
+def ngram_perplexity(spark, sf_dir):
+    """Of all documents, under a model of those in English."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    tokens = ngrams.tokens_of(F.col("text"))
+    return ngrams.perplexity(docs, "doc_id", tokens, ngrams.train(docs.where("lang = 'en'"), tokens))
+
+
+_FOLD_SQL = "CASE WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' THEN 0 ELSE 1 END"
+_POINTS = "list_transform(list_filter(string_split(replace(lower(text), chr(10), ' '), ''), lambda c: c <> ''), lambda c: unicode(c))"
+_BUCKET = f"(p[k] * {languages.FACTORS[0]} + CASE WHEN n > 1 THEN p[k + 1] * {languages.FACTORS[1]} ELSE 0 END + CASE WHEN n > 2 THEN p[k + 2] * CAST({languages.FACTORS[2]} AS BIGINT) ELSE 0 END + n * {languages.BY_LENGTH}) % {languages.BUCKETS}"
+SQL_LANGUAGES = f"""lt AS (SELECT doc_id, lang, {_FOLD_SQL} AS fold, {_POINTS} AS p FROM documents), ln AS (SELECT *, unnest([1, 2, 3]) AS n FROM lt), lk AS (SELECT *, unnest(range(1, len(p) - n + 2)) AS k FROM ln),
+ lg AS (SELECT doc_id, lang, fold, {_BUCKET} AS bucket, count(*) AS times FROM lk GROUP BY ALL), lc AS (SELECT 1 - fold AS fold, lang, bucket, sum(times) AS n FROM lg WHERE lang IS NOT NULL GROUP BY ALL),
+ lw AS (SELECT fold, lang, sum(n) AS total FROM lc GROUP BY ALL),
+ ls AS (SELECT lg.doc_id, lw.lang, sum(lg.times * ln((coalesce(lc.n, 0) + 1) / (lw.total + {languages.BUCKETS}))) / sum(lg.times) AS mean
+  FROM lg JOIN lw ON lg.fold = lw.fold LEFT JOIN lc ON lc.fold = lg.fold AND lc.lang = lw.lang AND lc.bucket = lg.bucket GROUP BY ALL),
+ lm AS (SELECT doc_id, max(mean) AS top FROM ls GROUP BY doc_id),
+ lp AS (SELECT doc_id, arg_min(lang, {{'m': -round(mean, 9), 'l': lang}}) AS label, round(1 / sum(exp({languages.SHARPNESS} * (mean - top))), 6) AS score FROM ls JOIN lm USING (doc_id) GROUP BY doc_id)"""
+
+
+def with_languages(spark, sf_dir) -> DataFrame:
+    fold = F.when(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 1) < "8", 0).otherwise(1)
+    return languages.cross_predicted(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "text", "lang", fold)
+
+
+@query(f"WITH {SQL_LANGUAGES} SELECT doc_id, label, coalesce(score, 0.0) AS score FROM documents LEFT JOIN lp USING (doc_id)")
+def hashed_langid(spark, sf_dir):
+    """Every document by a model of the other half."""
+    return with_languages(spark, sf_dir).select("doc_id", "prediction.label", "prediction.score")
+
+
+MODEL_LIMITS = replace(DOC_LIMITS, language=0.8, perplexity=1500)
+
+
+@query(f"""WITH {SQL_LANGUAGES}, {sql_perplexity("'en' = lang")}, w AS (SELECT doc_id, text, {sql_words('text')} AS words FROM documents),
+ f AS (SELECT doc_id, text, words FROM w WHERE ({sql_reason('text', 'words', MODEL_LIMITS)}) IS NULL), {sql_repetition('f', 'doc_id', 'text', 'words')}
+ SELECT doc_id, label, score, perplexity FROM f LEFT JOIN lp USING (doc_id) LEFT JOIN ppl USING (doc_id) LEFT JOIN cr USING (doc_id) LEFT JOIN wr USING (doc_id)
+ WHERE coalesce(cr.x, 0) <= {MODEL_LIMITS.char_repetition} AND coalesce(wr.x, 0) <= {MODEL_LIMITS.word_repetition} AND label = 'en' AND score >= {MODEL_LIMITS.language} AND perplexity <= {MODEL_LIMITS.perplexity}""")
+def doc_filter_full(spark, sf_dir):
+    """All document checks, those of language and perplexity among them; each looks only at what the ones before have kept."""
+    t, limits = F.col("text"), MODEL_LIMITS
+    docs = with_languages(spark, sf_dir).where(filters.text_reason(t, limits).isNull())
+    docs = docs.where(languages.language_ok(F.col("prediction"), "en", limits.language))
+    model = ngrams.train(table(spark, sf_dir, "documents").where("lang = 'en'"), ngrams.tokens_of(t))
+    docs = docs.join(ngrams.perplexity(docs, "doc_id", ngrams.tokens_of(t), model), "doc_id")
+    reason = filters.scored_reason(t, replace(limits, language=None), None, lambda _: F.coalesce("perplexity", F.lit(float("inf"))))
+    return docs.where(reason.isNull()).select("doc_id", "prediction.label", "prediction.score", "perplexity")
+
+
 @query("""WITH s AS (SELECT p_name AS url, CAST(list_sum(list_transform(string_split(p_type, ''), lambda c: ord(c))) AS BIGINT) % 100 / 100 AS score FROM part)
  SELECT url, score FROM s WHERE score > 0.9""")
 def nsfw_scores(spark, sf_dir):
