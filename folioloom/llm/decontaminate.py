@@ -193,7 +193,9 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int =
         "spans", F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("n")),
         lambda s, x: F.struct(F.greatest(s["to"], x["start"] + x["n"]).alias("to"), (s["n"] + F.greatest(F.lit(0), x["start"] + x["n"] - F.greatest(s["to"], x["start"]))).alias("n")),
     )["n"]
-    found = spans.join(listed, "key", "left").select("key", "spans", covered.alias("n_hit"), "items")
+    # A table of its own, so that the join with all documents may deal out the copies of one text to several tasks.
+    found = work.keep(spans.join(listed, "key", "left").select("key", "spans", covered.alias("n_hit"), "items"), "found")
+    work.drop("windows", "prefix", "hits")
     rows = packed(docs).select("doc", word_counts(F.col("doc.text")).alias("n_words"), F.sha2("doc.text", 256).alias("key")).join(found, "key", "left")
     return rows.select(*unpacked(
         docs.columns, n_words=F.col("n_words"), n_hit=F.coalesce("n_hit", F.lit(0).cast("long")), spans=F.coalesce("spans", F.array().cast("array<struct<start:bigint,n:bigint>>")),
