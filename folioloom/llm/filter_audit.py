@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from .common import Scratch
+
 FILTERS = "ABCDE"
 BLOCK = 1 << 16  # documents of a bitmap at most
 UPPER = bytes(range(65, 91))
@@ -50,6 +52,7 @@ def judged(docs: DataFrame, labels: DataFrame, part: str = "lang") -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), failed_bits(text).alias("bits"), F.sha2(text, 256).alias("key"))
     # The smallest id of each text that has several ids: few rows, and the only ones that a duplicate needs.
     ids = docs.groupBy(F.sha2(text, 256).alias("key")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key", "low")
+    ids = Scratch(docs.sparkSession).keep(ids, "ids")  # a table of its own, so that the join may deal out the copies of one text
     marks = labels.groupBy("doc_id").agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
     rows = rows.join(ids, "key", "left").join(marks, "doc_id", "left")
     bits = F.col("bits").bitwiseOR(F.when(F.col("doc_id") > F.col("low"), 16).otherwise(0))
