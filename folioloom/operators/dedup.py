@@ -91,6 +91,11 @@ def documents_to_remove_by_set(docs: DataFrame, signature: str, recency: str, or
 
 
 def set_dedup(docs: DataFrame, url: str, signature: str, recency: str, order: str) -> DataFrame:
-    """Removal by (url, recency): a kept document that shares that very pair with a removed one goes too."""
-    gone = documents_to_remove_by_set(docs, signature, recency, order).select(url, recency).distinct()
+    """Removal by (url, recency): a kept document that shares that very pair with a removed one goes too.
+
+    The signatures are grouped once: a group knows its last document, and a pair goes if any of its rows is not the last.
+    A row whose signature is null is in no group, and goes only with another of its pair.
+    """
+    last = docs.groupBy(signature).agg(F.max(F.struct(recency, order)).alias("_last"), F.count("*").alias("_n")).where("_n > 1").select(signature, "_last")
+    gone = docs.join(last, signature).where(F.struct(recency, order) != F.col("_last")).select(url, recency).distinct()
     return docs.join(gone, [url, recency], "left_anti")

@@ -207,9 +207,8 @@ def filter_reasons(spark, sf_dir):
 
 @query(f"WITH w AS (SELECT doc_id, text, {sql_words('text')} AS words FROM documents) SELECT doc_id, ({sql_reason('text', 'words', DOC_LIMITS)}) IS NULL AS retained FROM w")
 def retained_discarded(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept, gone = filters.split_retained(docs, filters.text_reason(F.col("text"), DOC_LIMITS))
-    return kept.select("doc_id", F.lit(True).alias("retained")).unionByName(gone.select("doc_id", F.lit(False).alias("retained")))
+    """Both sides in one pass."""
+    return table(spark, sf_dir, "documents").select("doc_id", filters.text_reason(F.col("text"), DOC_LIMITS).isNull().alias("retained"))
 
 
 @query(f"""WITH {PARAGRAPHS}, w AS (SELECT *, {sql_words('paragraph')} AS words FROM p),
