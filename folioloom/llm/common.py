@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -119,6 +119,11 @@ def passing(keys: DataFrame, size: int = BITS) -> Callable[[np.ndarray], np.ndar
     return maybe
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, as the variable of a one-element array's lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
 def parts(rows: int, each: int, least: int = 1) -> int:
     """Number of groups of about ``each`` rows."""
     return max(least, -(-rows // each))

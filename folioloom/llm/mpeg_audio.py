@@ -166,16 +166,18 @@ def read(data: bytes) -> dict:
     """Offsets, sizes, exact samples, checks, table and payload of a file."""
     at, tags = read_tags(data)
     first, end = at, len(data)
-    # Of a closing tag, unless a frame spans its place: frames are taken as long as one follows.
+    # Where a closing tag may begin. What looks like one inside a frame is none: the tag is where the chain of frames ends.
     closing = end - 128 if end - at >= 128 and data[end - 128 : end - 125] == b"TAG" else end
     ends = {closing, ape_tag(data, at, closing), ape_tag(data, at, end)} - {end}
     offsets, samples, ok, failed, skipped, hertz, table, payload = [], 0, 0, 0, 0, 0, None, []
-    while at + 4 <= end and at not in ends:
+    while at + 4 <= end:
         h = header(data[at : at + 4])
         after = at + h[0] if h else 0
-        follows = after not in ends and after + 4 <= end
-        like = follows and header(data[after : after + 4]) and not (data[after + 1] ^ data[at + 1]) & 0xFE and not (data[after + 2] ^ data[at + 2]) & 0x0C
-        if not h or after > end or follows and not like:
+        like = after + 4 <= end and header(data[after : after + 4]) and not (data[after + 1] ^ data[at + 1]) & 0xFE and not (data[after + 2] ^ data[at + 2]) & 0x0C
+        whole = h and after <= end and (like or after in ends or after + 4 > end)
+        if at in ends and not whole:
+            break
+        if not whole:
             stop = min([x for x in ends if x > at], default=end)
             step = data.find(b"\xff", at + 1, stop)
             step = stop if step < 0 else step

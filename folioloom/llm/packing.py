@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .bpe import PATTERN, byte_letters, check, load
 from .common import map_rows, parts
 
-ENDLESS = re.compile(r"\s{50000}").search
+ENDLESS = re.compile(r"(?<!\s)\s{50000}").search  # from the first of a run only, so a text is read once
 PIECES = T.StructType([
     T.StructField("grp", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
     T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType()),

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from .common import Scratch, packed, parts, passing, unpacked
 
 LEAST, MOST = 25, 24  # words of a run by default, and the most that a piece may have
+LONGEST = 128  # words that a run may be asked to have: a span has seven bits for the sentences after its first
 WINDOW = 7  # words of which one is cut before; no piece is longer
 FLUSH = 300_000  # runs that a task holds at once
 _WORDS = re.compile(r"\s*\S+")
@@ -187,9 +188,12 @@ def without(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
 def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` with repeated sentences removed from ``text``; adds ``removed_sentences`` and ``removed_chars``.
 
+    ``least`` is from 1 to 128 words; others raise.
     A run has at least ``least`` words. The spans to remove are written to the shared folder, which frees the shuffle of the
     runs; only texts that may have some are then shuffled to meet theirs.
     """
+    if not 1 <= least <= LONGEST:
+        raise ValueError(f"a run has from 1 to {LONGEST} words at least, not {least}")
     spark = docs.sparkSession
     key = F.xxhash64("doc_id", "text")
     found = docs.select("doc_id", key.alias("key"), "text").mapInArrow(partial(find_runs, least=least), ROWS_DDL)

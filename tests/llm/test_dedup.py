@@ -1,9 +1,12 @@
 """Substring dedup, the Jaccard join, components."""
 
+import random
+import re
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from folioloom.llm import components, ngram_jaccard, substring_dedup
 
@@ -172,3 +175,43 @@ def test_components(spark, monkeypatch, edges_each):
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     assert got == {**{k: 0 for k in range(51)}, 100: 100, 200: 100, 300: 100, 1000: 1000, 1001: 1000}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("least", [1, 25, 127, 128])
+def test_runs_of_many_short_sentences(spark, least):
+    """Of two equal texts of one-word sentences the copy keeps at most what is shorter than a run."""
+    text = " ".join(f"w{k}." for k in range(400))
+    out = substring_dedup.dedup(documents(spark, [(1, text, "en", "a", 1), (2, text, "en", "a", 1)]), least).orderBy("doc_id").collect()
+    assert out[0].text == text and out[1].text == ""
+
+
+def test_runs_beyond_their_field_raise(spark):
+    for least in (0, 129, 200, 1000):
+        with pytest.raises(ValueError):
+            substring_dedup.dedup(documents(spark), least)
+
+
+def cut_plainly(text):
+    """Pieces by the rule of the docstring, from the definition: at sentence ends, line ends, and before least hashes of seven words."""
+    words = [m for m in re.finditer(r"\s*\S+", text)]
+    starts = {0}
+    for k in range(1, len(words)):
+        if words[k - 1][0][-1] in ".!?" or "\n" in words[k][0]:
+            starts.add(k)
+    bounds = sorted(starts) + [len(words)]
+    hashes = [xxhash.xxh3_64_intdigest(w[0].strip()) for w in words]
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        for k in range(lo, hi - 6):
+            seven = hashes[k : k + 7]
+            starts.add(k + max(j for j in range(7) if seven[j] == min(seven)))
+    bounds = sorted(starts) + [len(words)]
+    pieces = ["".join(w[0] for w in words[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+    pieces[-1] += text[words[-1].end() :] if words else text
+    return pieces
+
+
+def test_cuts_like_the_rule():
+    rng = random.Random(4)
+    for _ in range(200):
+        text = "".join(rng.choice(["a", "b", "cc", "Dd.", "e!", "ff", "gg", "h"]) + rng.choice([" ", " ", " ", "  ", "\n"]) for _ in range(rng.randrange(1, 60)))
+        assert substring_dedup.sentences(text)[0] == cut_plainly(text), text

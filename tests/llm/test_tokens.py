@@ -1,6 +1,8 @@
 """BPE, packing and audio columns: exact round trips."""
 
 import hashlib
+import struct
+import time
 import zlib
 from collections import defaultdict
 
@@ -243,3 +245,31 @@ def test_unsupported_vocabularies_raise():
         spec = json.load(f)
     with pytest.raises(ValueError, match="lstrip|added token"):
         bpe.check(spec | {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]})
+
+
+def test_many_runs_of_white_space_are_read_once():
+    from folioloom.llm.packing import ENDLESS
+
+    text = ("\t" * 49_999 + "x") * 30
+    began = time.time()
+    assert not ENDLESS(text) and ENDLESS(text + "\t" * 50_000)
+    assert time.time() - began < 5
+
+
+def test_audio_keeps_a_last_frame_that_looks_like_a_tag():
+    """An APE footer that points at the last frame's begin, before what looks like an ID3v1 tag inside it."""
+    unit = bytearray(b"x" * 192)
+    foot = b"APETAGEX" + bytes(4) + b"p" + bytes(3) + bytes(16)
+    unit[57 : 57 + len(foot)] = foot
+    unit[89:92] = b"TAG"
+    for lead in range(20, 90):
+        for size in (b"p", b"q", bytes([lead + 32]), bytes([192])):
+            u = bytearray(unit)
+            u[lead : lead + 8], u[lead + 8 : lead + 16], u[lead + 16 : lead + 32] = b"APETAGEX", bytes(4) + size[:1] + bytes(3), bytes(16)
+            u[min(lead + 32, 160) : min(lead + 32, 160) + 3] = b"TAG"
+            for payload in (b"y" * 384 + bytes(u), bytes(u)):
+                assert mpeg_audio.read(mpeg_audio.write(payload, len(payload)))["payload"] == payload
+    payload = b"y" * 384 + bytes(unit)
+    assert mpeg_audio.read(mpeg_audio.write(payload, len(payload)))["payload"] == payload
+    real = mpeg_audio.write(payload, len(payload)) + b"APETAGEX" + struct.pack("<IIII", 2000, 32, 0, 0) + bytes(8) + b"TAG" + bytes(125)
+    assert mpeg_audio.read(real)["payload"] == payload  # true tags end the frames
