@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.calls import Bucket, in_flight, tried
 
 
 class LanguageModel(Protocol):
@@ -71,19 +74,50 @@ def unigram_perplexity(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 class OptOutClient(Protocol):
+    """Asks a service about addresses; used by several threads, one is made per partition."""
+
     def opted_out(self, urls: list[str]) -> list[bool]: ...
 
 
-def opted_out(urls: DataFrame, client: Callable[[], OptOutClient], per_call: int = 1000) -> DataFrame:
-    """The urls that a service flags, asked in calls of ``per_call``; a last call of one url is padded, failures raise."""
+# Fixed value: seconds to wait after each failed call.
+CALL_WAITS = [1] * 5 + [10] * 5 + [600] * 10 + [3600] * 10
+
+
+def opted_out(
+    urls: DataFrame, client: Callable[[], OptOutClient], per_call: int = 1000, calls_a_second: float = 20, at_once: int = 10, tasks: int = 4,
+    waits: Sequence[float] = CALL_WAITS, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep,
+) -> DataFrame:
+    """The different urls that a service flags, asked in calls of ``per_call``; a last call of one url is padded.
+
+    ``tasks`` tasks share the rate and the calls in flight evenly, so the service sees no more than given, however many
+    executors there are. A call that fails is made again after each of ``waits``; its last failure fails the job.
+    """
+    tasks = max(1, min(tasks, at_once))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        service, bucket = client(), Bucket(calls_a_second / tasks, 1, clock, sleep)
+
+        def ask(asked: list[str]) -> list[bool]:
+            def once() -> list[bool]:
+                bucket.take()
+                flags = service.opted_out([*asked, ""] if len(asked) == 1 else asked)
+                if len(flags) < len(asked):
+                    raise ValueError(f"{len(flags)} answers to {len(asked)} addresses")
+                return flags[: len(asked)]
+
+            return tried(once, waits, sleep)
+
+        def calls() -> Iterator[list[str]]:
+            held: list[str] = []
+            for batch in batches:
+                held += batch.column(0).to_pylist()
+                while len(held) >= per_call:
+                    yield held[:per_call]
+                    held = held[per_call:]
+            if held:
+                yield held
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        service = client()
-        for frame in frames:
-            listed = frame["url"].tolist()
-            for at in range(0, len(listed), per_call):
-                asked = listed[at : at + per_call]
-                flags = service.opted_out(asked * 2 if len(asked) == 1 else asked)[: len(asked)]
-                yield pd.DataFrame({"url": [u for u, f in zip(asked, flags, strict=True) if f]})
+        for asked, flags in in_flight(ask, calls(), max(1, at_once // tasks)):
+            yield pa.RecordBatch.from_pydict({"url": pa.array([u for u, f in zip(asked, flags, strict=True) if f], pa.string())})
 
-    return urls.select("url").distinct().mapInPandas(run, "url string")
+    return urls.select("url").where("url is not null").distinct().repartition(tasks).mapInArrow(run, "url string")

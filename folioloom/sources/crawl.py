@@ -3,62 +3,27 @@
 from __future__ import annotations
 
 import gzip
-import io
-import json
 import re
-import tarfile
-from collections.abc import Callable, Iterator
-from typing import Protocol
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from . import archives
+from .ranges import LocalReader, RangeReader, read_ranges
 
-class RangeReader(Protocol):
-    """Reads ``length`` bytes at ``offset`` of a named object; one is made per partition."""
+__all__ = ["LocalReader", "RangeReader", "download_warc", "extract_html", "html_of", "http_response", "images_from_tars", "write_image_urls", "write_shards"]
 
-    def read(self, name: str, offset: int, length: int) -> bytes: ...
 
-
-class LocalReader:
-    """Ranges of files below a folder that all executors see."""
-
-    def __init__(self, root: str):
-        self.root = root
-
-    def read(self, name: str, offset: int, length: int) -> bytes:
-        with open(f"{self.root}/{name}", "rb") as f:
-            f.seek(offset)
-            return f.read(length)
-
-
-def download_warc(pointers: DataFrame, reader: Callable[[], RangeReader]) -> DataFrame:
+def download_warc(pointers: DataFrame, reader: Callable[[], RangeReader], **reading) -> DataFrame:
     """Adds warc and warc_error to rows with warc_filename, warc_record_offset and warc_record_length.
 
-    Rows that already have a record without an error are left as they are, so a failed run can be taken up again.
+    Rows that already have a record without an error are left as they are, so a failed run can be taken up again. Near
+    records are read together, and failed reads are tried again (see ``ranges.read_ranges``).
     """
-    for name, kind in (("warc", "binary"), ("warc_error", "string")):
-        if name not in pointers.columns:
-            pointers = pointers.withColumn(name, F.lit(None).cast(kind))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        source = reader()
-        for frame in frames:
-            got, errors = [], []
-            for r in frame.itertuples():
-                data, error = r.warc, r.warc_error or ""
-                if data is None or error:
-                    try:
-                        data, error = source.read(r.warc_filename, int(r.warc_record_offset), int(r.warc_record_length)), ""
-                    except Exception as e:
-                        data, error = b"", repr(e)
-                got.append(data)
-                errors.append(error)
-            yield frame.assign(warc=got, warc_error=errors)
-
-    return pointers.mapInPandas(run, pointers.schema)
+    return read_ranges(pointers, ("warc_filename", "warc_record_offset", "warc_record_length"), ("warc", "warc_error"), reader, **reading)
 
 
 def http_response(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes] | None:
@@ -143,22 +108,7 @@ def extract_html(rows: DataFrame) -> DataFrame:
 
 def images_from_tars(spark: SparkSession, path: str) -> DataFrame:
     """(url, image) of archives of .jpg files with .json sidecars whose status is "success"; the last name of a url stays."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for archive, content in zip(frame["path"], frame["content"], strict=True):
-                pictures, facts = {}, {}
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    for member in tar:
-                        stem, _, kind = member.name.rpartition(".")
-                        if member.isfile() and kind in ("jpg", "json"):
-                            (pictures if kind == "jpg" else facts)[stem] = tar.extractfile(member).read()
-                rows = [(json.loads(f)["url"], pictures[s], f"{archive}/{s}") for s, f in facts.items() if s in pictures and json.loads(f).get("status") == "success"]
-                yield pd.DataFrame(rows, columns=["url", "image", "name"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    rows = files.mapInPandas(run, "url string, image binary, name string")
-    return rows.groupBy("url").agg(F.max_by("image", "name").alias("image"))
+    return archives.images(spark, path)
 
 
 def write_image_urls(docs: DataFrame, path: str) -> None:
