@@ -1,6 +1,7 @@
 """The web document as a column: ``nodes``, an array in reading order.
 
-A node has ``text`` or image metadata ``meta``; an image that was lost has neither. The wire form (parallel lists
+A node has ``text`` or the metadata ``meta`` of an image, or of a video or audio, which ``media`` then names; an image that
+was lost has neither. The wire form (parallel lists
 ``texts``, ``images`` and JSON ``metadata``) is converted at the edges.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 META = (
     "struct<document_url:string,unformatted_src:string,src:string,formatted_filename:string,alt_text:string,rendered_width:string,"
-    "rendered_height:string,original_width:int,original_height:int,format:string>"
+    "rendered_height:string,original_width:int,original_height:int,format:string,media:string>"
 )
 NODE = f"struct<text:string,meta:{META}>"
 GENERAL = "struct<url:string,warc_filename:string,warc_record_offset:bigint,warc_record_length:bigint>"
@@ -44,8 +45,13 @@ def regrouped(rows: DataFrame, keys: list[str], node: Column, name: str = "nodes
     return rows.groupBy(*keys).agg(F.transform(pairs, lambda p: p["node"]).alias(name))
 
 
+def is_media(meta: Column) -> Column:
+    """Of a video or audio; never null."""
+    return meta["media"].isNotNull()
+
+
 def image_sources(nodes: Column) -> Column:
-    return F.transform(F.filter(nodes, lambda n: n["meta"]["src"].isNotNull() & (n["meta"]["src"] != "")), lambda n: n["meta"]["src"])
+    return F.transform(F.filter(nodes, lambda n: n["meta"]["src"].isNotNull() & (n["meta"]["src"] != "") & ~is_media(n["meta"])), lambda n: n["meta"]["src"])
 
 
 def texts_of(nodes: Column) -> Column:
@@ -54,5 +60,5 @@ def texts_of(nodes: Column) -> Column:
 
 def found_counts(nodes: Column) -> tuple[Column, Column]:
     """Images found and not found, by whether the node still has its source."""
-    wanted = F.filter(nodes, lambda n: n["meta"].isNotNull())
+    wanted = F.filter(nodes, lambda n: n["meta"].isNotNull() & ~is_media(n["meta"]))
     return F.size(F.filter(wanted, lambda n: n["meta"]["src"].isNotNull())), F.size(F.filter(wanted, lambda n: n["meta"]["src"].isNull()))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.constants import EOD
+from .documents import is_media
 
 
 @dataclass
@@ -137,7 +138,7 @@ def filter_paragraphs(docs: DataFrame, limits: TextLimits, text: str = "text", s
 
 
 def filter_nodes(docs: DataFrame, limits: TextLimits, image_ok: Callable[[Column], Column], separator: str = "\n\n") -> DataFrame:
-    """Node filter: images by ``image_ok(meta)``, texts by paragraphs; nodes without either go."""
+    """Node filter: images by ``image_ok(meta)``, texts by paragraphs; nodes without either go, video and audio stay."""
 
     if limits.language is not None or limits.perplexity is not None:
         raise ValueError("language and perplexity of single paragraphs are not built; set their limits for whole documents")
@@ -152,7 +153,7 @@ def filter_nodes(docs: DataFrame, limits: TextLimits, image_ok: Callable[[Column
 
     def cleaned(n: Column, k: Column) -> Column:
         words = F.get("_kept", k)
-        return F.struct(F.when(F.size(words) > 0, F.array_join(words, separator)).alias("text"), F.when(image_ok(n["meta"]), n["meta"]).alias("meta"))
+        return F.struct(F.when(F.size(words) > 0, F.array_join(words, separator)).alias("text"), F.when(is_media(n["meta"]) | image_ok(n["meta"]), n["meta"]).alias("meta"))
 
     nodes = F.filter(F.transform("nodes", cleaned), lambda n: n["text"].isNotNull() | n["meta"].isNotNull())
     return docs.withColumn("nodes", nodes).drop("_kept")

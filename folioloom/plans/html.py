@@ -236,8 +236,8 @@ def extract_nodes(html: str, o: ExtractOptions) -> list[dict]:
                 out.append((path, text))
         elif node.tag == "img" and source(node):
             out.append(node.attrs | {"_source": source(node)})
-        elif not o.only_text_and_images and node.tag in MEDIA_TAGS:
-            out.append({"_tag": node.tag})
+        elif not o.only_text_and_images and node.tag in ("video", "audio") and source(node):
+            out.append(node.attrs | {"_source": source(node), "_media": node.tag})
     nodes = []
     for x in out:
         if isinstance(x, tuple):
@@ -258,7 +258,7 @@ def prepared(html: Column, o: ExtractOptions) -> Column:
 
 
 def image_meta(attrs: Column, page_url: Column) -> Column:
-    """Image metadata from attributes; null when the address is not valid."""
+    """Metadata of an image, video or audio from attributes; null when the address is not valid. A video's sizes stay as they are given."""
     raw = attrs["_source"]
     src = F.when(raw.startswith("http"), raw).otherwise(U.absolute(page_url, raw))
     name = F.nullif(U.readable_name(src), F.lit(""))
@@ -266,9 +266,16 @@ def image_meta(attrs: Column, page_url: Column) -> Column:
     meta = F.struct(
         page_url.alias("document_url"), raw.alias("unformatted_src"), src.alias("src"), name.alias("formatted_filename"), F.nullif(attrs["alt"], F.lit("")).alias("alt_text"),
         U.size_text(attrs["width"]).alias("rendered_width"), U.size_text(attrs["height"]).alias("rendered_height"),
-        none.alias("original_width"), none.alias("original_height"), none.alias("format"),
+        none.alias("original_width"), none.alias("original_height"), none.alias("format"), none.alias("media"),
     )
-    return F.when(U.is_valid(src), meta.cast(META))
+    video = attrs["_media"] == "video"  # an audio has an address alone
+    other = F.struct(
+        page_url.alias("document_url"), raw.alias("unformatted_src"), src.alias("src"), none.alias("formatted_filename"), none.alias("alt_text"),
+        F.when(video, attrs["width"]).alias("rendered_width"), F.when(video, attrs["height"]).alias("rendered_height"),
+        none.alias("original_width"), none.alias("original_height"), none.alias("format"), attrs["_media"].alias("media"),
+    )
+    meta = F.when(attrs["_media"].isNotNull(), other.cast(META)).otherwise(meta.cast(META))
+    return F.when(U.is_valid(src), meta)
 
 
 RAW = "struct<error:string,nodes:array<struct<text:string,attrs:map<string,string>>>>"

@@ -8,7 +8,7 @@ from typing import Protocol
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -46,6 +46,26 @@ def tokenized(pieces: Callable[[list[str]], list[list[str]]]) -> Callable[[Colum
     return lambda t: run(t)
 
 
+def pieces_of(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
+    """Texts as arrays of subword pieces of a vocabulary file; null for null texts.
+
+    The file (at most some MB) is read once by the driver and handed to the tasks; a worker builds its segmenter once and
+    remembers nothing of the texts.
+    """
+    with open(vocabulary, "rb") as f:
+        shared = spark.sparkContext.broadcast(f.read())
+
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import sentencepiece
+
+        segmenter = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
+        for texts in batches:
+            yield pd.Series([None if t is None else segmenter.encode_as_pieces(t) for t in texts], dtype=object)
+
+    return lambda t: run(t)
+
+
 def word_profiles(docs: DataFrame, text: str, language: str, prior: float = 4.0) -> DataFrame:
     """(word, language, weight): the share of a word's occurrences in each language, less for rare words by ``prior`` more of no language."""
     rows = docs.select(F.col(language).alias("language"), F.explode(T.words(F.col(text))).alias("word"))

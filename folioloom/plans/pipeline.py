@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..operators import clean, dedup, filters, stats
-from ..operators.documents import NODE, image_sources
+from ..operators.documents import NODE, image_sources, is_media
 from ..sources import crawl
 from .html import ExtractOptions, web_documents
 
@@ -45,6 +45,26 @@ def remove_image_nodes(docs: DataFrame, key: str, listed: DataFrame) -> DataFram
     return marked.join(gone, "_same", "left").withColumn("nodes", left).drop("_same", "_gone")
 
 
+def with_probed_sizes(docs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Image nodes with the ``format``, width and height that ``facts`` (src, format, width, height) has of their source.
+
+    A source that is not known keeps what its nodes say. Only sources are regrouped, into one map for all documents with
+    the same nodes, and the nodes are changed where they stand; of several facts of a source the greatest counts.
+    """
+    marked = docs.withColumn("_same", F.md5(F.to_json("nodes")))
+    one = facts.where("src is not null").groupBy("src").agg(F.max(F.struct("format", "width", "height")).alias("fact"))
+    rows = marked.select("_same", F.explode(F.array_distinct(image_sources(F.col("nodes")))).alias("src")).distinct()
+    known = rows.join(one, "src").groupBy("_same").agg(F.map_from_entries(F.collect_list(F.struct("src", "fact"))).alias("_facts"))
+
+    def sized(n: Column) -> Column:
+        fact, meta = F.try_element_at(F.col("_facts"), n["meta"]["src"]), n["meta"]
+        changed = meta.withField("format", fact["format"]).withField("original_width", fact["width"].cast("int")).withField("original_height", fact["height"].cast("int"))
+        return F.struct(n["text"].alias("text"), F.when(fact.isNotNull() & ~is_media(meta), changed).otherwise(meta).alias("meta"))
+
+    out = marked.join(known, "_same", "left")
+    return out.withColumn("nodes", F.when(F.col("_facts").isNull(), F.col("nodes")).otherwise(F.transform("nodes", sized))).drop("_same", "_facts")
+
+
 def remove_frequent_images(docs: DataFrame, key: str, threshold: int = 10) -> DataFrame:
     rows = docs.select(F.explode(image_sources(F.col("nodes"))).alias("src"))
     return remove_image_nodes(docs, key, dedup.too_frequent(rows, "src", threshold))

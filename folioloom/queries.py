@@ -7,6 +7,7 @@ domain, order lines for the images of a document, parts for stored images, order
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -613,6 +614,18 @@ def ngram_perplexity(spark, sf_dir):
     return ngrams.perplexity(docs, "doc_id", tokens, ngrams.train(docs.where("lang = 'en'"), tokens))
 
 
+@query()
+def piece_perplexity(spark, sf_dir):
+    """Of all documents, over subword pieces of a public vocabulary, under a model of those in English."""
+    import public_tokenizers
+
+    from .plans.models import pieces_of
+
+    cut = pieces_of(spark, str(public_tokenizers.path("piece_bpe_32k.model")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", cut(T.normalize(F.col("text"), lower=False)).alias("pieces"))
+    return ngrams.perplexity(docs, "doc_id", F.col("pieces"), ngrams.train(docs.where("lang = 'en'"), F.col("pieces")))
+
+
 _FOLD_SQL = "CASE WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' THEN 0 ELSE 1 END"
 _POINTS = "list_transform(list_filter(string_split(replace(lower(text), chr(10), ' '), ''), lambda c: c <> ''), lambda c: unicode(c))"
 _BUCKET = f"(p[k] * {languages.FACTORS[0]} + CASE WHEN n > 1 THEN p[k + 1] * {languages.FACTORS[1]} ELSE 0 END + CASE WHEN n > 2 THEN p[k + 2] * CAST({languages.FACTORS[2]} AS BIGINT) ELSE 0 END + n * {languages.BY_LENGTH}) % {languages.BUCKETS}"
@@ -654,6 +667,64 @@ def doc_filter_full(spark, sf_dir):
     return docs.where(reason.isNull()).select("doc_id", "prediction.label", "prediction.score", "perplexity")
 
 
+class FlaggedParts:
+    """A service that flags the pictures of every seventh part."""
+
+    def opted_out(self, urls: list[str]) -> list[bool]:
+        return [u.rpartition("/")[2].isdigit() and int(u.rpartition("/")[2]) % 7 == 0 for u in urls]
+
+
+@query(f"SELECT DISTINCT {SRC.replace('src', 'l_partkey')} AS url FROM lineitem WHERE l_partkey % 7 = 0")
+def optout_calls(spark, sf_dir):
+    """Pictures of order lines that a service flags, asked in calls of a thousand at a bounded rate."""
+    from .plans.models import opted_out
+
+    urls = table(spark, sf_dir, "lineitem").select(F.expr(SRC.replace("src", "l_partkey")).alias("url"))
+    return opted_out(urls, FlaggedParts, calls_a_second=1000)
+
+
+class PartPictures:
+    """A store that has a picture of each part but every ninth."""
+
+    def get(self, url: str) -> bytes:
+        if int(url.rpartition("/")[2]) % 9 == 0:
+            raise KeyError(url)
+        return b"picture of " + url.encode()
+
+
+@query(f"""WITH u AS (SELECT DISTINCT {SRC.replace('src', 'l_partkey')} AS url, l_partkey AS k FROM lineitem)
+ SELECT url, length(concat('picture of ', url)) AS n_bytes, md5(concat('picture of ', url)) AS md5 FROM u WHERE k % 9 <> 0""")
+def image_archives(spark, sf_dir):
+    """Pictures of order lines, downloaded into archives and read back from them."""
+    from .sources import archives
+    from .sources.shared import shared_folder
+
+    urls = table(spark, sf_dir, "lineitem").select(F.expr(SRC.replace("src", "l_partkey")).alias("url"))
+    where = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    archives.download(urls, PartPictures, where, threads=16, per_shard=1000)
+    return archives.images(spark, f"{where}/*.tar").select("url", F.length("image").cast("long").alias("n_bytes"), F.md5("image").alias("md5"))
+
+
+@query(f"""WITH {LINES}, u AS (SELECT doc, pos, {SRC} AS url FROM i), s AS (SELECT {SRC.replace('src', 'p_partkey')} AS url, 100 + p_size * 20 AS w, 900 - p_size * 10 AS h,
+  CASE p_partkey % 3 WHEN 0 THEN 'gif' WHEN 1 THEN 'png' ELSE 'jpeg' END AS format FROM part WHERE p_size > 10),
+ k AS (SELECT *, coalesce(format <> 'gif' AND w BETWEEN 150 AND 20000 AND h BETWEEN 150 AND 20000 AND w / h BETWEEN 0.5 AND 2.0, false) AS ok FROM u LEFT JOIN s USING (url))
+ SELECT doc, string_agg(concat(url, ' ', coalesce(w, 0), 'x', coalesce(h, 0), ' ', coalesce(format, '?'), ' ', CASE WHEN ok THEN 'kept' ELSE 'gone' END), '|' ORDER BY pos) AS nodes FROM k GROUP BY doc""")
+def probed_sizes(spark, sf_dir):
+    """Image nodes with the sizes of stored images, and whether the node filter then keeps them."""
+    from .operators.documents import META
+    from .plans.pipeline import with_probed_sizes
+
+    rows = image_rows(spark, sf_dir).select("doc", "pos", F.expr(SRC).alias("url"))
+    fields = [f.split(":") for f in META.removeprefix("struct<").removesuffix(">").split(",")]
+    meta = F.struct(*((F.col("url") if f == "src" else F.lit(None)).cast(t).alias(f) for f, t in fields))
+    docs = regrouped(rows, ["doc"], F.struct(F.lit(None).cast("string").alias("text"), meta.alias("meta")).cast(NODE))
+    kind = F.when(F.col("p_partkey") % 3 == 0, "gif").when(F.col("p_partkey") % 3 == 1, "png").otherwise("jpeg")
+    facts = table(spark, sf_dir, "part").where("p_size > 10").select(F.expr(SRC.replace("src", "p_partkey")).alias("src"), kind.alias("format"), (100 + F.col("p_size") * 20).alias("width"), (900 - F.col("p_size") * 10).alias("height"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    told = lambda n: F.concat(n["meta"]["src"], F.lit(" "), zero(n["meta"]["original_width"]), F.lit("x"), zero(n["meta"]["original_height"]), F.lit(" "), F.coalesce(n["meta"]["format"], F.lit("?")), F.when(filters.image_ok(n["meta"]), " kept").otherwise(" gone"))
+    return with_probed_sizes(docs, facts).select("doc", F.array_join(F.transform("nodes", told), "|").alias("nodes"))
+
+
 @query("""WITH s AS (SELECT p_name AS url, CAST(list_sum(list_transform(string_split(p_type, ''), lambda c: ord(c))) AS BIGINT) % 100 / 100 AS score FROM part)
  SELECT url, score FROM s WHERE score > 0.9""")
 def nsfw_scores(spark, sf_dir):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import archives
+from .charsets import detect
 from .ranges import LocalReader, RangeReader, read_ranges
 
 __all__ = ["LocalReader", "RangeReader", "download_warc", "extract_html", "html_of", "http_response", "images_from_tars", "write_image_urls", "write_shards"]
@@ -69,7 +70,7 @@ def _unchunk(body: bytes) -> bytes:
 
 
 def html_of(data: bytes | None) -> tuple[str, str]:
-    """(html, error) of a WARC record: the first response, decoded by the record's, the server's or the page's charset."""
+    """(html, error) of a WARC record: the first response, decoded by the record's, the server's or the page's charset, or the likeliest."""
     try:
         found = http_response(data or b"")
         if not found or not found[2]:
@@ -77,7 +78,7 @@ def html_of(data: bytes | None) -> tuple[str, str]:
         fields, http, body = found
         named = [fields.get("warc-identified-content-charset")]
         named += re.findall(r"charset=[\"']?([\w-]+)", http.get("content-type", "") + " " + body[:2048].decode("latin-1"), re.I)
-        for charset in [*filter(None, named), "utf-8", "windows-1252"]:
+        for charset in [*filter(None, named), detect(body)]:
             try:
                 return body.decode(charset), ""
             except (LookupError, UnicodeDecodeError):

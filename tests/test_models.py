@@ -139,3 +139,24 @@ def test_documents_go_by_language_and_perplexity(spark):
     rows = rows.select("doc_id", "label", "score", "perplexity").collect()
     assert kept == {r.doc_id for r in rows if r.label == "en" and r.score >= 0.8 and r.perplexity <= 1500}
     assert 0 < len(kept) < len(rows)
+
+
+def test_pieces(spark):
+    """Pieces join to their text, as one perplexity over them is that of a plain model."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from folioloom.plans.models import pieces_of
+
+    texts = ["The cat sat.", "the Cat, sat on cats", "", None, "Größe 😀 über", "x" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    cut = pieces_of(spark, str(public_tokenizers.path("piece_bpe_32k.model")))
+    docs = docs.withColumn("pieces", cut(F.col("text")))
+    got = {r.id: r.pieces for r in docs.collect()}
+    assert got[3] is None and got[2] == []
+    for k in (0, 1, 5):
+        assert "".join(got[k]).replace("\u2581", " ").strip() == texts[k]
+    p3, _ = plain_model([" ".join(p) for p in (got[0], got[1])])
+    model = ngrams.train(docs.where("id < 2"), F.col("pieces"))
+    for r in ngrams.perplexity(docs.where("id < 2"), "id", F.col("pieces"), model).collect():
+        ws = [ngrams.BEGIN] * 2 + got[r.id] + [ngrams.END]
+        logs = [math.log10(p3(*g)) for g in zip(ws, ws[1:], ws[2:], strict=False)]
+        assert r.perplexity == pytest.approx(10 ** (-sum(logs) / len(logs)), abs=0.051)

@@ -288,3 +288,90 @@ def test_signatures_are_grouped_once(spark):
     plan = queries.imgset_dedup(spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lineitem.parquet") <= 3
     assert queries.retained_discarded(spark, DIR)._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+# Sentences of one declaration, and each charset that can write them.
+SAID = {
+    "Die schöne Müllerin läuft über die Brücke; größere Städte führen zu längeren Wegen. Übung macht den Meister.": ["windows-1252", "utf-8"],
+    "L'été dernier, nous avons visité un château près de la forêt où un élève à l'âge avancé déjà rêvait d'être poète.": ["windows-1252"],
+    "El niño pequeño comió una manzana en la montaña; mañana irá a la escuela con su compañero. ¿Dónde está él?": ["windows-1252"],
+    "Zażółć gęślą jaźń. Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.": ["iso-8859-2", "windows-1250"],
+    "Все люди рождаются свободными и равными в своём достоинстве и правах. Они наделены разумом.": ["windows-1251", "koi8-r", "utf-16-be", "utf-8"],
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.": ["windows-1253"],
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。カタカナ": ["shift_jis", "euc_jp", "utf-16-le"],
+    "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았다.": ["euc_kr"],
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。中国的首都是北京。": ["gb18030"],
+    "人人生而自由,在尊嚴和權利上一律平等。他們賦有理性和良心,並應以兄弟關係的精神相對待。我們都很喜歡這個城市。": ["big5"],
+    "All human beings are born free and equal.": ["utf-16-le", "ascii"],
+}
+
+
+@pytest.mark.parametrize("said", SAID)
+def test_charsets(said):
+    from folioloom.sources.charsets import detect
+
+    page = f"<html><body><p>{said}</p><a href='/next.html'>more</a></body></html>"
+    for charset in SAID[said]:
+        assert page.encode(charset).decode(detect(page.encode(charset))) == page, charset
+        http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page.encode(charset)
+        record = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: " + str(len(http)).encode() + b"\r\n\r\n" + http + b"\r\n\r\n"
+        assert crawl.html_of(record) == (page, ""), charset
+
+
+def test_charset_of_odd_bytes():
+    from folioloom.sources.charsets import detect
+
+    rng = random.Random(1)
+    for n in (1, 2, 3, 100, 5000):
+        for _ in range(20):
+            data = rng.randbytes(n)
+            data.decode(detect(data), "replace")
+    assert detect(b"") == "utf-8"
+    assert detect("x".encode("utf-8-sig")) == "utf-8-sig"
+
+
+def test_video_and_audio_nodes(spark):
+    from folioloom.operators import filters
+    from folioloom.operators.documents import from_wire, found_counts, image_sources, to_wire
+    from folioloom.plans import html, pipeline
+
+    page = (
+        "<p>before the film</p><video src='/film.mp4' width='640' height='360'></video><p>between them</p>"
+        "<audio><source src='http://e.com/sound.mp3'></audio><img src='/a.png' width='300px'><video></video><p>at the end</p>"
+    )
+    pages = spark.createDataFrame([(1, "http://e.com/p", page)], "id long, url string, html string")
+    all_kinds = html.ExtractOptions(only_text_and_images=False)
+    docs = html.web_documents(pages, options=all_kinds)
+    told = [(n.text, n.meta and (n.meta.media, n.meta.src, n.meta.rendered_width)) for n in docs.first().nodes]
+    want = [
+        ("before the film", None), (None, ("video", "https://e.com/film.mp4", "640")), ("between them", None), (None, ("audio", "http://e.com/sound.mp3", None)),
+        (None, (None, "https://e.com/a.png", "300")), ("at the end", None),
+    ]
+    assert told == want
+    assert [n.meta.src for n in html.web_documents(pages).first().nodes if n.meta] == ["https://e.com/a.png"]
+    assert docs.select(image_sources(F.col("nodes")).alias("s")).first().s == ["https://e.com/a.png"]
+    assert tuple(docs.select(*found_counts(F.col("nodes"))).first()) == (1, 0)
+    loose = filters.TextLimits(least_words=1, stopwords=None, common=None, flagged=None, punctuation=None, char_repetition=None, word_repetition=None)
+    kept = filters.filter_nodes(docs, loose, filters.image_ok).first().nodes  # the image has no size and goes
+    assert [n.meta.media for n in kept if n.meta] == ["video", "audio"]
+    assert [n.meta.media for n in pipeline.remove_frequent_images(docs, "id", 0).first().nodes if n.meta] == ["video", "audio"]
+    wire = to_wire(docs.withColumn("general_metadata", F.lit(None).cast("string")))
+    back = from_wire(wire).first().nodes
+    assert [(n.text, n.meta and (n.meta.media, n.meta.src, n.meta.rendered_width)) for n in back] == want
+
+
+def test_probed_sizes_in_nodes(spark):
+    from folioloom.operators.documents import NODE
+    from folioloom.plans import pipeline
+
+    node = lambda text, src, media=None: f"named_struct('text', {text}, 'meta', {'null' if src is None else f"from_json('{{\"src\": \"{src}\", \"format\": \"own\"{f', \"media\": \"{media}\"' if media else ''}}}', '{NODE.split('meta:')[1][:-1]}')"})"
+    nodes = f"cast(array({node('null', 'a')}, {node("'x'", None)}, {node('null', 'b')}, {node('null', 'a')}, {node('null', 'a', 'video')}) as array<{NODE}>)"
+    docs = spark.createDataFrame([(1,), (1,), (None,)], "id int").selectExpr("id", f"{nodes} as nodes")
+    docs = docs.unionByName(spark.sql(f"select 2 as id, cast(null as array<{NODE}>) as nodes")).unionByName(spark.sql(f"select 3 as id, cast(array() as array<{NODE}>) as nodes"))
+    facts = spark.createDataFrame([("a", "png", 10, 20), ("a", "gif", 1, 2), ("c", "gif", 5, 5), (None, "gif", 5, 5)], "src string, format string, width int, height int")
+    rows = pipeline.with_probed_sizes(docs, facts).collect()
+    seen = {r.id: r.nodes and [(n.text, n.meta and (n.meta.src, n.meta.format, n.meta.original_width, n.meta.original_height)) for n in r.nodes] for r in rows}
+    want = [(None, ("a", "png", 10, 20)), ("x", None), (None, ("b", "own", None, None)), (None, ("a", "png", 10, 20)), (None, ("a", "own", None, None))]
+    assert seen == {1: want, None: want, 2: None, 3: []} and len(rows) == 5
+    same = pipeline.with_probed_sizes(docs, facts.limit(0)).collect()
+    assert sorted(map(repr, same)) == sorted(map(repr, docs.collect()))
