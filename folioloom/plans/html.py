@@ -1,21 +1,22 @@
-"""Pages to web documents: string passes and addresses are columns, the element tree is a small Arrow UDF."""
+"""Pages to web documents: a small Arrow UDF parses, all else is columns: string passes, the tree's steps (``dom``), addresses."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
+from ..functions import text as T
 from ..functions import urls as U
-from ..functions.constants import EOD, IMAGE_SOURCES, KEPT_TAGS, MEDIA_TAGS, NAVIGATION, SEPARATORS, UNWRAP_TAGS
+from ..functions.constants import EOD, IMAGE_SOURCES, MEDIA_TAGS, UNWRAP_TAGS
 from ..operators.documents import META, NODE
+from . import dom
+from .dom import BREAK
 
-BREAK = "#BR_TAG#"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BLOCKS = {"address", "article", "aside", "blockquote", "center", "dl", "div", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul"}
@@ -99,154 +100,32 @@ def parse(html: str) -> Element:
     return b.root
 
 
-def has_class(e: Element, name: str) -> bool:
-    return name in e.attrs.get("class", "").split()
-
-
-def elements(root: Element) -> list[Element]:
-    """The root and all below it, each before what it holds; pages of any depth."""
-    found, at = [root], 0
-    while at < len(found):
-        found += [c for c in found[at].children if isinstance(c, Element)]
-        at += 1
-    return found
-
-
-def rewrite(root: Element, step: Callable[[Element, Element], list]) -> None:
-    """Replace each element, those inside it first, by what ``step(parent, element)`` gives."""
-    for e in reversed(elements(root)):
-        e.children = [x for c in e.children for x in (step(e, c) if isinstance(c, Element) else [c])]
-
-
-def joined(root: Element) -> None:
-    """Adjacent texts become one, as after writing and parsing the tree again."""
-    for e in elements(root):
-        out: list = []
-        for c in e.children:
-            if out and isinstance(out[-1], str) and isinstance(c, str):
-                out[-1] += c
-            else:
-                out.append(c)
-        e.children = out
-
-
-def source(e: Element) -> str | None:
-    """Image: the first of the known attributes without comma or space; video and audio: its own or a source's."""
-    if e.tag == "img":
-        return next((v for v in map(e.attrs.get, IMAGE_SOURCES) if v and "," not in v and " " not in v), None)
-    if e.tag in ("video", "audio"):
-        def inside(x):
-            for c in x.elements():
-                if c.tag == "source" and c.attrs.get("src"):
-                    return c.attrs["src"]
-                if found := inside(c):
-                    return found
-            return None
-
-        v = e.attrs.get("src") or inside(e)
-        return v if v and "," not in v and " " not in v else None
-    return None
-
-
-def simplify(html: str, o: ExtractOptions) -> Element:
-    root = parse(html)
-    if o.remove_classes:
-        rewrite(root, lambda _, e: [] if any(has_class(e, c) for c in o.remove_classes) else [e])
-    for name, text in o.replace_classes.items():
-        rewrite(root, lambda _, e, name=name, text=text: [text] if has_class(e, name) else [e])
-    if o.unwrap:
-        rewrite(root, lambda _, e: e.children if e.tag in UNWRAP_TAGS else [e])
-    if o.strip_tags:
-        rewrite(root, lambda _, e: [e] if re.sub(r"\d+", "", e.tag) in KEPT_TAGS else [])
-    if o.strip_special_divs:
-        rewrite(root, lambda _, e: [] if e.tag == "div" and {e.attrs.get(a) for a in ("id", "class", "title")} & NAVIGATION else [e])
-    if o.remove_dates:
-        def undated(_, e):
-            if e.tag == "div" and "date" in e.attrs.get("class", ""):
-                e.children = e.elements()
-            return [e]
-
-        rewrite(root, undated)
-    if o.remove_empty:
-        def nonempty(_, e):
-            if e.tag in MEDIA_TAGS:
-                return [e] if source(e) else []
-            return [e] if e.tag == "source" or any(isinstance(c, Element) or c.strip() for c in e.children) else []
-
-        rewrite(root, nonempty)
-    if o.unnest:
-        def single(_, e):
-            inner = e.elements()
-            if len(inner) == 1 and inner[0].tag == e.tag and not any(isinstance(c, str) and c.strip() for c in e.children):
-                return inner
-            return [e]
-
-        rewrite(root, single)
-    joined(root)
-    return root
-
-
-def preorder(root: Element) -> Iterator[tuple[list[tuple[str, int]], Element | str]]:
-    """(path, node) in reading order; ids number the nodes, media are leaves."""
-    count = 0
-    stack: list = [([], root)]
+# As ``dom.FLAT``; written out, as workers without a session read this module, too.
+FLAT_TYPE = ArrayType(StructType([
+    StructField("end", IntegerType()), StructField("up", ArrayType(IntegerType())), StructField("tag", StringType()),
+    StructField("attrs", MapType(StringType(), StringType())), StructField("text", StringType()),
+]))
+# Attributes that some step reads, of any tag and of media.
+READ, READ_OF_MEDIA = {"class", "id", "title"}, {"alt", "width", "height", *IMAGE_SOURCES}
+
+
+def flat(html: str) -> list[dict]:
+    """All nodes of a page in reading order: where the subtree ends, the ancestors' numbers, tag, attributes, text; any depth."""
+    out: list[dict] = []
+    stack: list = [(parse(html), [])]
     while stack:
-        path, node = stack.pop()
-        tag = node.tag if isinstance(node, Element) else "-text"
-        here = [*path, (tag, count)]
-        count += 1
-        yield here, node
-        if isinstance(node, Element) and tag not in MEDIA_TAGS:
-            stack += [(here, c) for c in reversed(node.children)]
-
-
-def format_text(text: str) -> str:
-    text = re.sub(" {2,}", " ", text.replace("\n", " ").replace("\t", " "))
-    lead, trail = text[:1] == " ", len(text) > 1 and text[-1] == " "
-    return " " * lead + "\n".join(x.strip() for x in text.split(BREAK)) + " " * trail
-
-
-def join_texts(a: tuple[list, str], b: tuple[list, str]) -> tuple[list, str]:
-    """Two neighbouring texts with the strongest separator of their ends and of the tags in which their paths differ."""
-    (path_a, x), (path_b, y) = a, b
-    found = set()
-    for mark in ("\n\n", "\n", " "):
-        if x.endswith(mark):
-            found.add(mark)
-            x = x[: -len(mark)]
-        if y.startswith(mark):
-            found.add(mark)
-            y = y[len(mark) :]
-    split = next((k for k, (p, r) in enumerate(zip(path_a, path_b, strict=False)) if p != r), 0)
-    found |= {SEPARATORS[tag] for tag, _ in path_a[split:] + path_b[split:] if tag in SEPARATORS and tag != "br"}
-    return path_b, x + next((m for m in ("\n\n", "\n", " ") if m in found), "") + y
-
-
-def extract_nodes(html: str, o: ExtractOptions) -> list[dict]:
-    """Texts, and images with their attributes, in reading order."""
-    out: list = []
-    for path, node in preorder(simplify(html, o)):
-        if isinstance(node, str):
-            text = format_text(node) if o.format_texts else node
-            if not text:
-                continue
-            if o.merge_texts and out and isinstance(out[-1], tuple):
-                out[-1] = join_texts(out[-1], (path, text))
-            else:
-                out.append((path, text))
-        elif node.tag == "img" and source(node):
-            out.append(node.attrs | {"_source": source(node)})
-        elif not o.only_text_and_images and node.tag in ("video", "audio") and source(node):
-            out.append(node.attrs | {"_source": source(node), "_media": node.tag})
-    nodes = []
-    for x in out:
-        if isinstance(x, tuple):
-            text = x[1].strip() if o.merge_texts else x[1]
-            if text.strip():
-                nodes.append({"text": text, "attrs": None})
+        node, up = stack.pop()
+        if isinstance(node, int):  # all in this element have been listed
+            out[node]["end"] = len(out)
+        elif isinstance(node, str):
+            out.append({"end": len(out) + 1, "up": up, "tag": dom.TEXT, "attrs": None, "text": node})
         else:
-            nodes.append({"text": None, "attrs": x})
-    return nodes
+            read = READ | READ_OF_MEDIA if node.tag in MEDIA_TAGS or node.tag == "source" else READ
+            out.append({"end": 0, "up": up, "tag": node.tag, "attrs": {k: v for k, v in node.attrs.items() if k in read}, "text": None})
+            inside = [*up, len(out) - 1]
+            stack.append((len(out) - 1, up))
+            stack += [(c, inside) for c in reversed(node.children)]
+    return out
 
 
 def prepared(html: Column, o: ExtractOptions) -> Column:
@@ -278,37 +157,35 @@ def image_meta(attrs: Column, page_url: Column) -> Column:
     return F.when(U.is_valid(src), meta)
 
 
-RAW = "struct<error:string,nodes:array<struct<text:string,attrs:map<string,string>>>>"
+@F.pandas_udf(StructType([StructField("error", StringType()), StructField("nodes", FLAT_TYPE)]))
+def parsed(texts: pd.Series) -> pd.DataFrame:
+    """(error, nodes): a page that breaks the parser must not break the job."""
+    rows = []
+    for t in texts:
+        try:
+            rows.append(("", flat(t or "")))
+        except Exception as e:
+            rows.append((repr(e), None))
+    return pd.DataFrame(rows, columns=["error", "nodes"])
 
 
 def web_documents(pages: DataFrame, html: str = "html", url: str = "url", options: ExtractOptions | None = None) -> DataFrame:
     """``pages`` without ``html``, with ``nodes`` and ``extract_error`` ("" if none; a failed page has no nodes)."""
     o = options or ExtractOptions()
-
-    @F.pandas_udf(RAW)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            try:
-                rows.append(("", extract_nodes(t or "", o)))
-            except Exception as e:  # a page that breaks the parser must not break the job
-                rows.append((repr(e), []))
-        return pd.DataFrame(rows, columns=["error", "nodes"])
-
-    found = pages.withColumn("_found", run(prepared(F.col(html), o)))
-    nodes = F.transform("_found.nodes", lambda n: F.struct(n["text"].alias("text"), F.when(n["attrs"].isNotNull(), image_meta(n["attrs"], F.col(url))).alias("meta")).cast(NODE))
+    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
+    found = pages.select(*kept, F.col(url).alias("_url"), parsed(prepared(F.col(html), o)).alias("_found"))
+    # Made once: what follows reads it many times.
+    found = found.withColumn("_nodes", T.let(F.col("_found.nodes"), lambda n: dom.extracted(n, o)))
+    nodes = F.transform("_nodes", lambda n: F.struct(n["text"].alias("text"), F.when(n["attrs"].isNotNull(), image_meta(n["attrs"], F.col("_url"))).alias("meta")).cast(NODE))
     nodes = F.filter(nodes, lambda n: n["text"].isNotNull() | n["meta"].isNotNull())
-    kept = [c for c in pages.columns if c != html]
-    return found.select(*kept, nodes.alias("nodes"), F.col("_found.error").alias("extract_error"))
+    return found.select(*kept, F.coalesce(nodes, F.array().cast(f"array<{NODE}>")).alias("nodes"), F.col("_found.error").alias("extract_error"))
 
 
 def dom_levels(pages: DataFrame, html: str = "html", options: ExtractOptions | None = None) -> DataFrame:
     """A row per node of the simplified tree: page columns, pos, tag, level, text."""
     o = options or ExtractOptions()
-
-    @F.pandas_udf("array<struct<pos:int,tag:string,level:int,text:string>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"pos": p[-1][1], "tag": p[-1][0], "level": len(p), "text": n if isinstance(n, str) else None} for p, n in preorder(simplify(t or "", o))] for t in texts])
-
-    kept = [c for c in pages.columns if c != html]
-    return pages.select(*kept, F.explode(run(prepared(F.col(html), o))).alias("n")).select(*kept, "n.*")
+    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
+    left = T.let(F.col("_found.nodes"), lambda n: dom.simplified(n, o))
+    told = F.transform(left, lambda x: F.struct(x["tag"].alias("tag"), F.size(x["path"]).alias("level"), x["text"].alias("text")))
+    rows = pages.select(*kept, parsed(prepared(F.col(html), o)).alias("_found"))
+    return rows.select(*kept, F.posexplode(told).alias("pos", "n")).select(*kept, "pos", "n.*")

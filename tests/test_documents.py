@@ -3,19 +3,23 @@
 import gzip
 import io
 import json
+import random
 import struct
 import tarfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from folioloom.functions import text as T
 from folioloom.functions.constants import EOD
 from folioloom.operators import clean, dedup, filters, images, stats
 from folioloom.operators.documents import NODE, from_wire, to_wire
 from folioloom.plans import html as H
-from folioloom.plans import models, pipeline
+from folioloom.plans import dom, models, pipeline
 from folioloom.sources import crawl
 
+from . import plain_html
+
 
 def nodes_of(spark, *items):
     """Documents from lists of texts, and of images as ("src",)."""
@@ -94,9 +98,50 @@ def test_html(spark):
     assert got[2].nodes == [] and got[3].nodes == [] and {r.extract_error for r in got.values()} == {""}
 
 
-@pytest.mark.parametrize("html, expected", [("<div>a </div>b", "a\nb"), ("<p>a</p><p>b</p>", "a\n\nb"), ("a<span>b</span>c", "abc"), ("<ul>x</ul>y", "x\n\ny")])
-def test_separators(html, expected):
-    assert [n["text"] for n in H.extract_nodes(html, H.ExtractOptions())] == [expected]
+SHORT = {"<div>a </div>b": "a\nb", "<p>a</p><p>b</p>": "a\n\nb", "a<span>b</span>c": "abc", "<ul>x</ul>y": "x\n\ny"}
+
+
+def test_separators(spark):
+    pages = spark.createDataFrame([(k, "http://e.com/p", t) for k, t in enumerate(SHORT)], "id long, url string, html string")
+    assert [[n.text for n in r.nodes] for r in H.web_documents(pages).orderBy("id").collect()] == [[t] for t in SHORT.values()]
+
+
+TAGS = "div p span b a ul li section img video source figure h1 h2 blockquote td table br em html body object audio nav footer time".split()
+PIECES = ["text", " ", "\n", "  two  words ", "x\ny", "a<br>b", " lead", "trail ", "\xa0", "<br/>", "&amp;", "tab\there", "", "<br> <br>", "Größe 😀"]
+ATTRS = [" class='footer'", " class='more-link'", " class='date x'", " id='nav'", " title='menu'", " src='/a.png'", " src='b,c'", " data-src='http://e.com/q w.jpg'", " width='30px'", " alt='t'", " class='x y'"]
+
+
+def random_page(rng, depth=5):
+    def one(d):
+        if not d or rng.random() < 0.35:
+            return rng.choice(PIECES)
+        tag, attrs = rng.choice(TAGS), "".join(rng.choice(ATTRS) for _ in range(2) if rng.random() < 0.3)
+        inside = "".join(one(d - 1) for _ in range(rng.randrange(4)))
+        return f"<{tag}{attrs}>" if tag in ("img", "source", "br") else f"<{tag}{attrs}>{inside}</{tag}>"
+
+    return "".join(one(depth) for _ in range(rng.randrange(1, 5)))
+
+
+SWITCHES = ["", "only_text_and_images", "remove_empty", "unnest", "merge_texts", "unwrap", "remove_dates", "strip_tags", "strip_special_divs", "format_texts", "replace_classes", "remove_classes"]
+
+
+@pytest.mark.parametrize("off", SWITCHES)
+def test_pages_like_plain_trees(spark, off):
+    """Each step of simplification and extraction, on and off, on random pages, and all nodes of the simplified trees."""
+    default = H.ExtractOptions()
+    o = H.ExtractOptions(**({off: False if isinstance(getattr(default, off), bool) else type(getattr(default, off))()} if off else {}))
+    rng = random.Random(off)
+    pages = spark.createDataFrame([(k, random_page(rng)) for k in range(150)], "id long, html string")
+    rows = pages.select("id", H.prepared(F.col("html"), o).alias("html"))
+    found = rows.select("id", "html", H.parsed("html").alias("found")).withColumns({
+        "nodes": T.let(F.col("found.nodes"), lambda n: dom.extracted(n, o)), "left": T.let(F.col("found.nodes"), lambda n: dom.simplified(n, o)),
+    })
+    told = lambda attrs: attrs and tuple(attrs.get(k) for k in ("_source", "_media", "alt", "width"))
+    for r in found.select("html", "nodes", "left", "found.error").collect():
+        assert r.error == ""
+        assert [(n.text, told(n.attrs)) for n in r.nodes] == [(n["text"], told(n["attrs"])) for n in plain_html.extract_nodes(r.html, o)], r.html
+        want = [(p[-1][0], len(p), x if isinstance(x, str) else None) for p, x in plain_html.preorder(plain_html.simplify(r.html, o))]
+        assert [(x.tag, len(x.path), x.text) for x in r.left] == want, r.html
 
 
 def record(kind, body):
