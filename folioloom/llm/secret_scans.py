@@ -24,10 +24,10 @@ KEY_NAMES = "password|passwd|pwd|token|secret|api[_ -]?key|access[_ -]?key|auth|
 PREFIX = "AKIA|ASIA|ghp_|gho_|glpat-|sk_live|sk-|xox[bp]-|AIza|eyJ"
 # A value set to a key word: key characters, and marks between them; "&" only where no other setting follows.
 SET_VALUE = r"(?:[A-Za-z0-9_+/-]|[!@#$%^*.~?](?=[A-Za-z0-9])|&(?=[A-Za-z0-9])(?![A-Za-z_]+=)){6,}"
-CANDIDATE = (
+CANDIDATE = (  # one character is looked back at before many are
     r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{40,})*)"
-    rf"|(?<=[=:][\"' ]{{0,3}})(?<![A-Za-z0-9_+/-])(?<=(?i:{KEY_NAMES})[\"' ]{{0,2}}[=:][\"' ]{{0,3}}){SET_VALUE}"
-    r"|(?<=://[^\s/:@]{1,36}:)[^\s/:@]{4,}(?=@)"
+    rf"|(?<=[=:\"' ])(?<=[=:][\"' ]{{0,3}})(?<![A-Za-z0-9_+/-])(?<=(?i:{KEY_NAMES})[\"' ]{{0,2}}[=:][\"' ]{{0,3}}){SET_VALUE}"
+    r"|(?<=:)(?<=://[^\s/:@]{1,36}:)[^\s/:@]{4,}(?=@)"
     r"|(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}|(?<=[=])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{12,}"
     rf"|(?<![A-Za-z0-9_+/-])(?={PREFIX})[A-Za-z0-9_+/-]{{12,}}"
 )

@@ -146,6 +146,66 @@ def test_licence_families_and_unknown(spark):
     assert got == {k: (f, True) for k, (f, _) in enumerate(lines)}
 
 
+UNSEEN = ["Covered by the {}.", "Use of this package is permitted under the {}.", "Source files are provided under the {}.", "License: {}", "The contents of this repository are subject to the {}."]
+
+
+def test_notices_of_forms_not_trained_on(spark):
+    """Recall over all families' names in forms that neither the weights nor the temperature have seen; none of it in prose."""
+    rows = [(f, form.format(name)) for f, names in license_scans.NAMES.items() for name in names for form in UNSEEN]
+    prose = [
+        "We never released it under the GPL.", "All rights reserved to the author", "The new library opened to the public in May, free of charge.", "The eclipse of 1999",
+        "A copy of the permission is granted by the foundation.", "Creative people in commons", "This work is not licensed under the MIT License.", "It is no longer published under the Apache License.",
+        "Nothing in this folder is available under the Mozilla Public License.", "He was boosted by free software.", "The isc meeting was held.", "An affero is not a word.",
+    ]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([t for _, t in rows] + prose)], "doc_id long, text string")
+    got = {r.doc_id: r.family for r in license_scans.scan(docs).collect()}
+    right = sum(got.get(k) == f for k, (f, _) in enumerate(rows))
+    assert right / len(rows) > 0.97 and max(got) < len(rows)
+
+
+def test_notices_in_long_lines(spark):
+    notice = "Released under the MIT License."
+    lines = [" ".join(["other words follow here"] * k) + ". " + notice + " " + " ".join(["and more of them"] * 30) for k in (1, 5, 9, 10, 40)]
+    docs = spark.createDataFrame(list(enumerate([*lines, "plain words " * 500])), "doc_id long, text string")
+    got = license_scans.scan(docs).collect()
+    assert sorted((r.doc_id, r.family, r.line) for r in got) == [(k, "mit", t) for k, t in enumerate(lines)]
+
+
+def plain_licences(text, model, least=0.6, similar=0.6):
+    """Of each line the best stretch, scored one by one."""
+    import numpy as np
+
+    templates = [(f, license_scans.grams(license_scans.words_of(t), model.telling)) for f, t in license_scans.examples(license_scans.SAID[:1])]
+    for k, line in enumerate((text or "").split("\n")):
+        ws, half, found = license_scans.words_of(line), license_scans.STRETCH // 2, []
+        for at in range(0, max(1, -(-(len(ws) - license_scans.STRETCH) // half) + 1)):
+            gs = license_scans.grams(ws[at * half : at * half + license_scans.STRETCH], model.telling)
+            z = (model.weights[[model.place[g] for g in gs if g in model.place]].sum(0) + model.weights[-1]) / model.temperature
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            family = model.families[int(p.argmax())]
+            if gs and family != "unknown" and p.max() >= least:
+                share = max(sum(g in model.place for g in gs & t) for f, t in templates if f == family) / len(gs)
+                found.append((share >= similar, round(share, 9), round(float(p.max()), 9), family))
+        if found:
+            yield k, max(found)
+
+
+def test_licences_like_a_plain_scan(spark):
+    import random
+
+    rng, model = random.Random(9), license_scans.Model()
+    notices = [t for _, t in license_scans.examples([*license_scans.SAID, *license_scans.DENIED, *UNSEEN])] + license_scans.UNKNOWN
+    texts = []
+    for _ in range(120):
+        lines = [" ".join(rng.choice([rng.choice(notices), "Some plain words, and others.", "mit der GPL: (license)"]) for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(1, 4))]
+        texts.append("\n".join(lines))
+    got = {(r.doc_id, r.paragraph): (r.confirmed, round(r.similarity, 9), round(r.probability, 9), r.family) for r in license_scans.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    want = {(k, line): best for k, t in enumerate(texts) for line, best in plain_licences(t, model)}
+    assert got.keys() == want.keys()
+    for at, (confirmed, share, p, family) in want.items():
+        assert got[at] == (confirmed, pytest.approx(share, abs=1e-6), pytest.approx(p, abs=1e-4), family), at
+
+
 def test_licences_on_awkward_rows(spark):
     docs = documents(spark, [*ROWS, (77, "x\nReleased under the MIT License.", "en", "a", 1), (77, "x\nReleased under the MIT License.", "en", "a", 1)])
     got = license_scans.scan(docs)
@@ -235,4 +295,4 @@ def test_pipeline_stages_on_awkward_rows(spark):
 
 
 def test_queries_are_complete():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
