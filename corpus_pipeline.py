@@ -6,17 +6,16 @@ of ``documents``; a changed text gets its new n_chars.
 Null and empty texts: scored as empty by the classifier, which decides whether they go; those it keeps pass the other
 stages as they are and are packed as one end id each. Repeated rows: the join keeps one of them, ties going to the smallest
 doc_id. Rows without a doc_id are kept like others. Empty tables give empty results. Very long texts are worked on whole.
+Columns of any name are passed on by all stages but the last.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.llm import ngram_jaccard, packing, quality_classifier, secret_scans, substring_dedup
-from folioloom.llm.common import documents, shared_folder
+from folioloom.llm.common import Scratch, documents
 from folioloom.llm.queries import labels, tokenizer_path
 
 
@@ -61,9 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    where = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """The last stage's rows; each stage's table goes when the next one has been written."""
+    work, docs = Scratch(spark), documents(spark, sf_dir)
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{where}/{k}")
-        docs = spark.read.parquet(f"{where}/{k}")
+        docs = work.keep(stage(spark, docs, sf_dir), str(k))
+        if k:
+            work.drop(str(k - 1))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -289,10 +289,20 @@ def test_pipeline(spark, tmp_path):
 
 def test_pipeline_stages_on_awkward_rows(spark):
     docs = documents(spark)
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, DIR).collect()
         assert stage(spark, docs.limit(0), DIR).count() == 0
 
 
+def test_pipeline_runs_its_stages(spark):
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, small)
+    pieces = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    got = corpus_pipeline.run(spark, small)
+    assert got.columns == docs.columns and as_set(got.select(pieces)) == as_set(docs.select(pieces))
+
+
 def test_queries_are_complete():
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
