@@ -2,13 +2,15 @@
 
 Records are joined by canonical URL. The join is by time buckets, so that a URL with any number of records is spread:
 within a bucket a window carries the last response forward; across buckets only the last response of each bucket is
-carried, over one row per bucket. A revisit resolves when the validators agree: equal strong ETags if both have one,
-else equal Last-Modified times, else equal payload digests. The stored response's headers are then updated with those
-that a 304 may change.
+carried, over one row per bucket. A revisit resolves when the validators agree: ETags if both have one, compared weakly, as
+If-None-Match is (a ``W/`` before either doesn't count), else equal Last-Modified times, else equal payload digests. The
+stored response's headers are then updated with those that a 304 may change: not those that describe the stored content,
+nor those of one connection or proxy, the ones that a Connection header names among them.
 
 Records at the same instant are ordered by type (responses first) and id. Defined results: a revisit without an
 earlier response is "orphan", one whose validators differ or are all missing is "mismatch"; a null URL or time matches
-nothing; null header maps count as empty; repeated rows are resolved each.
+nothing; null header maps count as empty; repeated rows are resolved each; an empty table gives an empty result; columns
+but those named in ``resolve`` are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Headers that a 304 response must not change in a stored response (lower case).
-FROZEN = ["content-encoding", "content-length", "content-md5", "content-range", "content-type", "connection", "keep-alive", "te", "trailer", "transfer-encoding", "upgrade"]
+FROZEN = [
+    "content-encoding", "content-length", "content-md5", "content-range", "content-type", "connection", "keep-alive", "te", "trailer", "transfer-encoding", "upgrade",
+    "proxy-authenticate", "proxy-authentication-info", "proxy-authorization", "proxy-connection",
+]
 TRACKING = r"^(utm_[a-z]+|fbclid|gclid|ref)="
 
 
@@ -52,11 +57,13 @@ def resolve(records: DataFrame, bucket_seconds: int = 6 * 3600) -> DataFrame:
     found = found.join(carried, ["url_key", "bucket"], "left").withColumn("base", F.coalesce("inside", "carried")).drop("inside", "carried")
     lost = kept.where("order = 1 and (url_key is null or ts is null)").withColumn("base", F.lit(None).cast(found.schema["base"].dataType))
     found = found.unionByName(lost)
-    strong = lambda tag: F.when(~F.col(tag).startswith("W/"), F.col(tag))
-    tags, times, sums = (strong("etag"), strong("base.etag")), (F.col("last_modified"), F.col("base.last_modified")), (F.col("digest"), F.col("base.digest"))
+    opaque = lambda tag: F.regexp_replace(tag, "^W/", "")
+    tags, times, sums = (opaque("etag"), opaque("base.etag")), (F.col("last_modified"), F.col("base.last_modified")), (F.col("digest"), F.col("base.digest"))
     by = F.when(tags[0].isNotNull() & tags[1].isNotNull(), F.when(tags[0] == tags[1], "etag"))
     by = F.when(tags[0].isNotNull() & tags[1].isNotNull(), by).when(times[0].isNotNull() & times[1].isNotNull(), F.when(times[0] == times[1], "last-modified")).when(sums[0] == sums[1], "digest")
-    free = F.map_filter("headers", lambda name, _: ~F.lower(name).isin(FROZEN))
+    told = F.filter(F.map_entries("headers"), lambda e: F.lower(e["key"]) == "connection")
+    named_there = F.transform(F.flatten(F.transform(told, lambda e: F.split(F.coalesce(e["value"], F.lit("")), ","))), lambda name: F.lower(F.trim(name)))
+    free = F.map_filter("headers", lambda name, _: ~F.lower(name).isin(FROZEN) & ~F.array_contains(named_there, F.lower(name)))
     over = F.transform(F.map_keys(free), lambda name: F.lower(name))
     merged = F.map_concat(F.map_filter("base.headers", lambda name, _: ~F.array_contains(over, F.lower(name))), free)
     out = found.withColumn("matched_by", by)

@@ -227,9 +227,9 @@ def brute_revisits(rows):
         if base is None:
             out[r.record_id] = ("orphan", None)
             continue
-        strong = [t if t and not t.startswith("W/") else None for t in (r.etag, base.etag)]
-        if all(strong):
-            same = strong[0] == strong[1]
+        tags = [t and t.removeprefix("W/") for t in (r.etag, base.etag)]  # weak comparison (RFC 9110, 8.8.3.2 and 13.1.2)
+        if all(tags):
+            same = tags[0] == tags[1]
         elif r.last_modified and base.last_modified:
             same = r.last_modified == base.last_modified
         else:
@@ -266,6 +266,19 @@ def test_revisit_headers_and_urls(spark):
     assert row.matched_by == "etag" and row.headers == {"Content-Type": "text/html", "Content-Length": "5", "cache-control": "b", "X-New": "1"}
 
 
+def test_revisit_headers_that_stay(spark):
+    """RFC 9111, 3.2: a stored response keeps its content's headers, and takes none of a connection's or proxy's."""
+    import datetime as dt
+
+    day = dt.datetime(2020, 1, 1)
+    stored = {"Content-Type": "text/html", "X-Hop": "old", "Age": "1"}
+    new = {"connection": "x-hop , Close", "X-HOP": "new", "Close": "1", "Proxy-Authenticate": "p", "proxy-connection": "q", "age": "2", "content-type": "text/plain", "Vary": "*"}
+    rows = [(1, "http://e.com/a", day, "response", 'W/"x"', None, "d", stored), (2, "http://e.com/a", day, "revisit", '"x"', None, "e", new), (3, "http://e.com/a", day, "revisit", 'W/"y"', None, "d", None)]
+    got = {r.record_id: r for r in warc_revisits.resolve(spark.createDataFrame(rows, RECORDS)).collect()}
+    assert got[2].matched_by == "etag" and got[2].headers == {"Content-Type": "text/html", "X-Hop": "old", "age": "2", "Vary": "*"}
+    assert got[3].status == "mismatch" and got[3].headers is None
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     known = {r.doc_id: r.quality for r in spark.read.parquet(f"{DIR}/labels.parquet").collect()}
