@@ -11,7 +11,7 @@ OTHER_SPECIAL = (
     "」﴾》"
 )
 
-# Emoji are given by ranges of code points.
+# Emoji as ranges of code points: an approximation of our own, not a list of single characters.
 EMOJI_RANGES = [(0x203C, 0x203C), (0x2049, 0x2049), (0x2139, 0x2139), (0x2194, 0x2199), (0x21A9, 0x21AA), (0x231A, 0x231B), (0x23E9, 0x23F3), (0x25AA, 0x25AB), (0x2600, 0x27BF), (0x2B05, 0x2B55), (0x1F004, 0x1F004), (0x1F170, 0x1F251), (0x1F300, 0x1FAFF)]
 
 # Characters that count as white space when it is standardised.

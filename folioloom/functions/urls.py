@@ -24,8 +24,12 @@ def is_banned(url: Column) -> Column:
     return url.rlike("|".join(URL_BAN_WORDS))
 
 
+# Fixed value: steps to this or the folder above, which go from a relative address.
+STEPS = r"\.+/"
+
+
 def absolute(page_url: Column, path: Column) -> Column:
-    bare = F.regexp_replace(path, r"\.+/", "")
+    bare = F.regexp_replace(path, STEPS, "")
     rooted = F.when(bare.startswith("/"), bare).otherwise(F.concat(F.lit("/"), bare))
     return F.when(path.startswith("//"), F.concat(F.lit("http:"), path)).otherwise(F.concat(F.lit("https://"), netloc(page_url), rooted))
 
