@@ -27,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 
 from .calls import backoff, in_flight, tried
 from .ranges import StoreReader, read_ranges, store_of
+from .shared import cut
 
 AHEAD = 1 << 13  # bytes that are read with a header: mostly the facts and the next header, too
 
@@ -81,15 +82,18 @@ def members(spark: SparkSession, path: str) -> DataFrame:
 
 
 def images(spark: SparkSession, path: str, **reading) -> DataFrame:
-    """(url, image) of archives of .jpg files with .json facts whose status is "success"; the last name of an address stays."""
+    """(url, image) of archives of .jpg files with .json facts whose status is "success"; the last name of an address stays.
+
+    The index, and the places of the pictures that stay, are made once, as small tables in the shared folder.
+    """
     stem, kind = F.regexp_extract("name", r"^(.*)\.[^.]*$", 1), F.regexp_extract("name", r"\.([^.]*)$", 1)
-    index = members(spark, path).select("archive", stem.alias("stem"), kind.alias("kind"), "offset", "size")
+    index = cut(members(spark, path).select("archive", stem.alias("stem"), kind.alias("kind"), "offset", "size"))
     facts = read_ranges(index.where("kind = 'json'"), ("archive", "offset", "size"), ("data", "error"), StoreReader, **reading)
     said = F.from_json(F.col("data").cast("string"), "url string, status string")
     named = facts.select("archive", "stem", said.alias("said")).where("said.status = 'success'").select("archive", "stem", F.col("said.url").alias("url"))
     pictures = named.join(index.where("kind = 'jpg'").select("archive", "stem", "offset", "size"), ["archive", "stem"])
     last = pictures.groupBy("url").agg(F.max_by(F.struct("archive", "offset", "size"), F.concat("archive", F.lit("/"), "stem")).alias("p"))
-    read = read_ranges(last.select("url", "p.*"), ("archive", "offset", "size"), ("image", "error"), StoreReader, **reading)
+    read = read_ranges(cut(last.select("url", "p.*")), ("archive", "offset", "size"), ("image", "error"), StoreReader, **reading)
     return read.select("url", F.when(F.col("error") == "", F.col("image")).otherwise(F.raise_error(F.concat("archive", F.lit(": "), "error")).cast("binary")).alias("image"))
 
 
@@ -154,8 +158,7 @@ class ShardWriter(DataSourceWriter):
         import pyarrow.parquet as pq
         from pyspark import TaskContext
 
-        store, _ = store_of(self.address)
-        store.create_dir(self.temporary(), recursive=True)
+        store, _ = store_of(self.address)  # the job's folder is there already; once it is gone, a late task fails
         context, names, rows = TaskContext.get(), [], iter(rows)
         row = next(rows, None)
         while row is not None:
@@ -196,12 +199,14 @@ class ShardWriter(DataSourceWriter):
         self.clear()
 
     def clear(self) -> None:
+        """The job's folder goes; tasks that are being stopped may still write to it, so this is tried again."""
         from pyarrow import fs
 
         store, path = store_of(self.address)
-        if store.get_file_info(self.temporary()).type != fs.FileType.NotFound:
-            store.delete_dir(self.temporary())
-        if store.get_file_info(f"{path}/_temporary").type != fs.FileType.NotFound and not store.get_file_info(fs.FileSelector(f"{path}/_temporary")):
+        there = lambda p: store.get_file_info(p).type != fs.FileType.NotFound
+        if there(self.temporary()):
+            tried(lambda: store.delete_dir(self.temporary()), [0.2] * 50)
+        if there(f"{path}/_temporary") and not store.get_file_info(fs.FileSelector(f"{path}/_temporary")):
             store.delete_dir(f"{path}/_temporary")
 
 
@@ -222,7 +227,9 @@ class ImageArchives(DataSource):
         store, path = store_of(address)
         if store.get_file_info(f"{path}/_SUCCESS").type != fs.FileType.NotFound:
             raise ValueError(f"{address} already has shards")
-        return ShardWriter(address, int(self.options.get("per_shard", 10_000)), int(self.options.get("shard_bytes", 1 << 30)))
+        made = ShardWriter(address, int(self.options.get("per_shard", 10_000)), int(self.options.get("shard_bytes", 1 << 30)))
+        store.create_dir(made.temporary(), recursive=True)
+        return made
 
 
 def write_archives(rows: DataFrame, path: str, per_shard: int = 10_000, shard_bytes: int = 1 << 30) -> None:

@@ -1,8 +1,8 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, and tables cut off there."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,3 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
             where = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(where)
     return context.getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as it is computed once, from the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
