@@ -66,21 +66,24 @@ def cut(df: DataFrame) -> DataFrame:
 class Scratch:
     """Tables of one job, written to the shared folder and dropped by path as soon as their last reader is done.
 
-    A job that loses executors reads them again. The files of a write's own shuffles go when the write ends.
+    A job that loses executors reads them again. The files of a write's own shuffles go when the write ends, and its Python
+    workers get fewer rows at once than by default, as points and texts are long.
     """
 
-    CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        before = self.spark.conf.get(self.CLEAN)
-        self.spark.conf.set(self.CLEAN, "true")
+        before = {k: self.spark.conf.get(k) for k in self.WHILE_WRITING}
         try:
+            for k, v in self.WHILE_WRITING.items():
+                self.spark.conf.set(k, v)
             df.write.parquet(f"{self.root}/{name}")
         finally:
-            self.spark.conf.set(self.CLEAN, before)
+            for k, v in before.items():
+                self.spark.conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
