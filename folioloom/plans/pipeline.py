@@ -49,12 +49,14 @@ def with_probed_sizes(docs: DataFrame, facts: DataFrame) -> DataFrame:
     """Image nodes with the ``format``, width and height that ``facts`` (src, format, width, height) has of their source.
 
     A source that is not known keeps what its nodes say. Only sources are regrouped, into one map for all documents with
-    the same nodes, and the nodes are changed where they stand; of several facts of a source the greatest counts.
+    the same sources, and the nodes are changed where they stand; of several facts of a source the greatest counts. Sources
+    alone are written out to tell documents apart, and are met by their facts as they stand: what is equal is one in a task.
     """
-    marked = docs.withColumn("_same", F.md5(F.to_json("nodes")))
+    sources = F.array_sort(F.array_distinct(image_sources(F.col("nodes"))))
+    marked = docs.withColumn("_same", F.unhex(F.md5(F.to_json(sources))))
     one = facts.where("src is not null").groupBy("src").agg(F.max(F.struct("format", "width", "height")).alias("fact"))
-    rows = marked.select("_same", F.explode(F.array_distinct(image_sources(F.col("nodes")))).alias("src")).distinct()
-    known = rows.join(one, "src").groupBy("_same").agg(F.map_from_entries(F.collect_list(F.struct("src", "fact"))).alias("_facts"))
+    rows = marked.select("_same", F.explode(sources).alias("src"))
+    known = rows.join(one, "src").groupBy("_same").agg(F.map_from_entries(F.collect_set(F.struct("src", "fact"))).alias("_facts"))
 
     def sized(n: Column) -> Column:
         fact, meta = F.try_element_at(F.col("_facts"), n["meta"]["src"]), n["meta"]
