@@ -117,13 +117,22 @@ def runs_of(ids: np.ndarray, n: int) -> np.ndarray:
     return ids
 
 
+SHORT = 2000  # code points of a text for which a set of its runs costs less than arrays
+
+
+def ranks(points: np.ndarray) -> np.ndarray:
+    """The place of each code point among the different ones, without sorting."""
+    kinds = np.zeros(int(points.max()) + 1, np.int64)
+    kinds[points] = 1
+    return (np.cumsum(kinds) - 1)[points]
+
+
 def _char_repetition(t: str, n: int) -> float:
-    if len(t) < n:
+    whole = len(t) - n + 1
+    if whole < 1 or len(t) <= SHORT and len({t[k : k + n] for k in range(whole)}) == whole:
         return 0.0
     points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds = np.zeros(int(points.max()) + 1, np.int64)
-    kinds[points] = 1
-    runs = runs_of((np.cumsum(kinds) - 1)[points], n)
+    runs = runs_of(np.unique(points, return_inverse=True)[1] if len(t) <= SHORT else ranks(points), n)
     return repetition_of_counts(np.unique(runs, return_counts=True)[1], len(runs))
 
 
@@ -138,7 +147,7 @@ def char_repetition_ratio(t: Column, n: int = 10) -> Column:
 
 
 def _word_repetition(ws, n: int) -> float:
-    if len(ws) < n:
+    if len(ws) < n or len(ws) <= SHORT and len(set(zip(*(ws[k:] for k in range(n))))) == len(ws) - n + 1:  # noqa: B905
         return 0.0
     runs = runs_of(pd.factorize(np.asarray(ws, dtype=object))[0].astype(np.int64), n)
     counts = np.unique(runs, return_counts=True)[1]
