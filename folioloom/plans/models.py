@@ -55,13 +55,14 @@ def pieces_of(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
-    @F.pandas_udf("array<string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import sentencepiece
 
-        segmenter = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
-        for texts in batches:
-            yield pd.Series([None if t is None else segmenter.encode_as_pieces(t) for t in texts], dtype=object)
+        segmenter, kind = sentencepiece.SentencePieceProcessor(model_proto=shared.value), pa.list_(pa.string())
+        for texts in batches:  # the pieces of a few texts at once are Python objects
+            few = (texts.slice(lo, 32).to_pylist() for lo in range(0, len(texts), 32))
+            yield pa.concat_arrays([pa.array([], kind), *(pa.array([None if t is None else segmenter.encode_as_pieces(t) for t in ts], kind) for ts in few)])
 
     return lambda t: run(t)
 
