@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,8 +162,10 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bound: int
     if model is None:
         return docs
 
-    @F.pandas_udf("double")
-    def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(t)[1] for t in texts]))) if len(texts) else pd.Series([], dtype=float)
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
+        # In slices: the features of a whole batch, and its texts as Python objects, would take most of a worker's memory.
+        slices = (texts.slice(lo, 512).to_pylist() for lo in range(0, len(texts), 512))
+        return pa.array(np.concatenate([np.empty(0), *(model.score(np.array([statistics(t)[1] for t in part])) for part in slices)]))
 
     return docs.where(scores("text") >= threshold)

@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import Scratch, packed, parts, passing, unpacked
 
@@ -166,23 +167,34 @@ def find_late(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 CLEANED = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.IntegerType()), T.StructField("removed_chars", T.IntegerType())])
 
 
-@F.pandas_udf(CLEANED)
-def without(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
-    rows = []
-    for text, ranges in zip(texts, covered, strict=True):
-        if ranges is None or text is None:
-            rows.append((text, 0, 0))
-            continue
-        units, _ = sentences(text)
-        gone = np.zeros(len(units) + 1, np.int64)
-        for span in ranges:
-            first = span >> 8 & (1 << 30) - 1
-            gone[first] += 1
-            gone[first + (span >> 1 & 127) + 1] -= 1
-        gone = np.cumsum(gone)[:-1] > 0
-        left = "".join(u for u, g in zip(units, gone, strict=True) if not g)
-        rows.append((left if left.strip() else "", int(gone.sum()), len(text) - len(left)))
-    return pd.DataFrame(rows, columns=["text", "removed", "removed_chars"])
+# Not deterministic as far as the optimizer goes: it would copy a deterministic one into filters on its result, and each
+# copy has a Python worker of its own in every task.
+@F.arrow_udf(CLEANED)
+def without(texts: pa.Array, covered: pa.Array) -> pa.Array:
+    schema, done = to_arrow_schema(CLEANED), [[], [], []]
+    for lo in range(0, len(texts), 256):  # the rows of a batch are never Python objects all at once
+        rows = [cleaned(t, c) for t, c in zip(texts.slice(lo, 256).to_pylist(), covered.slice(lo, 256).to_pylist(), strict=True)]
+        for column, values, field in zip(done, zip(*rows, strict=True), schema, strict=True):
+            column.append(pa.array(values, field.type))
+    return pa.StructArray.from_arrays([pa.concat_arrays(c) if c else pa.array([], f.type) for c, f in zip(done, schema, strict=True)], fields=list(schema))
+
+
+without = without.asNondeterministic()
+
+
+def cleaned(text: str | None, ranges: list[int] | None) -> tuple[str | None, int, int]:
+    """What the spans leave of a text, how many of its sentences are gone, and how many characters."""
+    if ranges is None or text is None:
+        return text, 0, 0
+    units, _ = sentences(text)
+    gone = np.zeros(len(units) + 1, np.int64)
+    for span in ranges:
+        first = span >> 8 & (1 << 30) - 1
+        gone[first] += 1
+        gone[first + (span >> 1 & 127) + 1] -= 1
+    gone = np.cumsum(gone)[:-1] > 0
+    left = "".join(u for u, g in zip(units, gone, strict=True) if not g)
+    return left if left.strip() else "", int(gone.sum()), len(text) - len(left)
 
 
 def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -209,7 +221,8 @@ def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
         return pd.Series(among(keys.to_numpy()))
 
     keyed = packed(docs).withColumn("key", doc_key)
-    both = keyed.where(maybe("key")).join(covered, "key", "left").withColumn("clean", without("doc.text", "covered"))
+    # Merged, not broadcast, when there are few: a shuffle then lies between the two functions, and a task has one worker at once.
+    both = keyed.where(maybe("key")).join(covered.hint("merge"), "key", "left").withColumn("clean", without("doc.text", "covered"))
     clean = F.col("clean")
     changed = both.select(*unpacked(docs.columns, text=clean["text"], removed_sentences=clean["removed"], removed_chars=clean["removed_chars"]))
     none = F.lit(0).cast("int")

@@ -317,5 +317,27 @@ def test_pipeline_runs_its_stages(spark):
     assert got.columns == docs.columns and as_set(got.select(pieces)) == as_set(docs.select(pieces))
 
 
+def python_steps(df, capsys):
+    """For each Python step of the plan, how many lie between it and the exchange above, itself included: workers that a task has at once."""
+    capsys.readouterr()
+    df.explain()
+    out, above = [], []
+    for line in capsys.readouterr().out.splitlines():
+        depth = re.search(r"[A-Za-z*]|$", line).start()
+        above = [(d, name) for d, name in above if d < depth] + [(depth, line)]
+        if re.search(r"EvalPython|InArrow|InPandas", line):
+            names = [name for _, name in above]
+            last = max((k for k, name in enumerate(names) if "Exchange" in name), default=0)
+            out.append(sum(bool(re.search(r"EvalPython|InArrow|InPandas", n)) for n in names[last:]))
+    return out
+
+
+def test_a_task_of_the_pipeline_has_one_python_worker(spark, capsys):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    counts = [python_steps(stage(spark, docs, "/root/testdata/sf0.001"), capsys) for _, stage in corpus_pipeline.STAGES]
+    assert counts[0] and counts[2] and counts[4]
+    assert max(n for found in counts for n in found) == 1, counts
+
+
 def test_queries_are_complete():
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
